@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from foliate.llm import direct_codes, packing
+from foliate.llm import direct_codes, language, packing, rules
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_rules": rules.op2_rules,
+    "op7_language": language.op7_language,
     "op9_direct_codes": direct_codes.op9_direct_codes,
 }
 
