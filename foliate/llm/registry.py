@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliate.llm import direct_codes, html_text, language, near_dedup, ogg, packing, repeats, rules
+from foliate.llm import direct_codes, html_text, language, line_dedup, near_dedup, ogg, packing, repeats, rules
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_language": language.op7_language,
     "op8_ogg": ogg.op8_ogg,
     "op9_direct_codes": direct_codes.op9_direct_codes,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
