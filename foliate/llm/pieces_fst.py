@@ -22,6 +22,7 @@ import struct
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,18 @@ class Model:
             raise ValueError("models with a compiled character map are not supported: their normaliser isn't the identity")
 
 
+class _Cache(dict):
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        if len(self) >= CACHE_PARTS:
+            self.clear()
+        out = self[key] = self.make(key)
+        return out
+
+
 class Transducer:
     """normalise, encode and decode with the compiled model."""
 
@@ -108,6 +121,7 @@ class Transducer:
         self.spelled = {p: i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k in (NORMAL, USER_DEFINED)}
         self.bytes_ = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == BYTE}
         self.unknown = model.kinds.index(UNKNOWN)
+        self.plain = {i for i, k in enumerate(model.kinds) if k in (NORMAL, USER_DEFINED)}
         self.worst = min(model.scores) - 10.0
         self.trie: dict = {}
         for p, i in self.spelled.items():
@@ -119,7 +133,10 @@ class Transducer:
         kinds = {c: _class(c) for c in {c for p in self.spelled for c in p}}
         together = {(kinds[a], kinds[b]) for p in self.spelled for a, b in zip(p, p[1:])}
         self.cuts = re.compile("|".join(f"(?<={a})(?={b})" for a, x in _CLASSES for b, y in _CLASSES if (x, y) not in together) or r"(?!)")
-        self.parts: dict[str, tuple[int, ...]] = {}
+        # Where nothing may stand before the mark but the mark itself, words are cut off before the others.
+        words = all((name, "mark") not in together for _, name in _CLASSES[1:])
+        self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$").findall if words else lambda s: [s] if s else []
+        self.words, self.parts = _Cache(self._word), {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.splits: dict[str, tuple[str, str] | None] = {}
 
@@ -131,15 +148,24 @@ class Transducer:
         return text.replace(" ", MARK)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for part in self.cuts.split(self.normalise(text)):
+        return list(struct.unpack(f"<{len(data := self.packed(text)) // 4}I", data))
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, 4 bytes each."""
+        return b"".join(map(self.words.__getitem__, self.chunks(self.normalise(text))))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of what stands between two places where any input can be cut."""
+        out = []
+        for part in self.cuts.split(word):
             ids = self.parts.get(part)
             if ids is None:
                 if len(self.parts) >= CACHE_PARTS:
                     self.parts.clear()
-                ids = self.parts[part] = tuple(self.shortest(part))
-            out += ids
-        return out
+                ids = self.shortest_bpe(part) if self.model.type == BPE else self.shortest(part)
+                ids = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+            out.append(ids)
+        return b"".join(out)
 
     def arcs(self, s: str, at: int) -> list[tuple[int, int]]:
         """(end, piece) of the pieces that start at a position; where none spells the character alone, the unknown piece too."""
@@ -155,8 +181,42 @@ class Transducer:
             out.append((at + 1, self.unknown))
         return out
 
+    def shortest_bpe(self, s: str) -> list[int]:
+        """shortest() for BPE models: at most one last piece is left at each position, so a state is a position."""
+        size, pairs, follows, spelled = len(s), self.pairs, self.may_follow, self.spelled
+        before: list = [None] * (size + 1)
+        last: list = [None] * (size + 1)
+        before[0] = -1
+        for at in range(size):
+            if before[at] is None:
+                continue
+            node, own, single = self.trie, last[at], False
+            for end in range(at, size):
+                node = node.get(s[end])
+                if node is None:
+                    break
+                if "" in node:
+                    single |= end == at
+                    if before[end + 1] is None:
+                        piece = s[at : end + 1]
+                        if own is None:
+                            ok = end == at or self.split(piece) is not None
+                        else:
+                            ok = pairs.get((own, piece))
+                            ok = follows(own, piece) if ok is None else ok
+                        if ok:
+                            before[end + 1], last[end + 1] = at, piece
+            if not single and before[at + 1] is None:
+                before[at + 1], last[at + 1] = at, s[at]
+        out: list[int] = []
+        while size > 0:
+            piece = last[size]
+            out += [spelled[piece]] if piece in spelled else self.fallback(piece)[::-1]
+            size = before[size]
+        return out[::-1]
+
     def shortest(self, s: str) -> list[int]:
-        """The path of least weight through the lattice of s."""
+        """The path of least weight through the lattice of s; a state is a position and, for BPE, the last piece."""
         # states: (position, last piece's spelling) -> (weight, state before, piece); unigram weights need no last piece
         bpe = self.model.type == BPE
         best: list[dict] = [{} for _ in range(len(s) + 1)]
@@ -239,6 +299,9 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes in a row are read as UTF-8 (bad ones become U+FFFD), control pieces are left out."""
+        if all(map(self.plain.__contains__, set(ids))):
+            text = "".join(map(self.model.pieces.__getitem__, ids)).replace(MARK, " ")
+            return text[1:] if self.model.prefix and text.startswith(" ") else text
         out, held = [], b""
         for i in [*ids, None]:
             kind = self.model.kinds[i] if i is not None else None
@@ -314,8 +377,9 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         low, high = min(own.bytes_.values(), default=0), max(own.bytes_.values(), default=-1)
         rows = []
         for t in batch.column(1).to_pylist():
-            ids = own.encode(t or "")
-            rows.append((len(ids), sum(low <= i <= high for i in ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)), own.decode(ids) == (t or "")))
+            data = own.packed(t or "")
+            ids = np.frombuffer(data, "<u4")
+            rows.append((len(ids), int(((ids >= low) & (ids <= high)).sum()), zlib.crc32(data), own.decode(ids.tolist()) == (t or "")))
         yield {"doc_id": batch.column(0)} | dict(zip(("n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"), map(list, zip(*rows, strict=True)), strict=True))
 
     return common.arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean")
