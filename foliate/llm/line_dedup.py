@@ -175,7 +175,7 @@ def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs without repeated lines; text and n_chars are what is left. Documents that lost lines and have no word left go."""
-    out = _cut(docs, removed_lines(docs, min_words, near_words)).where("n_removed = 0 OR text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
+    out = _cut(docs, removed_lines(docs, min_words, near_words)).where("n_removed = 0 OR text RLIKE '[^ \\\\t-\\\\r]'")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
