@@ -1,5 +1,471 @@
-"""Registered queries and their SQL."""
+"""Registered queries, each with the SQL that DuckDB checks it by where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliate.functions import ids, text
+from foliate.operators import chunks, graph, hierarchy, tables, validation, vectors
+from foliate.operators import elements as el_ops
+from foliate.plans.derived import WITH, elements, read
+from foliate.streaming import incremental
 
 FLAGSHIP = "relates_to_topk"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    """Register a function by its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+
+
+def _uuid(namespace: str, name: str) -> str:
+    """DuckDB's version 5 UUID."""
+    h = f"sha1(from_hex('{namespace.replace('-', '')}') || CAST({name} AS BLOB))"
+    return f"substr({h},1,8)||'-'||substr({h},9,4)||'-5'||substr({h},14,3)||'-'||translate(substr({h},17,1),'0123456789abcdef','89ab89ab89ab89ab')||substr({h},18,3)||'-'||substr({h},21,12)"
+
+
+_DIST = "sqrt(pow((a.x0+a.x1)/2-(b.x0+b.x1)/2,2)+pow((a.y0+a.y1)/2-(b.y0+b.y1)/2,2))"
+_PAIR = "FROM el a JOIN el b ON a.doc_id=b.doc_id AND a.page_num=b.page_num"
+_VISUAL = "('table','image','chart','graph','formula')"
+
+
+# --- vectors -----------------------------------------------------------------
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) e, label FROM embeddings),
+s AS (SELECT a.vec_id a, b.vec_id b, list_cosine_similarity(a.e, b.e) score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.label <> b.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(score, 12) DESC, b) AS rank FROM s WHERE round(score, 12) >= 0.3)
+SELECT a, b, round(score, 4) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 3""")
+def relates_to_topk(spark, d):
+    return vectors.top_k(_vectors(spark, d), 3, 0.3, "label").select("a", "b", F.round("score", 4).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) e FROM embeddings)
+SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.e, b.e), 4) AS score FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.35""")
+def similarity_pairs(spark, d):
+    v = _vectors(spark, d)
+    return vectors.top_k(v, v.count(), 0.35).where("a < b").select("a", "b", F.round("score", 4).alias("score"))
+
+
+@query("SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id")
+def sibling_pairs(spark, d):
+    return vectors.siblings(_vectors(spark, d), "id", "label")
+
+
+@query("SELECT vec_id, round(embedding[1] / sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 5) AS first, round(embedding[64] / sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 5) AS last FROM embeddings")
+def l2_normalize(spark, d):
+    n = read(spark, d, "embeddings").withColumn("n", vectors.l2_normalize(F.col("embedding")))
+    return n.select("vec_id", F.round(F.col("n")[0], 5).alias("first"), F.round(F.col("n")[63], 5).alias("last"))
+
+
+@query("""WITH q AS (SELECT CAST(embedding AS DOUBLE[]) e FROM embeddings WHERE vec_id = 0)
+SELECT vec_id AS id, label, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q.e), 4) AS score FROM embeddings, q WHERE label < 5 ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), q.e) DESC, vec_id LIMIT 10""")
+def vector_search_filtered(spark, d):
+    v = _vectors(spark, d)
+    q = v.where("id = 0").first()["embedding"]
+    return vectors.search(v, q, 10, where=F.col("label") < 5).select("id", "label", F.round("score", 4).alias("score"))
+
+
+@query("""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) e FROM embeddings),
+e AS (SELECT a.vec_id f, b.vec_id t FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.35),
+w AS (SELECT 0 AS id, 0 AS hop UNION SELECT 1, 0 UNION SELECT 2, 0 UNION SELECT e.t, w.hop + 1 FROM w JOIN e ON e.f = w.id WHERE w.hop < 2)
+SELECT CAST(id AS BIGINT) AS id, CAST(min(hop) AS INT) AS hop FROM w WHERE id IN (SELECT vec_id FROM embeddings) GROUP BY id""")
+def graph_expand_2hop(spark, d):
+    v = _vectors(spark, d)
+    edges = vectors.top_k(v, v.count(), 0.35).select(F.col("a").alias("source_id"), F.col("b").alias("target_id"))
+    return vectors.expand(v.where("id < 3").select("id"), edges, 2)
+
+
+# --- ids ---------------------------------------------------------------------
+
+
+@query(f"{WITH} SELECT element_id AS short_id, {_uuid(ids.ELEMENT, "doc_id||':'||page_num||':'||reading_order||':'||element_type")} AS element_id FROM el")
+def element_ids(spark, d):
+    return elements(spark, d).select(F.col("element_id").alias("short_id"), ids.element_id(F.col("doc_id"), F.col("page_num"), F.col("reading_order"), F.col("element_type")).alias("element_id"))
+
+
+@query(f"SELECT vec_id, {_uuid(ids.RETRIEVAL_CHUNK, "'doc:'||label||'|seq:'||lpad(CAST(vec_id AS STRING),6,'0')||'|types:image,text'")} AS chunk_id FROM embeddings")
+def chunk_ids(spark, d):
+    return read(spark, d, "embeddings").select("vec_id", ids.retrieval_chunk_id(F.col("label"), F.col("vec_id"), F.array(F.lit("text"), F.lit("image"))).alias("chunk_id"))
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, {_uuid(ids.RELATIONSHIP, "a.element_id||':'||b.element_id||':precedes'")} AS relationship_id {_PAIR} AND b.reading_order = a.reading_order + 1")
+def relationship_ids(spark, d):
+    return graph.with_ids(graph.sequential(elements(spark, d)).where("relationship_type = 'precedes'")).select("source_id", "target_id", "relationship_id")
+
+
+# --- texts -------------------------------------------------------------------
+
+
+@query(f"{WITH} SELECT element_id, CASE WHEN regexp_matches(content, '^(Table|Figure|Fig\\.|Equation) ?[0-9]') THEN concat(CASE substr(content,1,3) WHEN 'Tab' THEN 'table' WHEN 'Equ' THEN 'equation' ELSE 'figure' END, ' ', regexp_extract(content, '^[A-Za-z]+\\.? ([0-9]+[A-Z]?)', 1)) END AS label FROM el WHERE element_type IN ('caption','table','image','chart','graph','formula')")
+def caption_label(spark, d):
+    return elements(spark, d).where("element_type IN ('caption','table','image','chart','graph','formula')").select("element_id", text.caption_label(F.col("content")).alias("label"))
+
+
+@query(f"{WITH} SELECT element_id, CASE WHEN content LIKE 'See Table%' THEN concat('table ', k, ',figure ', m) WHEN content LIKE '%Eq.%' THEN concat('equation ', k) ELSE '' END AS labels FROM el WHERE element_type IN ('text_block','list_block')")
+def caption_refs(spark, d):
+    return elements(spark, d).where("element_type IN ('text_block','list_block')").select("element_id", F.array_join(text.caption_references(F.col("content")), ",").alias("labels"))
+
+
+_CHUNKS = """c AS (SELECT doc_id AS document, element_id AS chunk_id, ordinal AS seq, content FROM el),
+ix AS (SELECT doc_id AS document, CASE substr(content,1,3) WHEN 'Tab' THEN concat('table ', k) ELSE concat('figure ', m, CASE WHEN content LIKE '%B:%' THEN 'B' ELSE '' END) END AS label, max_by(element_id, ordinal) AS chunk_id
+       FROM el WHERE element_type IN ('table','image','chart','graph') GROUP BY 1, 2)"""
+
+
+def _visuals(e: DataFrame) -> DataFrame:
+    return e.where("element_type IN ('table','image','chart','graph')").select(F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal", F.col("content").alias("caption"))
+
+
+def _index(e: DataFrame) -> DataFrame:
+    refs = e.select(F.col("doc_id").alias("document"), F.col("element_id").alias("chunk_id"), F.col("element_id").alias("self_ref"), F.col("ordinal").alias("sequence_number"))
+    return chunks.caption_index(refs, _visuals(e))
+
+
+@query(f"{WITH}, {_CHUNKS} SELECT document, label, chunk_id FROM ix")
+def caption_index(spark, d):
+    return _index(elements(spark, d))
+
+
+@query(f"""{WITH}, {_CHUNKS}, h AS (SELECT doc_id AS document, element_id AS own, unnest([concat('table ', k), concat('figure ', m)]) AS label FROM el WHERE content LIKE 'See Table%')
+SELECT h.own AS chunk_id, string_agg(DISTINCT ix.chunk_id, ',' ORDER BY ix.chunk_id) AS refers_to FROM h JOIN ix USING (document, label) WHERE ix.chunk_id <> h.own GROUP BY h.own""")
+def xref_refers_to(spark, d):
+    e = elements(spark, d)
+    c = e.where("element_type IN ('text_block','list_block')").select(F.col("doc_id").alias("document"), F.col("element_id").alias("chunk_id"), F.col("content").alias("chunk_text"))
+    return chunks.cross_references(c, _index(e)).where(F.size("refers_to") > 0).select("chunk_id", F.array_join("refers_to", ",").alias("refers_to"))
+
+
+@query(f"""{WITH} SELECT element_id, CAST(CASE WHEN v2 = 'a' THEN 2 WHEN v2 = 'b' THEN 1 ELSE 0 END AS INT) AS level, CASE v2 WHEN 'a' THEN concat(k,'.',m) WHEN 'b' THEN k END AS number, CASE v2 WHEN 'a' THEN 'Title' WHEN 'b' THEN 'Results' END AS title, v2 = 'c' AS keyword
+FROM (SELECT *, CASE WHEN content LIKE '% Title' THEN 'a' WHEN content LIKE 'Section %' THEN 'b' ELSE 'c' END AS v2 FROM el WHERE element_type = 'section_header') AS t""")
+def section_numbering(spark, d):
+    n = elements(spark, d).where("element_type = 'section_header'").withColumn("n", text.section_numbering(F.col("content")))
+    return n.select("element_id", F.coalesce("n.level", F.lit(0)).alias("level"), "n.number", "n.title", text.is_section_keyword(F.col("content")).alias("keyword"))
+
+
+# --- order -------------------------------------------------------------------
+
+
+@query(f"""{WITH} SELECT element_id, CAST(row_number() OVER (PARTITION BY doc_id, page_num ORDER BY CASE WHEN ordinal % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN ordinal % 3 = 0 THEN ordinal END NULLS LAST,
+CASE WHEN ordinal % 3 <> 0 THEN CAST(trunc((x0+x1)/2/(CASE WHEN greatest(x0,y0,x1,y1) <= 1 THEN 0.3 ELSE 200.0 END)) AS INT) END, CASE WHEN ordinal % 3 <> 0 THEN y0 END, CASE WHEN ordinal % 3 <> 0 THEN (x0+x1)/2 END, ordinal) - 1 AS BIGINT) AS reading_order FROM el""")
+def reading_order(spark, d):
+    e = elements(spark, d).drop("reading_order").withColumn("item_order", F.when(F.col("ordinal") % 3 == 0, F.col("ordinal")))
+    return el_ops.reading_order(e).select("element_id", F.col("reading_order").cast("long").alias("reading_order"))
+
+
+@query("SELECT CAST(l_suppkey AS STRING) AS doc_id, CAST(1 + l_partkey % 20 AS INT) AS page_num, CAST(max(l_linenumber) - min(l_linenumber) + 1 - count(DISTINCT l_linenumber) AS BIGINT) AS gaps, CAST(count(*) - count(DISTINCT l_linenumber) AS BIGINT) AS duplicates FROM lineitem GROUP BY 1, 2")
+def reading_order_gaps(spark, d):
+    items = read(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("doc_id"), (1 + F.col("l_partkey") % 20).cast("int").alias("page_num"), F.col("l_linenumber").alias("item_order"))
+    return validation.order_gaps(items)
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, 'precedes' AS relationship_type {_PAIR} AND b.reading_order = a.reading_order + 1 UNION ALL SELECT b.element_id, a.element_id, 'follows' {_PAIR} AND b.reading_order = a.reading_order + 1")
+def rel_sequential(spark, d):
+    return graph.sequential(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+
+
+# --- space -------------------------------------------------------------------
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, round(1 - {_DIST}, 4) AS weight {_PAIR} AND a.element_id < b.element_id WHERE {_DIST} <= 0.08")
+def rel_nearby(spark, d):
+    return graph.nearby(elements(spark, d)).select("source_id", "target_id", F.round("weight", 4).alias("weight"))
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id {_PAIR} AND a.ordinal < b.ordinal WHERE {_DIST} <= 0.08")
+def proximity_pairs(spark, d):
+    return graph.proximity(elements(spark, d)).select("source_id", "target_id")
+
+
+@query(f"""{WITH}, p AS (SELECT a.element_id AS caption_id, b.element_id AS parent_id, (a.y0+a.y1)/2 - (b.y0+b.y1)/2 AS dist, b.ordinal {_PAIR} WHERE a.element_type = 'caption' AND b.element_type IN {_VISUAL} AND (b.y0+b.y1)/2 <= (a.y0+a.y1)/2),
+r AS (SELECT *, row_number() OVER (PARTITION BY caption_id ORDER BY dist, ordinal) AS n FROM p) SELECT caption_id, parent_id, round(dist, 4) AS dist FROM r WHERE n = 1 AND dist <= 0.3""")
+def caption_parent(spark, d):
+    return graph.caption_parents(elements(spark, d)).select("caption_id", "parent_id", F.round("dist", 4).alias("dist"))
+
+
+_MATES = f"{_PAIR} AND a.element_id <> b.element_id"
+
+
+@query(f"""{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, 'has_caption' AS relationship_type {_MATES} WHERE a.element_type='table' AND b.element_type='caption' AND ({_DIST} <= 0.15 OR b.content LIKE 'Table %')
+UNION ALL SELECT b.element_id, a.element_id, 'describes' {_MATES} WHERE a.element_type='table' AND b.element_type IN ('text_block','list_block') AND {_DIST} <= 0.2 AND b.content LIKE 'See Table %'
+UNION ALL SELECT a.element_id, b.element_id, 'refers_to' {_MATES} WHERE a.element_type='table' AND b.element_type='footnote' AND {_DIST} <= 0.15""")
+def table_edges(spark, d):
+    return graph.table_edges(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+
+
+@query(f"""{WITH} SELECT b.element_id AS source_id, a.element_id AS target_id, 'explains' AS relationship_type {_MATES} WHERE a.element_type='formula' AND b.element_type='text_block' AND ({_DIST} <= 0.15 OR (abs(a.reading_order-b.reading_order) <= 3 AND b.content LIKE '%following equation%'))
+UNION ALL SELECT b.element_id, a.element_id, 'has_formula' {_MATES} WHERE a.element_type='formula' AND b.element_type='caption' AND {_DIST} <= 0.15
+UNION ALL SELECT a.element_id, b.element_id, 'refers_to' {_MATES} WHERE a.element_type='formula' AND b.element_type='footnote' AND {_DIST} <= 0.15""")
+def formula_edges(spark, d):
+    return graph.formula_edges(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+
+
+@query(f"""{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, 'has_caption' AS relationship_type {_MATES} WHERE a.element_type IN ('image','chart','graph') AND b.element_type='caption' AND ({_DIST} <= 0.15 OR b.content LIKE '%image.')
+UNION ALL SELECT b.element_id, a.element_id, 'describes' {_MATES} WHERE a.element_type IN ('image','chart','graph') AND b.element_type IN ('text_block','list_block') AND {_DIST} <= 0.2 AND false
+UNION ALL SELECT a.element_id, b.element_id, 'nearby' {_MATES} WHERE a.element_type IN ('image','chart','graph') AND b.element_type NOT IN ('caption','text_block','list_block') AND {_DIST} <= 0.15""")
+def visual_edges(spark, d):
+    return graph.visual_edges(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+
+
+# --- graph -------------------------------------------------------------------
+
+
+@query(f"{WITH} SELECT doc_id, section_path, count(*) AS members, string_agg(element_id, ',' ORDER BY page_num, reading_order) AS member_ids FROM el WHERE section_path <> '' GROUP BY 1, 2 HAVING count(*) >= 2")
+def rel_same_section(spark, d):
+    return graph.same_section(elements(spark, d)).select("doc_id", "section_path", F.col("detail").cast("long").alias("members"), F.array_join("member_ids", ",").alias("member_ids"))
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id, CAST(abs(a.reading_order-b.reading_order) AS BIGINT) AS apart {_PAIR} AND a.section_path = b.section_path AND a.section_path <> '' WHERE a.element_type IN ('text_block','list_block') AND b.element_type IN {_VISUAL} AND abs(a.reading_order-b.reading_order) BETWEEN 1 AND 2")
+def rel_describes(spark, d):
+    return graph.describes(elements(spark, d)).select("source_id", "target_id", F.col("detail").cast("long").alias("apart"))
+
+
+_LABELS = f"""lab AS (SELECT doc_id, element_id AS t, CASE WHEN element_type = 'table' THEN concat('table:', k) WHEN element_type = 'formula' THEN concat('equation:', k) ELSE concat('figure:', m) END AS label FROM el WHERE element_type IN {_VISUAL}),
+src AS (SELECT doc_id, element_id AS s, unnest(CASE WHEN content LIKE 'See Table%' THEN [concat('table:', k), concat('figure:', m)] WHEN content LIKE '%Eq.%' THEN [concat('equation:', k)] WHEN element_type = 'caption' AND content LIKE 'Table%' THEN [concat('table:', k)] WHEN element_type = 'caption' AND content LIKE 'Fig.%' THEN [concat('figure:', m, 'b')] END) AS label FROM el WHERE element_type IN ('text_block','list_block','caption'))"""
+
+
+@query(f"{WITH}, {_LABELS} SELECT DISTINCT s AS source_id, t AS target_id FROM src JOIN lab USING (doc_id, label) WHERE s <> t")
+def rel_refers_to(spark, d):
+    return graph.references(elements(spark, d)).select("source_id", "target_id")
+
+
+def _contained(e: DataFrame) -> DataFrame:
+    return e.where("section_path <> ''").select("doc_id", "page_num", F.concat_ws("/", "doc_id", "section_path").alias("source_id"), F.col("element_id").alias("target_id"), F.lit("contains").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"))
+
+
+@query(f"{WITH} SELECT element_id AS source_id, concat(doc_id, '/', section_path) AS target_id, 'belongs_to' AS relationship_type FROM el WHERE section_path <> ''")
+def rel_belongs_to(spark, d):
+    return graph.belongs_to(_contained(elements(spark, d))).select("source_id", "target_id", "relationship_type")
+
+
+@query(f"{WITH} SELECT a.element_id AS source_id, b.element_id AS target_id {_PAIR} AND a.element_id < b.element_id WHERE {_DIST} <= 0.08")
+def rel_dedup(spark, d):
+    e = elements(spark, d)
+    both = graph.nearby(e).withColumn("rank", F.lit(0)).unionByName(graph.nearby(e).withColumn("rank", F.lit(2)))
+    turned = graph.proximity(e).select("doc_id", "page_num", F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"), "relationship_type", "weight", "detail").withColumn("rank", F.lit(1))
+    own = e.select("doc_id", "page_num", F.col("element_id").alias("source_id"), F.col("element_id").alias("target_id"), F.lit("nearby").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"), F.lit(0).alias("rank"))
+    return graph.deduplicated(both.unionByName(turned).unionByName(own)).select("source_id", "target_id")
+
+
+@query(f"""{WITH}, {_LABELS}, e AS (SELECT 'precedes' AS relationship_type {_PAIR} AND b.reading_order = a.reading_order + 1 UNION ALL SELECT 'follows' {_PAIR} AND b.reading_order = a.reading_order + 1
+UNION ALL SELECT 'nearby' {_PAIR} AND a.element_id < b.element_id WHERE {_DIST} <= 0.08
+UNION ALL SELECT 'same_section_as' FROM (SELECT doc_id, section_path FROM el WHERE section_path <> '' GROUP BY 1, 2 HAVING count(*) >= 2) AS g
+UNION ALL SELECT 'refers_to' FROM (SELECT DISTINCT s, t FROM src JOIN lab USING (doc_id, label) WHERE s <> t) AS r
+UNION ALL SELECT 'describes' {_PAIR} AND a.section_path = b.section_path AND a.section_path <> '' WHERE a.element_type IN ('text_block','list_block') AND b.element_type IN {_VISUAL} AND abs(a.reading_order-b.reading_order) BETWEEN 1 AND 2)
+SELECT relationship_type, count(*) AS n FROM e GROUP BY 1""")
+def rel_summary(spark, d):
+    return graph.summary(graph.all_edges(elements(spark, d)))
+
+
+@query()
+def rel_all(spark, d):
+    e = elements(spark, d)
+    return graph.with_ids(graph.all_edges(e, _contained(e)))
+
+
+# --- sections ----------------------------------------------------------------
+
+
+def _headed(spark: SparkSession, d: str) -> DataFrame:
+    e = elements(spark, d).drop("section_path")
+    n = text.section_numbering(F.col("content"))
+    return e.withColumns({"section_path": F.lit(""), "level": n["level"], "section_number": n["number"]})
+
+
+@query()
+def section_tree(spark, d):
+    return hierarchy.sections(_headed(spark, d)).select("doc_id", "element_id", "level", "number", "title", "section_path", "section_id", "parent_section_id")
+
+
+@query()
+def section_paths(spark, d):
+    return hierarchy.assign_paths(_headed(spark, d)).select("element_id", "section_path")
+
+
+@query()
+def rel_contains(spark, d):
+    return hierarchy.contains(_headed(spark, d)).select("source_id", "target_id", "relationship_type")
+
+
+# --- tables, formulas, visuals -----------------------------------------------
+
+_RUNS = f"""t AS (SELECT *, CASE WHEN page_num - lag(page_num) OVER (PARTITION BY doc_id, section_path, m, v3 ORDER BY page_num, reading_order, element_id) > 2 THEN 1 ELSE 0 END AS step FROM (SELECT *, ordinal % 2 AS v3 FROM el WHERE element_type = 'table') AS q),
+r AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, section_path, m, v3 ORDER BY page_num, reading_order, element_id) AS run FROM t),
+g AS (SELECT *, count(*) OVER w AS n, min(page_num) OVER w AS lo FROM r WINDOW w AS (PARTITION BY doc_id, section_path, m, v3, run))"""
+
+
+@query(f"""{WITH}, {_RUNS} SELECT element_id, n >= 2 AS is_spanning, CASE WHEN n >= 2 THEN {_uuid(ids.SPAN, "doc_id||':'||section_path||':'||lo||':3:'||substr(md5(concat('name|h', v3)),1,12)")} END AS span_group_id FROM g""")
+def spanning_tables(spark, d):
+    t = elements(spark, d).where("element_type = 'table'").withColumns({"col_count": F.lit(3), "headers": F.array(F.lit(" Name "), F.concat(F.lit("H"), (F.col("ordinal") % 2).cast("string")), F.lit(""))})
+    return tables.spanning(t).select("element_id", "is_spanning", "span_group_id")
+
+
+@query("SELECT p_partkey, substr(md5(concat(lower(p_brand), '|', lower(p_type))), 1, 12) AS signature FROM part")
+def header_signature(spark, d):
+    p = read(spark, d, "part")
+    return p.select("p_partkey", tables.header_signature(F.array(F.concat(F.lit(" "), F.col("p_brand")), F.lit("  "), F.upper("p_type"))).alias("signature"))
+
+
+@query("""SELECT p_partkey, CAST(2 AS INT) AS row_count, CAST(2 AS INT) AS col_count, concat('Table with 2 row(s) and 2 column(s), headers: [Name, Size]') AS summary,
+concat('| Name | Size |', chr(10), '| --- | --- |', chr(10), '| ', p_brand, ' | ', p_size, ' |', chr(10), '| x | ', p_partkey, ' |') AS markdown FROM part""")
+def table_enrich(spark, d):
+    p = read(spark, d, "part")
+    form = F.col("p_partkey") % 3
+    md = F.concat(F.lit("before\n| Name | Size |\n|---|:--|\n|"), "p_brand", F.lit("|  "), F.col("p_size").cast("string"), F.lit(" |\n| x | "), F.col("p_partkey").cast("string"), F.lit(" |\nafter"))
+    html = F.concat(F.lit("<table class='t'><thead><tr><th>Name</th><th>Size</th></tr></thead><tr><td>"), "p_brand", F.lit("</td><td> "), F.col("p_size").cast("string"), F.lit("\n</td></tr><tr><td><b>x</b></td><td>"), F.col("p_partkey").cast("string"), F.lit("</td></tr></table>"))
+    tab = F.concat(F.lit("Name\tSize\n"), "p_brand", F.lit("\t"), F.col("p_size").cast("string"), F.lit("\nx\t"), F.col("p_partkey").cast("string"))
+    source = p.select("p_partkey", F.when(form == 0, md).alias("markdown"), F.when(form == 1, html).alias("html"), F.when(form == 2, tab).alias("content"), F.lit("").alias("summary"))
+    return tables.enrich(source).select("p_partkey", "row_count", "col_count", "summary", "markdown")
+
+
+_FORMULA = "CASE p_partkey % 5 WHEN 0 THEN concat('$$x_{', p_size, '}$$') WHEN 1 THEN concat('a $y + ', p_size, '$ b') WHEN 2 THEN concat('\\begin{align}z\\end{align}') WHEN 3 THEN 'w' ELSE concat('u', chr(10), 'v') END"
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 5 IN (0, 2, 4) THEN 'display' WHEN p_partkey % 5 = 1 THEN 'inline' WHEN p_size / 50.0 > 0.4 THEN 'display' WHEN p_size / 50.0 < 0.15 THEN 'inline' END AS formula_type FROM part")
+def formula_type(spark, d):
+    p = read(spark, d, "part").withColumn("f", F.expr(_FORMULA.replace("\\", "\\\\")))
+    return p.select("p_partkey", text.formula_type(F.col("f"), F.lit(""), F.lit(None).cast("string"), F.col("p_size") / 50.0).alias("formula_type"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'alpha,cdot,x,y' ELSE 'Omega,b,mapsto,sin' END AS variables, CASE p_partkey % 2 WHEN 0 THEN concat('alpha * x / y ', p_size) ELSE 'sin Omega -> b' END AS reading FROM part")
+def formula_variables(spark, d):
+    f = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("\\alpha \\cdot \\frac{x}{y}^{"), F.col("p_size").cast("string"), F.lit("}"))).otherwise(F.lit("\\sin \\Omega \\mapsto \\mathrm{b}"))
+    p = read(spark, d, "part").withColumn("f", f)
+    return p.select("p_partkey", F.array_join(text.variables(F.col("f"), F.lit("")), ",").alias("variables"), text.latex_text(F.col("f")).alias("reading"))
+
+
+@query(f"""{WITH}, s AS (SELECT *, x1-x0 AS w, y1-y0 AS h FROM el WHERE element_type IN ('image','chart','graph'))
+SELECT element_id, CASE WHEN element_type <> 'image' THEN element_type WHEN m = '1' THEN 'photograph' WHEN m = '2' THEN 'logo' WHEN w/h > 4 OR w/h < 0.25 THEN 'decorative' WHEN w/h BETWEEN 0.8 AND 1.2 THEN CASE WHEN w*h*1000000 < 10000 THEN 'logo' ELSE 'illustration' END WHEN w*h*1000000 < 5000 THEN 'logo' WHEN w*h*1000000 > 500000 THEN 'photograph' ELSE 'unclassified' END AS visual_type FROM s""")
+def visual_type(spark, d):
+    e = elements(spark, d).where("element_type IN ('image','chart','graph')")
+    caption = F.when(F.col("m") == "1", F.lit("A Photo.")).when(F.col("m") == "2", F.lit("the LOGO"))
+    return e.select("element_id", text.visual_type(F.col("element_type"), caption, F.lit("of sales"), F.col("right") - F.col("left"), F.col("bottom") - F.col("top")).alias("visual_type"))
+
+
+# --- validation --------------------------------------------------------------
+
+
+@query(f"{WITH} SELECT element_id, (x0 - 0.02 >= 0 AND x0 - 0.02 < x1 AND y0 < y1 AND x1 <= 0.8 AND y1 <= 0.85) AS valid FROM el")
+def bbox_valid(spark, d):
+    e = elements(spark, d).withColumn("left", F.col("left") - 0.02)
+    return e.select("element_id", validation.box_valid(F.lit(0.8), F.lit(0.85)).alias("valid"))
+
+
+@query(f"""{WITH}, i AS (SELECT doc_id, page_num, ordinal, CASE WHEN ordinal % 50 = 0 THEN 'title' WHEN element_type = 'table' THEN 'table' ELSE 'text' END AS type, x0 - 0.02 AS x0, y0, x1, y1, ordinal % 7 AS item_order, CASE WHEN element_type = 'table' THEN ordinal % 4 END AS nrow, CASE WHEN element_type = 'table' THEN 2 END AS ncol, CASE WHEN ordinal % 2 = 0 THEN 'c' END AS cap FROM el),
+p AS (SELECT DISTINCT doc_id, page_num FROM el), d AS (SELECT doc_id, CASE WHEN CAST(doc_id AS INT) % 3 = 0 THEN 19 ELSE 20 END AS page_count FROM el GROUP BY 1),
+o AS (SELECT doc_id, count(*) FILTER (WHERE g > 0 OR du > 0) AS f FROM (SELECT doc_id, page_num, max(item_order)-min(item_order)+1-count(DISTINCT item_order) AS g, count(*)-count(DISTINCT item_order) AS du FROM i GROUP BY 1, 2) AS q GROUP BY 1),
+a AS (SELECT i.doc_id, count(*) FILTER (WHERE NOT (x0 >= 0 AND x0 < x1 AND y0 < y1 AND x1 <= 0.8 AND y1 <= 0.85)) AS bad, count(*) AS n, count(*) FILTER (WHERE type = 'title') AS unk, count(*) FILTER (WHERE (nrow IS NOT NULL OR type = 'table') AND (coalesce(nrow,0) = 0 OR coalesce(ncol,0) = 0)) AS tab, count(*) FILTER (WHERE type = 'table' AND cap IS NULL) AS bare, count(*) FILTER (WHERE page_num < 1 OR page_num > d.page_count) AS outside FROM i JOIN d USING (doc_id) GROUP BY 1),
+c AS (SELECT doc_id, count(*) AS pages FROM p GROUP BY 1), j AS (SELECT d.doc_id, CASE WHEN c.pages <> d.page_count THEN 1 ELSE 0 END AS f1, a.*, o.f FROM d JOIN a USING (doc_id) JOIN c USING (doc_id) JOIN o USING (doc_id))
+SELECT doc_id, (f1 = 0 AND bad < n) AS is_valid, CAST(9 AS BIGINT) AS n_checks, CAST(f1 + CASE WHEN bad = n THEN 1 ELSE 0 END AS BIGINT) AS n_errors,
+CAST(CASE WHEN outside > 0 THEN 1 ELSE 0 END + CASE WHEN unk > 0 THEN 1 ELSE 0 END + CASE WHEN bad > 0 THEN 1 ELSE 0 END + CASE WHEN f > 0 THEN 1 ELSE 0 END + CASE WHEN tab > 0 THEN 1 ELSE 0 END + CASE WHEN bare > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_warnings FROM j""")
+def validation_report(spark, d):
+    e = elements(spark, d)
+    table = F.col("element_type") == "table"
+    kind = F.when(F.col("ordinal") % 50 == 0, F.lit("title")).when(table, F.lit("table")).otherwise(F.lit("text"))
+    items = e.select("doc_id", "page_num", kind.alias("type"), (F.col("left") - 0.02).alias("left"), "top", "right", "bottom", (F.col("ordinal") % 7).alias("item_order"), F.when(table, F.col("ordinal") % 4).alias("row_count"), F.when(table, F.lit(2)).alias("col_count"), F.when(F.col("ordinal") % 2 == 0, F.lit("c")).alias("caption"))
+    pages = e.select("doc_id", "page_num").distinct().withColumns({"width": F.lit(0.8), "height": F.lit(0.85)})
+    documents = e.select("doc_id").distinct().select("doc_id", F.when(F.col("doc_id").cast("int") % 3 == 0, 19).otherwise(20).alias("page_count"), F.lit("").alias("markdown"))
+    return validation.report(validation.checks(documents, items, pages))
+
+
+# --- chunks ------------------------------------------------------------------
+
+
+@query("""WITH RECURSIVE p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ord FROM documents),
+w AS (SELECT doc_id, ord, list_filter(regexp_split_to_array(line, '\\s+'), lambda x: x <> '') AS ws FROM p),
+parts AS (SELECT doc_id, ord, unnest(range(0, len(ws), 300)) AS part, len(ws) AS n FROM w WHERE len(ws) > 0),
+s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord, part) AS i, least(300, n - part) AS n FROM parts),
+f AS (SELECT doc_id, i, n AS run, 0 AS no, n FROM s WHERE i = 1 UNION ALL SELECT s.doc_id, s.i, CASE WHEN f.run + s.n > 300 THEN s.n ELSE f.run + s.n END, f.no + CASE WHEN f.run + s.n > 300 THEN 1 ELSE 0 END, s.n FROM f JOIN s ON s.doc_id = f.doc_id AND s.i = f.i + 1)
+SELECT doc_id, CAST(no AS BIGINT) AS chunk_no, CAST(sum(n) AS BIGINT) AS token_count FROM f GROUP BY 1, 2""")
+def chunk_pack(spark, d):
+    p = read(spark, d, "documents").select(F.col("doc_id").alias("document"), F.col("lang").alias("heading"), F.posexplode(F.split("text", "\n", -1)).alias("ord", "text"))
+    return chunks.pack(p).select(F.col("document").alias("doc_id"), "chunk_no", "token_count")
+
+
+def _chunked(spark: SparkSession, d: str) -> DataFrame:
+    e = elements(spark, d)
+    n = e.where("element_type = 'text_block'").groupBy(F.col("doc_id").alias("document")).agg(F.count("*").alias("n"))
+    v = e.where("element_type IN ('image','chart')").select(F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal", F.when(F.col("ordinal") % 2 == 0, F.array(F.concat(F.lit("file:"), "element_id"))).alias("image_uri"), F.col("content").alias("caption"), F.lit("d").alias("description"))
+    return chunks.visual_chunks(v, n)
+
+
+_VCHUNKS = """n AS (SELECT doc_id, count(*) AS n FROM el WHERE element_type = 'text_block' GROUP BY 1),
+v AS (SELECT el.*, row_number() OVER (PARTITION BY doc_id ORDER BY ordinal) - 1 AS kk FROM el WHERE element_type IN ('image','chart')),
+vc AS (SELECT v.doc_id, element_id, content, n.n + 2 * kk + e.d AS seq, e.d, ordinal FROM v JOIN n ON n.doc_id = v.doc_id, (VALUES (1), (2)) AS e(d))"""
+
+
+@query(f"{WITH}, {_VCHUNKS} SELECT element_id AS self_ref, CAST(seq AS BIGINT) AS sequence_number, CASE d WHEN 1 THEN 'image' ELSE 'textual_description' END AS embedding_type, CASE d WHEN 1 THEN content ELSE concat('Image Caption: ', content, chr(10), 'Image Description: d') END AS chunk_text FROM vc")
+def visual_chunks(spark, d):
+    return _chunked(spark, d).select("self_ref", "sequence_number", "embedding_type", "chunk_text")
+
+
+@query(f"{WITH}, {_VCHUNKS} SELECT CASE d WHEN 1 THEN 'image' ELSE 'textual_description' END AS embedding_type, CASE d WHEN 1 THEN concat('file:', element_id) ELSE concat('Image Caption: ', content, chr(10), 'Image Description: d') END AS content, CAST(seq AS BIGINT) AS chunk_index FROM vc WHERE d = 2 OR ordinal % 2 = 0")
+def encode_items(spark, d):
+    return vectors.encode_items(_chunked(spark, d)).select("embedding_type", "content", "chunk_index")
+
+
+@query("SELECT CAST(d.doc_id AS STRING) AS chunk_id, e.label, round(e.embedding[1], 4) AS first FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id")
+def attach_embeddings(spark, d):
+    e = read(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding", "label")
+    c = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
+    return vectors.attach(c, e).join(e.select("chunk_id", "label"), "chunk_id").select("chunk_id", "label", F.round(F.col("embedding")[0].cast("double"), 4).alias("first"))
+
+
+# --- documents ---------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, sha256(text) AS file_hash, {_uuid(ids.DOCUMENT, 'sha256(text)')} AS document_id FROM documents")
+def doc_ingest_hash(spark, d):
+    h = F.sha2(F.encode("text", "UTF-8"), 256)
+    return read(spark, d, "documents").select("doc_id", h.alias("file_hash"), ids.document_id(h).alias("document_id"))
+
+
+@query("SELECT sha256(text) AS file_hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
+def doc_dedup_exact(spark, d):
+    return read(spark, d, "documents").groupBy(F.sha2(F.encode("text", "UTF-8"), 256).alias("file_hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+
+
+@query("SELECT concat(conv_id, ':', turn) AS source_id, concat(conv_id, ':', nxt) AS target_id FROM (SELECT *, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) AS c WHERE nxt IS NOT NULL")
+def conversation_turn_edges(spark, d):
+    c = read(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), F.lit(1).alias("page_num"), F.col("turn").alias("reading_order"), F.lit(0.0).alias("top"), F.lit(0.0).alias("left"), F.concat_ws(":", "conv_id", "turn").alias("element_id"))
+    return graph.sequential(c).where("relationship_type = 'precedes'").select("source_id", "target_id")
+
+
+@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def events_tumbling(spark, d):
+    return incremental.tumbling(read(spark, d, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s) SELECT user_id, min(ts) AS start, count(*) AS n FROM g GROUP BY user_id, k""")
+def events_sessions(spark, d):
+    return incremental.sessions(read(spark, d, "events")).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+# --- the star schema ---------------------------------------------------------
+
+
+@query("""SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2""")
+def pricing_summary(spark, d):
+    li = read(spark, d, "lineitem").where("l_shipdate <= TIMESTAMP_NTZ '1998-09-02 00:00:00'")
+    return li.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+
+
+@query("""SELECT r_name, n_name, round(sum(o_totalprice), 2) AS total, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
+def orders_rollup(spark, d):
+    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(read(spark, d, "nation"), F.expr("c_nationkey = n_nationkey")).join(read(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
+    return o.rollup("r_name", "n_name").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("orders"))

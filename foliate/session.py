@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -12,3 +17,17 @@ def session(app: str = "foliate", master: str | None = None, **conf: str) -> Spa
         b = b.master(master)
     base = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true"}
     return b.config(map=base | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for clusters where it isn't installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_foliate_sent", False):
+        return
+    root = Path(__file__).resolve().parent
+    out = os.path.join(tempfile.mkdtemp(prefix="foliate"), "foliate_package.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(out)
+    sc._foliate_sent = True
