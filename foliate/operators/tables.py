@@ -39,7 +39,7 @@ def _table(rows: Column, headers: Column) -> Column:
 
 def _guess(rows: Column) -> Column:
     """The first row as headers if it looks like it and others follow."""
-    return F.when((F.size(rows) > 1) & looks_like_header(rows[0]), _table(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), rows[0])).when(F.size(rows) > 0, _table(rows, F.array()))
+    return F.when((F.size(rows) > 1) & looks_like_header(F.get(rows, F.lit(0))), _table(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), F.get(rows, F.lit(0)))).when(F.size(rows) > 0, _table(rows, F.array()))
 
 
 def from_markdown(c: Column) -> Column:
@@ -51,7 +51,7 @@ def from_markdown(c: Column) -> Column:
     run = F.when(end > 0, F.slice(rest, 1, (end - 1).cast("int"))).otherwise(rest)
     cells = F.transform(run, lambda x: F.transform(F.split(F.regexp_replace(F.regexp_replace(x, r"^\|", ""), r"\|$", ""), r"\|", -1), _squeeze))
     rows = F.filter(F.slice(cells, 3, F.greatest(F.size(cells) - 2, F.lit(0))), lambda r: F.exists(r, lambda x: x != ""))
-    return F.when(F.size(cells) >= 2, _table(rows, cells[0]))
+    return F.when(F.size(cells) >= 2, _table(rows, F.get(cells, F.lit(0))))
 
 
 def from_html(c: Column) -> Column:
@@ -73,7 +73,7 @@ def from_json(c: Column) -> Column:
     """{"rows": [{header: cell}, ...]} or a list of such rows; headers are the first row's keys."""
     kind = "array<map<string,string>>"
     rows = F.coalesce(F.from_json(F.get_json_object(c, "$.rows"), kind), F.from_json(F.get_json_object(c, "$.data"), kind), F.from_json(F.when(c.startswith("["), c), kind))
-    keys = F.map_keys(rows[0])
+    keys = F.map_keys(F.get(rows, F.lit(0)))
     return F.when(F.size(rows) > 0, _table(F.transform(rows, lambda r: F.transform(keys, lambda k: F.coalesce(F.try_element_at(r, k), F.lit("")))), keys))
 
 
@@ -81,7 +81,7 @@ def to_markdown(t: Column) -> Column:
     line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
     dashes = lambda cells: line(F.transform(cells, lambda _: F.lit("---")))
     has = F.size(t["headers"]) > 0
-    top = F.when(has, t["headers"]).otherwise(t["rows"][0])
+    top = F.when(has, t["headers"]).otherwise(F.get(t["rows"], F.lit(0)))
     rest = F.when(has, t["rows"]).otherwise(F.slice(t["rows"], 2, F.greatest(F.size(t["rows"]) - 1, F.lit(0))))
     body = F.array_join(F.concat(F.array(line(top), dashes(top)), F.transform(rest, line)), "\n")
     return F.when(has | (F.size(t["rows"]) > 0), body).otherwise(F.lit(""))
@@ -114,10 +114,10 @@ def enrich(tables: DataFrame) -> DataFrame:
     headers = F.when(F.size(F.col("__t.headers")) > 0, F.col("__t.headers")).otherwise(old)
     rows = F.coalesce(F.col("__t.rows"), F.array().cast(_ROWS))
     take = (F.size(headers) == 0) & (F.size(rows) > 0)
-    guess = take & looks_like_header(rows[0])
+    guess = take & looks_like_header(F.get(rows, F.lit(0)))
     width = F.coalesce(F.array_max(F.transform(rows, F.size)), F.lit(0))
     numbered = F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), lambda i: F.concat(F.lit("Column "), i.cast("string")))
-    out = out.withColumns({"headers": F.when(guess, rows[0]).when(take, numbered).otherwise(F.coalesce(headers, F.array().cast("array<string>"))), "rows": F.when(guess, F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)})
+    out = out.withColumns({"headers": F.when(guess, F.get(rows, F.lit(0))).when(take, numbered).otherwise(F.coalesce(headers, F.array().cast("array<string>"))), "rows": F.when(guess, F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)})
     out = out.withColumns({"row_count": F.size("rows"), "col_count": F.size("headers"), "__r": F.struct("headers", "rows")})
     text = F.col("summary") if "summary" in tables.columns else F.lit("")
     return out.withColumns({"markdown": to_markdown(F.col("__r")), "html": to_html(F.col("__r")), "summary": summary(text, F.col("headers"), F.col("row_count"), F.col("col_count"))}).drop("__t", "__r")
