@@ -1,7 +1,7 @@
 """Packing of documents into fixed-length sequences by cutting-stock column generation.
 
 A document's ids are cut into full pieces of the sequence length and one remainder. Remainders fall into size classes of a
-fixed length histogram (exact up to 128 tokens, then 64 per octave, so a class is at most 1/64 wider than its members). A
+fixed length histogram (exact up to 64 tokens, then 32 per octave, so a class is at most 1/32 wider than its members). A
 linear program over patterns (how many pieces of each class share a sequence) minimises the number of sequences; its columns
 come from a knapsack dynamic program that prices patterns by the dual values. Pattern counts are rounded down, what is left is
 packed greedily, and the pieces, ranked within their class, are dealt to the pattern slots.
@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 from foliate.llm import common, tokens
 
 SEQUENCE = 4096
-PER_OCTAVE = 64
+PER_OCTAVE = 32
 #: Pieces of one class that one ranking task takes, about.
 RANKED = 50_000
 #: The linear program stops this close to its bound.
 GAP = 2e-3
+#: Columns per class that it keeps at hand.
+POOL = 4
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, size int"
 
 
@@ -126,6 +128,10 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int = SEQUENCE, ga
         if not new:
             break
         pool = np.column_stack([pool, *new])
+        if pool.shape[1] > POOL * n:  # columns that the prices like least go; the program can find them again
+            keep = np.argsort(-(dual @ pool))[: POOL * n]
+            known -= {pool[:, j].tobytes() for j in set(range(pool.shape[1])) - set(keep.tolist())}
+            pool = pool[:, keep]
     left, plan = demand.copy(), []
     for column, k in sorted(zip(basis.T, np.floor(x + 1e-9).astype(np.int64), strict=True), key=lambda p: -p[1]):
         a = np.rint(column).astype(np.int64)
