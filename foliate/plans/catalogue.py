@@ -418,7 +418,7 @@ def encode_items(spark, d):
     return vectors.encode_items(_chunked(spark, d)).select("embedding_type", "content", "chunk_index")
 
 
-@query("SELECT CAST(d.doc_id AS STRING) AS chunk_id, e.label, round(e.embedding[1], 4) AS first FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id")
+@query("SELECT CAST(d.doc_id AS STRING) AS chunk_id, e.label, round(CAST(e.embedding[1] AS DOUBLE), 4) AS first FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id")
 def attach_embeddings(spark, d):
     e = read(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding", "label")
     c = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
