@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from foliate.llm import common
 
 MARK = "▁"
-CACHE_PARTS = 400_000
+CACHE_WORDS, CACHE_PARTS = 600_000, 900_000
 CACHE_PAIRS = 1_000_000
 #: Kinds of pieces in model files (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -107,7 +107,7 @@ class _Cache(dict):
         self.make = make
 
     def __missing__(self, key):
-        if len(self) >= CACHE_PARTS:
+        if len(self) >= CACHE_WORDS:
             self.clear()
         out = self[key] = self.make(key)
         return out
@@ -182,38 +182,52 @@ class Transducer:
         return out
 
     def shortest_bpe(self, s: str) -> list[int]:
-        """shortest() for BPE models: at most one last piece is left at each position, so a state is a position."""
-        size, pairs, follows, spelled = len(s), self.pairs, self.may_follow, self.spelled
-        before: list = [None] * (size + 1)
-        last: list = [None] * (size + 1)
-        before[0] = -1
-        for at in range(size):
-            if before[at] is None:
-                continue
-            node, own, single = self.trie, last[at], False
+        """shortest() for BPE models, longest pieces first: all paths that are left weigh nothing, so the first one that arrives is
+        it. At most one last piece fits each position, so a position is tried once."""
+        size, pairs, follows, spelled, trie = len(s), self.pairs, self.may_follow, self.spelled, self.trie
+        path: list[tuple[str | None, int, list[int]]] = []
+        tried = bytearray(size + 1)
+        at, last = 0, None
+        while True:
+            ends, node = [], trie
             for end in range(at, size):
                 node = node.get(s[end])
                 if node is None:
                     break
                 if "" in node:
-                    single |= end == at
-                    if before[end + 1] is None:
-                        piece = s[at : end + 1]
-                        if own is None:
-                            ok = end == at or self.split(piece) is not None
-                        else:
-                            ok = pairs.get((own, piece))
-                            ok = follows(own, piece) if ok is None else ok
-                        if ok:
-                            before[end + 1], last[end + 1] = at, piece
-            if not single and before[at + 1] is None:
-                before[at + 1], last[at + 1] = at, s[at]
+                    ends.append(end + 1)
+            if at < size and (not ends or ends[0] != at + 1):
+                ends.insert(0, at + 1)
+            path.append((last, at, ends))
+            if at == size:
+                break
+            while True:
+                last, at, ends = path[-1]
+                found = None
+                while ends:
+                    end = ends.pop()
+                    if tried[end]:
+                        continue
+                    piece = s[at:end]
+                    if last is None:
+                        ok = end == at + 1 or self.split(piece) is not None
+                    else:
+                        ok = pairs.get((last, piece))
+                        ok = follows(last, piece) if ok is None else ok
+                    if ok:
+                        tried[end], found = 1, piece
+                        break
+                if found is not None:
+                    at, last = end, found
+                    break
+                path.pop()
         out: list[int] = []
-        while size > 0:
-            piece = last[size]
-            out += [spelled[piece]] if piece in spelled else self.fallback(piece)[::-1]
-            size = before[size]
-        return out[::-1]
+        for piece, _, _ in path[1:]:
+            if piece in spelled:
+                out.append(spelled[piece])
+            else:
+                out += self.fallback(piece)
+        return out
 
     def shortest(self, s: str) -> list[int]:
         """The path of least weight through the lattice of s; a state is a position and, for BPE, the last piece."""
