@@ -81,36 +81,32 @@ def _sign(window: int):
     return run
 
 
-def _candidates(words: common.Words, wanted: list[np.ndarray], window: int, ranges: common.Ranges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows whose minimum is wanted: starts; and the rolling runs in them: starts and hashes."""
-    block = window // 2
-    at, hashes = _rolling(words, block, ranges)
-    starts, least = _minima(hashes, at, words, window, block)
+def _inside(words: common.Words, at: np.ndarray, starts: np.ndarray, least: np.ndarray, wanted: list[np.ndarray], window: int) -> np.ndarray:
+    """Which rolling runs (starts at) lie in a window (starts) whose minimum is wanted for its text."""
     good = np.zeros(len(starts), bool)
-    first = np.searchsorted(starts, words.starts)
-    last = np.searchsorted(starts, words.ends)
+    first, last = np.searchsorted(starts, words.starts), np.searchsorted(starts, words.ends)
     for i, w in enumerate(wanted):
-        if last[i] > first[i]:
+        if last[i] > first[i] and len(w):
             good[first[i] : last[i]] = np.isin(least[first[i] : last[i]], w)
-    starts = starts[good]
     inside = np.zeros(len(words.hashes) + 1, np.int64)
-    np.add.at(inside, starts, 1)
-    np.add.at(inside, starts + window - block + 1, -1)
-    mine = np.cumsum(inside)[at] > 0
-    return starts, at[mine], hashes[mine]
+    np.add.at(inside, starts[good], 1)
+    np.add.at(inside, starts[good] + window - window // 2 + 1, -1)
+    return np.cumsum(inside)[at] > 0
 
 
 def _probe(window: int):
-    """The rolling runs of the regions in question; indexed where they are blocks of their document."""
+    """The blocks of all regions in question (indexed), and the rolling runs of those that an earlier document may have too."""
     block = window // 2
 
     def run(batch: pa.RecordBatch):
         words = common.Words(common.texts(batch.column(1)))
-        wanted = _arrays(batch.column(2))
-        _, at, hashes = _candidates(words, wanted, window, common.Ranges(words.hashes))
+        at, hashes = _rolling(words, block, common.Ranges(words.hashes))
+        least = _minima(hashes, at, words, window, block)
+        offset = at - words.starts[np.searchsorted(words.ends, at, "right")]
+        mine = _inside(words, at, *least, _arrays(batch.column(4)), window) | (_inside(words, at, *least, _arrays(batch.column(2)), window) & (offset % block == 0))
+        at, hashes, offset = at[mine], hashes[mine], offset[mine]
         doc = np.searchsorted(words.ends, at, "right")
-        offset = at - words.starts[doc]
-        yield {"doc_id": batch.column(0).take(pa.array(doc)), "rid": batch.column(3).take(pa.array(doc)), "at": offset, "hash": common.signed(hashes), "indexed": offset % block == 0}
+        yield {"doc_id": batch.column(0).take(pa.array(doc)), "rid": batch.column(3).take(pa.array(doc)), "at": offset, "hash": common.signed(hashes)}
 
     return run
 
@@ -204,13 +200,16 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     long = signed.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     classes = long.groupBy(*words).agg(F.min(F.struct(*KEY)).alias("first"), F.first("minima").alias("minima")).select(*words, "first.doc_id", "first.rid", "minima")
     slots = classes.select(*KEY, F.explode("minima").alias("hash")).repartition("hash")
-    shared = slots.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("hash")
-    wanted = slots.join(shared, "hash").groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"))
-    probes = common.arrow_map(_where(docs, wanted).select("doc_id", "text", "wanted", "rid"), _probe(window), "doc_id long, rid long, at long, hash long, indexed boolean").repartition("hash")
-    anchors = probes.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("indexed").alias("indexed")).where("indexed AND lo <> hi").select("hash")
+    # Each of these three groups a shuffled table by hash and joins it with the groups. max() keeps columns that only the join
+    # needs, so that both sides read one exchange.
+    shared = slots.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("rid").alias("any")).where("lo <> hi AND any IS NOT NULL").select("hash", "lo")
+    probing = F.collect_list(F.when(F.col("lo") < F.col("doc_id"), F.col("hash"))).alias("probing")
+    wanted = slots.join(shared, "hash").groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing)
+    probes = common.arrow_map(_where(docs, wanted).select("doc_id", "text", "wanted", "rid", "probing"), _probe(window), "doc_id long, rid long, at long, hash long").repartition("hash")
+    anchors = probes.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.col("at") % (window // 2) == 0).alias("indexed"), F.max(F.struct("rid", "at")).alias("any")).where("indexed AND lo <> hi AND any IS NOT NULL").select("hash")
     hits = probes.join(anchors, "hash").groupBy(*KEY).agg(F.collect_list("at").alias("hits"))
     windows = common.arrow_map(_where(docs, hits).select("doc_id", "text", "hits", "rid"), _extend(window), "doc_id long, rid long, at long, w1 long, w2 long").repartition("w1", "w2")
-    first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
+    first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max(F.struct("rid", "at")).alias("any")).where("any IS NOT NULL").drop("any")
     later = windows.join(first, ["w1", "w2"]).where("first < doc_id").groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts"))
     own = classes.select(*words, F.col("doc_id").alias("first_id"), F.col("rid").alias("first_rid"))
     signed = common.materialise(signed.drop("minima").join(own, words, "left").withColumn("copy", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False))))
