@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import zipfile
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,27 +13,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliate.session import ship
+
 #: Bytes of text that one step of a Python worker holds at once.
 CHUNK_BYTES = 4 << 20
 
+#: Rows that Spark sends to a worker at once: whole texts, so that a batch of them fits beside the executor's heap.
+BATCH_ROWS = 2000
+
 #: Rows up to which a table of ids may be broadcast (8 bytes each, so 4 MB); larger tables are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for clusters where it isn't installed."""
-    sc = spark.sparkContext
-    if getattr(sc, "_foliate_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    out = os.path.join(tempfile.mkdtemp(prefix="foliate"), "foliate_src.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(out)
-    sc._foliate_shipped = True
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,16 +44,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """fn over slices of at most about CHUNK_BYTES; fn yields dicts of columns in the order of schema."""
-    ship(df.sparkSession)
+def stored(df: DataFrame) -> DataFrame:
+    """As materialise(), as a compressed Parquet table in the shared folder: for large tables."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str, size: int = CHUNK_BYTES) -> DataFrame:
+    """fn over slices of at most about size bytes; fn yields dicts of columns in the order of schema."""
+    spark = df.sparkSession
+    ship(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     fields = to_arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size):
                 for cols in fn(part):
                     yield pa.RecordBatch.from_arrays([as_array(cols[f.name], f.type) for f in fields], schema=fields)
+        pa.default_memory_pool().release_unused()  # workers live on
 
     return df.mapInArrow(run, schema)
 
@@ -80,9 +80,9 @@ def to_arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return convert(StructType.fromDDL(ddl))
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch, each of one row or at most about CHUNK_BYTES."""
-    if batch.nbytes <= CHUNK_BYTES:
+def slices(batch: pa.RecordBatch, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch, each of one row or at most about size bytes."""
+    if batch.nbytes <= size:
         if batch.num_rows:
             yield batch
         return
@@ -96,7 +96,7 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     ends = np.cumsum(sizes)
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+        end = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
         yield batch.slice(at, end - at)
         at = end
 
@@ -125,7 +125,7 @@ class Words:
         self.hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-@lru_cache(8)
+@lru_cache(3)
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(base, -1, 1 << 64)
     ups, downs = np.full(n + 1, base, np.uint64), np.full(n + 1, inverse, np.uint64)
@@ -141,7 +141,7 @@ class Ranges:
 
     def __init__(self, hashes: np.ndarray, base: int = BASES[0]):
         n = len(hashes)
-        size = 1 << max(10, int(n).bit_length())
+        size = 1 << max(20, int(n).bit_length())
         self.ups, self.downs = _powers(base, size)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * self.ups[:n], out=self.sums[1:], dtype=np.uint64)

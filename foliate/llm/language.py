@@ -34,7 +34,9 @@ ROUNDS = 3
 #: Longest pieces and words; longer words are cut into runs of this length.
 PIECE, WORD = 8, 24
 UNKNOWN = "und"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 60_000
+#: Bytes of text that are split into words at once.
+CHUNK_BYTES = 1 << 20
 #: Words that are scored at once.
 STEP = 2000
 _WORDS = regex.compile(r"[\p{L}\p{M}]+")
@@ -249,7 +251,7 @@ def learn(docs: DataFrame, path: str | None = None) -> Model | None:
                 found[lang, w] = found.get((lang, w), 0) + 1
         yield {"lang": [k[0] for k in found], "word": [k[1] for k in found], "n": list(found.values())}
 
-    counted = common.arrow_map(taken, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = common.arrow_map(taken, count, "lang string, word string, n long", CHUNK_BYTES).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
     # Of each language, the words of SAMPLE_ROWS texts at most (about); the most frequent FIT_WORDS of them are used.
     for r in counted.toLocalIterator():
@@ -278,7 +280,7 @@ def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
             scores.append(float(post[best] / post.sum()))
         yield {c: batch.column(i + 1) for i, c in enumerate(keep)} | {"lang_pred": langs, "score": scores}
 
-    return common.arrow_map(docs.select(F.col("text").alias("__text"), *keep), run, schema)
+    return common.arrow_map(docs.select(F.col("text").alias("__text"), *keep), run, schema, CHUNK_BYTES)
 
 
 def identify(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import lru_cache
 END_ID = 2
 
 #: Distinct words that a worker remembers (some 200 bytes each).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 #: Characters of texts whose words the short way below splits as the tokenizer would: no combining marks, no character whose
 #: lower case depends on its neighbours, and only white space that both sides know.
