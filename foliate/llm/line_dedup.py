@@ -123,10 +123,11 @@ def _confirm(batch: pa.RecordBatch):
 def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """LINE of the lines that an earlier one is within one edit of; distinct has the first line of each kind and its halves."""
     halves = distinct.where(F.size("halves") > 0).select(*LINE, F.explode("halves").alias("half")).repartition("half")
-    shared = halves.groupBy("half").agg(F.count("*").alias("k")).where("k > 1")
+    # max() keeps the columns that only the join needs, so that both sides read one exchange
+    shared = halves.groupBy("half").agg(F.count("*").alias("k"), F.max(F.struct(*LINE)).alias("any")).where("k > 1 AND any IS NOT NULL").select("half")
     open_ = common.materialise(halves.join(shared, "half").groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")))
     texts = common.only(docs, open_.select(*KEY), KEY).join(open_, KEY).select("doc_id", "rid", "text", "wanted")
-    variants = common.materialise(common.arrow_map(texts, _variants, "doc_id long, rid long, line int, n int, at int, key long"))
+    variants = common.stored(common.arrow_map(texts, _variants, "doc_id long, rid long, line int, n int, at int, key long"))
     me = F.struct(*_ORDER)
     less, full = variants.where("at >= 0"), variants.where("at < 0")
     # Lines that leave out the same position of the same words: each with the earliest.
@@ -147,7 +148,7 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """KEY and the sorted numbers of the lines to remove (gone), for documents that have any."""
     docs = _keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    signed = common.materialise(common.arrow_map(docs.select("doc_id", "rid", "text"), _sign(min_words, near_words), "doc_id long, rid long, line int, n int, h1 long, h2 long, halves array<long>"))
+    signed = common.stored(common.arrow_map(docs.select("doc_id", "rid", "text"), _sign(min_words, near_words), "doc_id long, rid long, line int, n int, h1 long, h2 long, halves array<long>"))
     same = ["n", "h1", "h2"]
     first = signed.groupBy(*same).agg(F.min(F.struct(*_ORDER)).alias("w"), F.first("halves").alias("halves"))
     distinct = first.select("w.doc_id", "w.rid", "w.line", "halves")
