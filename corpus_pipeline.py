@@ -14,6 +14,8 @@ from foliate.llm import common, language, line_dedup, near_dedup, packing, repea
 
 #: Documents whose language is less certain than this go, and those without one.
 LEAST_SCORE = 0.5
+#: Near copies share this % of their 5-word shingles or more.
+NEAR_SHARE = 80
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
-    gone = common.materialise(near_dedup.groups(docs).where("NOT kept").select("doc_id").distinct())
+    gone = common.materialise(near_dedup.groups(docs, NEAR_SHARE).where("NOT kept").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -4,7 +4,7 @@ A document is the set of its distinct 5-word shingles (A-Z in lower case). Its s
 (Dahlgaard, Knudsen and Thorup, 2017): in each of the first SIZE rounds every shingle is hashed to one coordinate and keeps
 the smallest value there, in the next SIZE rounds round i fills coordinate i; it ends when all are filled, so that every coordinate of
 every document has a value and the estimate is concentrated. Bands of ROWS coordinates make the candidate buckets: two sets with
-similarity 0.85 miss each other in all bands with probability under 1e-8.
+similarity 0.85 miss each other in all bands with probability under 1e-8, with 0.8 under 4e-6.
 
 No bucket is expanded into pairs. Equal sets are one class from the start. In each bucket members are compared with one hub,
 then those still apart with another. What is left, members of one bucket in different components, is compared exactly by
@@ -29,7 +29,7 @@ from foliate.llm import common
 from foliate.llm.components import components
 
 SHINGLE = 5
-#: Links are sets with SHARE * union <= 100 * intersection.
+#: Links are sets with share * union <= 100 * intersection; this is op4's share.
 SHARE = 85
 ROWS, BANDS = 5, 32
 SIZE = ROWS * BANDS
@@ -115,14 +115,14 @@ def linked(a: list[bytes | None], b: list[bytes | None], share: int = SHARE) ->
     return out
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) of doc_ids that are linked."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     own = common.only(docs, common.materialise(ids), "doc_id")
     both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batch: pa.RecordBatch):
-        good = np.flatnonzero(linked(common.texts(batch.column(2)), common.texts(batch.column(3))))
+        good = np.flatnonzero(linked(common.texts(batch.column(2)), common.texts(batch.column(3)), share))
         yield {"a": batch.column(0).take(pa.array(good)), "b": batch.column(1).take(pa.array(good))}
 
     return common.materialise(common.arrow_map(both.select("a", "b", "ta", "tb"), run, "a long, b long"))
@@ -139,7 +139,7 @@ def _apart(members: DataFrame) -> DataFrame:
     return members.join(mixed, "key", "left_semi")
 
 
-def _rest(open_: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest(open_: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     """Pairs of different components among open_(rep, component) that can be linked, by prefixes, lengths and positions."""
 
     def run(batch: pa.RecordBatch):
@@ -152,19 +152,19 @@ def _rest(open_: DataFrame, docs: DataFrame) -> DataFrame:
     sets = sets.repartition("shingle")
     often = sets.groupBy("shingle").agg(F.count("*").alias("df"))
     order = Window.partitionBy("rep").orderBy("df", "shingle")
-    # A partner of a set of n has at least SHARE % of n in common with it, one that is as large or larger at least 2 SHARE / (100 + SHARE).
-    probe = F.col("n") - F.ceil(F.lit(SHARE) * F.col("n") / 100) + 1
-    index = F.col("n") - F.ceil(F.lit(2 * SHARE) * F.col("n") / (100 + SHARE)) + 1
+    # A partner of a set of n has at least share % of n in common with it, one that is as large or larger at least 2 share / (100 + share).
+    probe = F.col("n") - F.ceil(F.lit(share) * F.col("n") / 100) + 1
+    index = F.col("n") - F.ceil(F.lit(2 * share) * F.col("n") / (100 + share)) + 1
     prefix = sets.join(often, "shingle").withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < probe).withColumn("indexed", F.col("at") < index)
     prefix = common.materialise(prefix.where("df > 1").select("shingle", "rep", "component", "n", "at", "indexed"))
     x, y = prefix.where("indexed").alias("x"), prefix.alias("y")
     on = "x.shingle = y.shingle AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.rep < y.rep)"
-    on += f" AND 100 * x.n >= {SHARE} * y.n AND {100 + SHARE} * least(x.n - x.at, y.n - y.at) >= {SHARE} * (x.n + y.n)"
+    on += f" AND 100 * x.n >= {share} * y.n AND {100 + share} * least(x.n - x.at, y.n - y.at) >= {share} * (x.n + y.n)"
     return x.join(y, F.expr(on)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each document."""
+def groups(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of each document, by links of share % or more."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = common.materialise(common.arrow_map(docs, _sign, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"))
     sets = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -178,11 +178,11 @@ def groups(docs: DataFrame) -> DataFrame:
         now = common.materialise(now) if k else now
         hubs = now.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(k)) if k else F.col("rep")).alias("hub"))
         pairs = now.join(hubs, "key").where("rep <> hub.rep AND component <> hub.component").select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
-        found = _confirm(common.materialise(pairs), docs)
+        found = _confirm(common.materialise(pairs), docs, share)
         links = found if links is None else links.unionByName(found)
         labels = common.materialise(components(links))
     open_ = common.materialise(_apart(_labelled(members, labels)).select("rep", "component").distinct())
-    found = _confirm(common.materialise(_rest(open_, docs)), docs)
+    found = _confirm(common.materialise(_rest(open_, docs, share)), docs, share)
     # Rows that share a doc_id are versions of one document: their classes are linked too.
     member = sets.join(classes.select("n_shingles", "f1", "f2", "rep"), ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
     own = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

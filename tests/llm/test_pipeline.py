@@ -1,6 +1,9 @@
+import random
+
 import corpus_pipeline
 from foliate.llm import line_dedup, near_dedup
-from tests.llm.helpers import corpus, documents
+from tests.llm.helpers import corpus, documents, prose
+from tests.llm.test_near import brute_components, shingle_set
 
 
 def test_stages_hand_on_documents(spark, tmp_path):
@@ -23,3 +26,27 @@ def test_stages_hand_on_documents(spark, tmp_path):
     assert packed == seen["repeats"].select("doc_id").distinct().count()
     ran = corpus_pipeline.run(spark, str(tmp_path))
     assert ran.select("doc_id", "start", "length", "ids_crc32").exceptAll(seen["packing"].select("doc_id", "start", "length", "ids_crc32")).count() == 0
+
+
+def test_near_stage_links_from_80_percent(spark, tmp_path):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        w = prose(rng, 200, 10**6).split()
+        texts.append(" ".join(w))
+        for edits in (2, 3, 4, 5, 6):
+            v = list(w)
+            for p in range(edits):
+                v[20 + 30 * p] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(v))
+    sets = [shingle_set(t) for t in texts]
+    share = {(i, j): 100 * len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i + 1, len(sets))}
+    assert sum(80 <= x < 85 for x in share.values()) >= 12 and sum(70 <= x < 80 for x in share.values()) >= 12
+    want = brute_components(range(len(texts)), [p for p, x in share.items() if x >= 80])
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.groups(documents(spark, texts), corpus_pipeline.NEAR_SHARE).collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in corpus_pipeline.near(spark, documents(spark, texts), str(tmp_path)).collect()}
+    assert kept == {i for i, c in want.items() if c == i}
+    # links of 0.85 alone leave more
+    at85 = brute_components(range(len(texts)), [p for p, x in share.items() if x >= 85])
+    assert len(set(at85.values())) > len(kept)
