@@ -1,8 +1,10 @@
 """Removal of lines that stand earlier in the corpus, word for word or within one word, by a deletion-neighbourhood join.
 
-Lines are the \\n-split parts of a text, known by their words (runs of characters other than 0x20 and 0x09-0x0D). A line of
-MIN_WORDS words or more is removed if an earlier line, by (doc_id, line number), has the same words. A line of NEAR_WORDS or more is also removed if an earlier one
-is within one word edit of it: a word put in, left out or exchanged. Shorter lines stay, so that headings and list marks do.
+Lines are the \\n-split parts of a text, known by their words (runs of characters other than 0x20 and 0x09-0x0D). A line that
+has a word (MIN_WORDS) is removed if an earlier line, by (doc_id, line number), has the same words. It is also removed if an
+earlier one is within one word edit of it, a word put in, left out or exchanged, and the longer of the two has NEAR_WORDS words or
+more: one edit per NEAR_WORDS words. Two shorter lines must be equal, as an edit would be a quarter of them or all. Lines
+without words stay.
 
 Each line in question emits its deletion variants, the line itself and the line without each of its words, as hashed keys.
 Equal variants meet in one group: lines that left out the same position differ in that word alone, a full line equals a longer
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from foliate.llm import common
 
-MIN_WORDS, NEAR_WORDS = 5, 10
+MIN_WORDS, NEAR_WORDS = 1, 5
 LINE = ["doc_id", "rid", "line"]
 KEY = ["doc_id", "rid"]
 _ORDER = ["doc_id", "line", "rid"]
@@ -52,9 +54,9 @@ def _sign(min_words: int, near_words: int):
         s, e, n = words.starts[good], words.ends[good], words.counts[good]
         a, b = common.Ranges(words.hashes), common.Ranges(words.hashes, common.BASES[1])
         keys, at = [], []
-        near = np.flatnonzero(n >= near_words)
+        # lines of a word less than near_words have partners of near_words alone
         for less in (0, 1):  # halves of n words and, for even n, of n - 1
-            mine = near if not less else near[n[near] % 2 == 0]
+            mine = np.flatnonzero((n >= near_words) & (n % 2 == 0)) if less else np.flatnonzero(n >= near_words - 1)
             half = (n[mine] - less) // 2
             tag = half.astype(np.uint64) * np.uint64(common.BASES[1])
             keys += [common.mix(a.of(s[mine], s[mine] + half) ^ tag), common.mix(~(a.of(e[mine] - half, e[mine]) ^ tag))]
@@ -82,20 +84,25 @@ def _picked(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]
     return out, np.array(row, np.int64), np.array(number, np.int64)
 
 
-def _variants(batch: pa.RecordBatch):
-    """The line itself (at -1) and the line without each word, as hashed keys."""
-    lines, row, number = _picked(batch)
-    words = common.Words(lines)
-    ranges = common.Ranges(words.hashes)
-    which = np.repeat(np.arange(len(lines)), words.counts)
-    p = np.arange(len(words.hashes))
-    s, e = words.starts[which], words.ends[which]
-    less = ranges.of(s, p) + ranges.of(p + 1, e) * ranges.ups[p - s]
-    which, at = np.concatenate([np.arange(len(lines)), which]), np.concatenate([np.full(len(lines), -1), p - s])
-    keys = np.concatenate([ranges.of(words.starts, words.ends), less])
-    n = words.counts[which] - (at >= 0)
-    r = pa.array(row[which])
-    yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "n": n, "at": at, "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48))))}
+def _variants(near_words: int):
+    """The line itself (at -1) and, from near_words words, the line without each word, as hashed keys."""
+
+    def run(batch: pa.RecordBatch):
+        lines, row, number = _picked(batch)
+        words = common.Words(lines)
+        ranges = common.Ranges(words.hashes)
+        which = np.repeat(np.arange(len(lines)), words.counts)
+        p = np.flatnonzero(words.counts[which] >= near_words)
+        which = which[p]
+        s, e = words.starts[which], words.ends[which]
+        less = ranges.of(s, p) + ranges.of(p + 1, e) * ranges.ups[p - s]
+        which, at = np.concatenate([np.arange(len(lines)), which]), np.concatenate([np.full(len(lines), -1), p - s])
+        keys = np.concatenate([ranges.of(words.starts, words.ends), less])
+        n = words.counts[which] - (at >= 0)
+        r = pa.array(row[which])
+        yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "n": n, "at": at, "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48))))}
+
+    return run
 
 
 def _texts(batch: pa.RecordBatch):
@@ -120,14 +127,14 @@ def _confirm(batch: pa.RecordBatch):
     yield {c: batch.column(i).take(at) for i, c in enumerate(LINE)}
 
 
-def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
+def _near(distinct: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
     """LINE of the lines that an earlier one is within one edit of; distinct has the first line of each kind and its halves."""
     halves = distinct.where(F.size("halves") > 0).select(*LINE, F.explode("halves").alias("half")).repartition("half")
     # max() keeps the columns that only the join needs, so that both sides read one exchange
     shared = halves.groupBy("half").agg(F.count("*").alias("k"), F.max(F.struct(*LINE)).alias("any")).where("k > 1 AND any IS NOT NULL").select("half")
     open_ = common.materialise(halves.join(shared, "half").groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")))
     texts = common.only(docs, open_.select(*KEY), KEY).join(open_, KEY).select("doc_id", "rid", "text", "wanted")
-    variants = common.stored(common.arrow_map(texts, _variants, "doc_id long, rid long, line int, n int, at int, key long"))
+    variants = common.stored(common.arrow_map(texts, _variants(near_words), "doc_id long, rid long, line int, n int, at int, key long"))
     me = F.struct(*_ORDER)
     less, full = variants.where("at >= 0"), variants.where("at < 0")
     # Lines that leave out the same position of the same words: each with the earliest.
@@ -153,7 +160,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
     first = signed.groupBy(*same).agg(F.min(F.struct(*_ORDER)).alias("w"), F.first("halves").alias("halves"))
     distinct = first.select("w.doc_id", "w.rid", "w.line", "halves")
     again = signed.drop("halves").join(first.select(*same, "w"), same).where(F.struct(*_ORDER) > F.col("w")).select(*LINE)
-    return again.unionByName(_near(distinct, docs)).groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    return again.unionByName(_near(distinct, docs, near_words)).groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
 def edits(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:

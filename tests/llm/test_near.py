@@ -167,6 +167,26 @@ def test_line_dedup(spark):
     assert line_dedup.edits(documents(spark, [])).count() == 0
 
 
+def test_line_dedup_has_no_floors(spark):
+    a, b = "one two three four five six seven eight nine".split(), "alpha beta gamma delta epsilon".split()
+    rng = np.random.default_rng(6)
+    texts = ["All rights reserved.\nIntro", "日本語の文章です\n\nAll  rights reserved.", "Intro\nx\n日本語の文章です\n \nAll rights kept."]
+    texts += [" ".join(a), " ".join([*a, "ten"]), " ".join(b), " ".join([*b[:2], "odd", *b[3:]]), " ".join(b[:4]), "p q r s", "p q r s t", "p q r u", "p q r"]
+    texts += ["\n".join(" ".join(f"k{rng.integers(6)}" for _ in range(rng.integers(1, 12))) for _ in range(5)) for _ in range(40)]
+    earlier, want = [], {}
+    for d, t in enumerate(texts):
+        kept = []
+        for line in t.split("\n"):
+            w = words(line)
+            if not w or not any(v == w or max(len(v), len(w)) >= 5 and line_dedup.within_one(v, w) for v in earlier):
+                kept.append(line)
+            if w:
+                earlier.append(w)
+        want[d] = "\n".join(kept)
+    assert want[1] == "日本語の文章です\n" and want[2] == "x\n \nAll rights kept." and want[4] == want[6] == want[7] == want[9] == "" and want[10] == "p q r u"
+    assert {r["doc_id"]: r["text"] for r in line_dedup.edits(documents(spark, texts)).collect()} == want
+
+
 def test_within_one():
     a = list("abcd")
     assert all(line_dedup.within_one(a, list(b)) and line_dedup.within_one(list(b), a) for b in ("abcd", "abc", "bcd", "abxd", "abcde", "xabcd"))
