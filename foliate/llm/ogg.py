@@ -95,6 +95,13 @@ class Stream:
     def seconds(self, rate: int = RATE) -> float:
         return max((g for g, _ in self.marks), default=0) / rate
 
+    def times(self, rate: int = RATE) -> np.ndarray:
+        """Seconds at the end of each packet of 8-bit samples. Raises BadOgg if a page's granule position isn't the samples so far."""
+        ends = np.cumsum([0, *map(len, self.packets)])
+        if any(g != ends[k] for g, k in self.marks):
+            raise BadOgg("granule position")
+        return ends[1:] / rate
+
 
 def demux(data: bytes) -> dict[int, Stream]:
     """Logical streams by serial number. Raises BadOgg on a bad capture pattern, checksum, sequence, flag or a cut file."""
@@ -118,7 +125,7 @@ def demux(data: bytes) -> dict[int, Stream]:
         if first != bool(flags & FIRST) or s.ended or number != s.pages or bool(flags & CONTINUED) != (s.open is not None):
             raise BadOgg("page order")
         s.pages += 1
-        body, begun, length, held = at + 27 + n, at + 27 + n, 0, s.open
+        body, begun, length, held, before = at + 27 + n, at + 27 + n, 0, s.open, len(s.packets)
         for v in values:
             length += v
             if v < 255:
@@ -126,6 +133,8 @@ def demux(data: bytes) -> dict[int, Stream]:
                 s.packets.append(part if held is None else held + part)
                 begun, length, held = begun + length, 0, None
         s.open = ((held or b"") + data[begun : begun + length]) if values and values[-1] == 255 else held if not values else None
+        if granule < -1 or (granule >= 0) != (len(s.packets) > before):  # -1: no packet ends here
+            raise BadOgg("granule position")
         if granule >= 0:
             s.marks.append((granule, len(s.packets)))
         s.ended = bool(flags & LAST)
@@ -151,13 +160,12 @@ def inspect(media: bytes) -> tuple[bytes, str]:
     streams = demux(media)
     own = streams[PAYLOAD_SERIAL]
     payload = b"".join(own.packets)
-    if any(g != sum(map(len, own.packets[:k])) for g, k in own.marks[-1:]):
-        raise BadOgg("granule position")
+    times = own.times()
     x = np.frombuffer(payload, np.uint8)
     mean, power = float(x.mean()), float(np.sqrt(np.mean((x - np.float64(128)) ** 2)))
     crossings = int(np.count_nonzero((x[1:] >= 128) != (x[:-1] >= 128)))
     text = streams[TEXT_SERIAL].packets[0].decode()
-    return payload, f"{text};streams={len(streams)};pages={sum(s.pages for s in streams.values())};packets={len(own.packets)};seconds={own.seconds():.6f};mean={mean:.4f};rms={power:.4f};crossings={crossings}"
+    return payload, f"{text};streams={len(streams)};pages={sum(s.pages for s in streams.values())};packets={len(own.packets)};seconds={times[-1]:.6f};mean={mean:.4f};rms={power:.4f};crossings={crossings}"
 
 
 def digests(stored: DataFrame) -> DataFrame:
@@ -177,4 +185,4 @@ def digests(stored: DataFrame) -> DataFrame:
 
 
 def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(store(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return digests(common.stored(store(spark.read.parquet(f"{sf_dir}/documents.parquet"))))

@@ -112,6 +112,24 @@ def test_ogg_checksum_and_faults():
             ogg.demux(b)
 
 
+def test_ogg_granule_of_every_page_and_stored_media(spark, tmp_path):
+    payload = bytes(range(256)) * 9 * 80
+    packets = [(payload[i : i + ogg.UNIT], i + ogg.UNIT) for i in range(0, len(payload), ogg.UNIT)]
+    good = list(ogg.pages(packets, ogg.PAYLOAD_SERIAL))
+    text = b"".join(ogg.pages([(b"t", 0)], ogg.TEXT_SERIAL))
+    assert len(good) > 2 and ogg.inspect(b"".join([*good, text]))[0] == payload
+    times = ogg.demux(b"".join(good))[ogg.PAYLOAD_SERIAL].times()
+    assert times.tolist() == [end / ogg.RATE for _, end in packets]
+    for wrong in (1, -1):
+        n = good[0][26]
+        bad = ogg._page(good[0][5], wrong, ogg.PAYLOAD_SERIAL, 0, good[0][27 : 27 + n], good[0][27 + n :])
+        with pytest.raises(ogg.BadOgg):
+            ogg.inspect(b"".join([bad, *good[1:], text]))
+    documents(spark, ["a b c", None]).write.parquet(str(tmp_path / "documents.parquet"))
+    query = ogg.op8_ogg(spark, str(tmp_path))
+    assert query.count() == 2 and all("/stored-" in f for f in query.inputFiles())
+
+
 def test_ogg_query(spark):
     rows = corpus()
     got = ogg.digests(ogg.store(documents(spark, rows))).collect()
