@@ -121,9 +121,36 @@ def test_pieces_equal_the_library(piece_library):
         ids = t.encode(s)
         assert ids == piece_library.encode(s), s
         assert t.decode(ids) == piece_library.decode(ids)
-    for s in texts[:80]:
-        for part in t.cuts.split(t.normalise(s)):
-            assert t.shortest(part) == t.shortest_bpe(part)
+    assert [np.frombuffer(x, "<u4").tolist() for x in t.packed(texts)] == [t.encode(s) for s in texts]
+
+
+def test_symbols_kept_apart_are_those_that_merging_keeps_apart():
+    """Against merging the joined spelling step by step."""
+    t, rng = pieces_fst.transducer(), random.Random(2)
+    score = {p: t.model.scores[i] for p, i in t.spelled.items()}
+    names = list(t.spelled)
+
+    def merged(s):
+        parts = list(s)
+        while tries := [(-score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in score]:
+            i = min(tries)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    short = [p for p in names if len(p) < 5 and merged(p) == [p]]
+    a, b = ([rng.choice(short) for _ in range(3000)] for _ in range(2))
+    symbol = {p: i for i, p in enumerate(names)}
+    got = t.pairs.apart(np.array([symbol[x] for x in a]), np.array([symbol[x] for x in b]))
+    assert got.tolist() == [merged(x + y) == [x, y] for x, y in zip(a, b)]
+
+
+def test_long_words_and_squeezed_spaces():
+    t = pieces_fst.transducer()
+    long = "abc123" * 3000 + "日本語" * 500
+    assert t.decode(t.encode(long)) == long and long not in t.words
+    n = pieces_fst.Normaliser(True, True)
+    assert [n.run(x) for x in ("", "  ", " a  b ", "a")] == ["", "", "▁a▁b", "▁a"]
+    assert [pieces_fst.Normaliser(True, False).run(x) for x in ("", " ", " a  b ", "a")] == ["", "▁▁", "▁▁a▁▁b▁", "▁a"]
 
 
 def unigram(pieces):
