@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliate.session import ship
@@ -26,11 +26,14 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset and everything runs on one machine
+    (a local master, as in tests), a folder there."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not getattr(sc, "_foliate_dir", None):
         sc._foliate_dir = "file://" + tempfile.mkdtemp(prefix="foliate-checkpoints")
     return sc._foliate_dir
@@ -175,3 +178,85 @@ def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of df whose key is in ids: ids are counted first and broadcast if few, else both sides are shuffled."""
     few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(ids) if few else ids.hint("merge"), key, "left_semi")
+
+
+def divided(df: DataFrame, rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of df with the columns of rows that have the same key, the other rows of df as they are).
+
+    rows has a row per key at most. Where its keys are few, they are counted, broadcast, and only the rows that have one are shuffled;
+    else both sides are shuffled once.
+    """
+    ids = rows.select(*key)
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(ids), key, "left_semi").join(rows, key), df.join(F.broadcast(ids), key, "left_anti")
+    joined = df.join(rows.withColumn("__found", F.lit(True)), key, "left")
+    return joined.where("__found").drop("__found"), joined.where("__found IS NULL").select(*df.columns)
+
+
+# --- rows and their documents ---------------------------------------------------
+
+KEY = ["doc_id", "rid"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with rid, which tells rows that share a doc_id apart: 0 where a doc_id has one row, else a hash of the text.
+
+    Shuffled tables carry rid, so it costs nothing where ids are unique, as they should be.
+    """
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    again = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    n = again.limit(BROADCAST_ROWS + 1).count()
+    if not n:
+        return docs.withColumn("rid", F.lit(0).cast("long"))
+    if n > BROADCAST_ROWS:
+        return docs.withColumn("rid", F.xxhash64("text"))
+    marked = docs.join(F.broadcast(again.withColumn("__again", F.lit(True))), "doc_id", "left")
+    return marked.withColumn("rid", F.when(F.col("__again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long")).drop("__again")
+
+
+# --- groups with hot keys ---------------------------------------------------------
+
+#: Documents that are looked at for hot keys, about; a key is hot if it has HOT_ROWS of their rows, so in about 1 % of documents.
+HOT_SAMPLE, HOT_ROWS = 5000, 50
+#: At most so many hot keys are told apart (the hottest), and each is dealt to so many tasks.
+HOT_KEYS, SALTS = 10_000, 64
+
+
+def sampled(docs: DataFrame, n: int) -> DataFrame:
+    """About HOT_SAMPLE of n documents, by their KEY."""
+    return docs.where(F.pmod(F.xxhash64(*KEY), F.lit(max(1, n // HOT_SAMPLE))) == 0)
+
+
+def hot_keys(sample: DataFrame, key: list[str]) -> DataFrame | None:
+    """The keys that many rows of the sample share; None if there are none. It decides where rows go, not what comes out."""
+    counts = sample.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS)
+    hot = materialise(counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(*key))
+    return hot if hot.limit(1).count() else None
+
+
+def grouped(rows: DataFrame, key: list[str], hot: DataFrame | None, store: bool = True, inner: list[str] | None = None, inside: dict[str, Column] | None = None, **aggregates: Column) -> DataFrame:
+    """rows with aggregates of the group of its key, and with those of `inside` over its key and inner, from a single exchange of the rows.
+
+    Most groups are a row or two, which nothing before the exchange would make less. Rows of hot keys are dealt to SALTS tasks each;
+    their aggregates are made with partial aggregation beside that, a row per hot key, and broadcast. store: write the rows to a
+    table first in this case, as they are read twice.
+    """
+    levels = [(key, aggregates)] + ([([*key, *inner], inside)] if inner else [])
+    names = [c for _, wanted in levels for c in wanted]
+    salt = []
+    out = rows
+    if hot is not None:
+        out = rows = stored(rows) if store else rows
+        mine = rows.join(F.broadcast(hot), key, "left_semi")
+        for by, wanted in levels:
+            whole = materialise(mine.groupBy(*by).agg(*[a.alias(f"__{c}") for c, a in wanted.items()], F.lit(True).alias("__hot")))
+            few = whole.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+            out = out.drop("__hot").join(F.broadcast(whole) if few else whole, by, "left")
+        salt = ["__salt"]
+        out = out.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*KEY), F.lit(SALTS))).otherwise(F.lit(0)))
+    for by, wanted in levels:
+        w = Window.partitionBy(*by, *salt)
+        out = out.select("*", *[a.over(w).alias(c) for c, a in wanted.items()])
+    if hot is not None:
+        out = out.withColumns({c: F.when(F.col("__hot"), F.col(f"__{c}")).otherwise(F.col(c)) for c in names})
+    return out.select(*rows.columns, *names)

@@ -6,9 +6,10 @@ window of a reference document holds a whole block; the other side is probed wit
 extended to the windows around them, and windows that are equal word by word (two 64-bit hashes of all words) make the
 maximal exact repeats.
 
-Three steps keep the rolling probes in bounds without losing any: documents of equal words stand for each other; the window
-minimum of the rolling hashes, which equal windows share, tells the regions where a repeat is possible at all, and only these are
-indexed and probed; and each step groups by hash and takes the smallest doc_id, so no group is expanded into pairs.
+Four steps keep the rolling probes in bounds without losing any. Documents of equal words stand for each other. A prefilter, the
+window minimum of the rolling hashes, which equal windows share, tells the regions where a repeat is possible at all; only these are
+indexed and probed. A hash goes out once per document, with the first place where it stands, and the others are found again in the text. And
+each step groups by hash and takes the smallest doc_id, so no group is expanded into pairs; hot hashes are dealt to several tasks.
 
 Words are runs of characters other than 0x20 and 0x09-0x0D. Nulls: a null text has no words. Rows with a null doc_id are never
 removed from and remove nothing. Rows with equal doc_id are judged each on its own; they don't remove each other's words. An
@@ -22,7 +23,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,8 +94,21 @@ def _inside(words: common.Words, at: np.ndarray, starts: np.ndarray, least: np.n
     return np.cumsum(inside)[at] > 0
 
 
+def _once(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """The first of the rows that agree in doc and keys, for rows in order of doc."""
+    order = np.lexsort((*keys, doc))
+    new = np.ones(len(doc), bool)
+    new[1:] = doc[order][1:] != doc[order][:-1]
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    return np.sort(order[new])
+
+
 def _probe(window: int):
-    """The blocks of all regions in question (indexed), and the rolling runs of those that an earlier document may have too."""
+    """The blocks of all regions in question (indexed), and the rolling runs of those that an earlier document may have too.
+
+    Each hash once per text, with the first place that has it, as a block if any place does.
+    """
     block = window // 2
 
     def run(batch: pa.RecordBatch):
@@ -103,43 +116,62 @@ def _probe(window: int):
         at, hashes = _rolling(words, block, common.Ranges(words.hashes))
         least = _minima(hashes, at, words, window, block)
         offset = at - words.starts[np.searchsorted(words.ends, at, "right")]
-        mine = _inside(words, at, *least, _arrays(batch.column(4)), window) | (_inside(words, at, *least, _arrays(batch.column(2)), window) & (offset % block == 0))
-        at, hashes, offset = at[mine], hashes[mine], offset[mine]
+        fixed = (offset % block == 0) & _inside(words, at, *least, _arrays(batch.column(2)), window)
+        mine = fixed | _inside(words, at, *least, _arrays(batch.column(4)), window)
+        at, hashes, offset, fixed = at[mine], hashes[mine], offset[mine], fixed[mine]
         doc = np.searchsorted(words.ends, at, "right")
-        yield {"doc_id": batch.column(0).take(pa.array(doc)), "rid": batch.column(3).take(pa.array(doc)), "at": offset, "hash": common.signed(hashes)}
+        # blocks come first among equals, so that a hash that any block has is known as a block
+        order = np.lexsort((~fixed, doc))
+        kept = order[_once(doc[order], hashes[order])]
+        row = pa.array(doc[kept])
+        yield {"doc_id": batch.column(0).take(row), "rid": batch.column(3).take(row), "at": offset[kept], "block": fixed[kept], "hash": common.signed(hashes[kept])}
 
     return run
 
 
 def _arrays(col: pa.ListArray) -> list[np.ndarray]:
-    """A column of lists of longs as arrays (nulls: empty)."""
-    flat, out = col.flatten().to_numpy(zero_copy_only=False), []
+    """A column of lists of integers as arrays of unsigned longs (nulls: empty)."""
+    flat, out = col.flatten().cast(pa.int64()).to_numpy(zero_copy_only=False).view(np.uint64), []
     at = 0
     for n in col.value_lengths().fill_null(0).to_pylist():
-        out.append(flat[at : at + n].view(np.uint64) if flat.dtype == np.int64 else np.zeros(0, np.uint64))
+        out.append(flat[at : at + n])
         at += n
     return out
 
 
+def _places(words: common.Words, hashes: np.ndarray, at: np.ndarray, told: list[np.ndarray]) -> np.ndarray:
+    """Which places (at, in order, with a hash each) have a hash that one of the told places of their text has."""
+    out = np.zeros(len(at), bool)
+    first, last = np.searchsorted(at, words.starts), np.searchsorted(at, words.ends)
+    for i, t in enumerate(told):
+        if len(t) and last[i] > first[i]:
+            mine = hashes[first[i] : last[i]]
+            out[first[i] : last[i]] = np.isin(mine, mine[t.view(np.int64)])
+    return out
+
+
 def _extend(window: int):
-    """Windows around hits, with two hashes of all their words."""
+    """Windows around hits, with two hashes of all their words; each once per text, with the first place that has it."""
     block = window // 2
 
     def run(batch: pa.RecordBatch):
         words = common.Words(common.texts(batch.column(1)))
-        hits = _arrays(batch.column(2))
+        a, b = common.Ranges(words.hashes), common.Ranges(words.hashes, common.BASES[1])
+        at, hashes = _rolling(words, block, a)
+        hit = at[_places(words, hashes, at, _arrays(batch.column(2)))]
+        doc = np.searchsorted(words.ends, hit, "right")
         near = np.zeros(len(words.hashes) + 1, np.int64)
-        for i, h in enumerate(hits):
-            p = h.view(np.int64)
-            lo = np.maximum(p - (window - block), 0) + words.starts[i]
-            hi = np.minimum(p + 1, max(0, words.counts[i] - window + 1)) + words.starts[i]
-            good = lo < hi
-            np.add.at(near, lo[good], 1)
-            np.add.at(near, hi[good], -1)
+        lo = np.maximum(hit - (window - block), words.starts[doc])
+        hi = np.minimum(hit + 1, np.maximum(words.ends[doc] - window + 1, words.starts[doc]))
+        good = lo < hi
+        np.add.at(near, lo[good], 1)
+        np.add.at(near, hi[good], -1)
         at = np.flatnonzero(np.cumsum(near)[:-1] > 0)
         doc = np.searchsorted(words.ends, at, "right")
-        a, b = common.Ranges(words.hashes), common.Ranges(words.hashes, common.BASES[1])
-        yield {"doc_id": batch.column(0).take(pa.array(doc)), "rid": batch.column(3).take(pa.array(doc)), "at": at - words.starts[doc], "w1": common.signed(a.of(at, at + window)), "w2": common.signed(b.of(at, at + window))}
+        w1, w2 = a.of(at, at + window), b.of(at, at + window)
+        kept = _once(doc, w1, w2)
+        row = pa.array(doc[kept])
+        yield {"doc_id": batch.column(0).take(row), "rid": batch.column(3).take(row), "at": at[kept] - words.starts[doc[kept]], "w1": common.signed(w1[kept]), "w2": common.signed(w2[kept])}
 
     return run
 
@@ -148,17 +180,21 @@ _WORD = re.compile(rb"[^ \t-\r]+")
 
 
 def _cut(window: int, extra: list[str]):
-    """The text without the words that the given windows cover; white space around what is left stays."""
+    """The text without the words that the given windows, and those equal to one of them, cover; white space around what is left stays."""
 
     def run(batch: pa.RecordBatch):
+        texts = common.texts(batch.column(0))
+        words = common.Words(texts)
+        windows, hashes = _rolling(words, window, common.Ranges(words.hashes))
+        windows = windows[_places(words, hashes, windows, _arrays(batch.column(1)))]
+        covered = np.zeros(len(words.hashes) + 1, np.int64)
+        np.add.at(covered, windows, 1)
+        np.add.at(covered, windows + window, -1)
+        covered = np.cumsum(covered)[:-1] > 0
         kept, removed, digests = [], [], []
-        for t, starts in zip(common.texts(batch.column(0)), _arrays(batch.column(1)), strict=True):
+        for i, t in enumerate(texts):
             spans = [m.span() for m in _WORD.finditer(t)]
-            gone = np.zeros(len(spans) + 1, np.int64)
-            p = starts.view(np.int64)
-            np.add.at(gone, p, 1)
-            np.add.at(gone, np.minimum(p + window, len(spans)), -1)
-            gone = np.cumsum(gone)[:-1] > 0
+            gone = covered[words.starts[i] : words.ends[i]]
             edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
             out, at = [], 0
             for first, last in edges.reshape(-1, 2).tolist():  # runs of removed words
@@ -168,7 +204,7 @@ def _cut(window: int, extra: list[str]):
             kept.append(left.decode())
             removed.append(int(gone.sum()))
             digests.append(digest(left))
-        yield {"kept_text": kept, "n_removed": removed, "kept_sha256": digests, "n_words": pc.add(pa.array(removed), pa.array([len(k.encode().split()) for k in kept]))} | {c: batch.column(i + 2) for i, c in enumerate(extra)}
+        yield {"kept_text": kept, "n_removed": removed, "kept_sha256": digests, "n_words": words.counts} | {c: batch.column(i + 2) for i, c in enumerate(extra)}
 
     return run
 
@@ -177,40 +213,45 @@ def digest(text: bytes) -> str:
     return hashlib.sha256(b" ".join(text.split())).hexdigest()
 
 
-KEY = ["doc_id", "rid"]
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) with a second half of a row's key, for rows that share a doc_id."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("rid"), "text")
+KEY = common.KEY
 
 
 def _where(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """docs joined with rows by KEY: filtered by the keys first, so that only the documents in question are shuffled."""
-    rows = common.materialise(rows)
     return common.only(docs, rows.select(*KEY), KEY).join(rows, KEY)
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(signed, starts): each row's KEY, n_words, sha256 and copy (all its words are an earlier document's); and KEY, starts of
-    the windows to remove, for rows that are no copies but have such windows."""
-    docs = _keyed(docs)
+    """For docs(doc_id, rid, text): (signed, starts). signed has each row's KEY, n_words, sha256 and copy (all its words are an
+    earlier document's). starts has KEY and starts, a place of each different window to remove, for rows that are no copies but have such windows."""
     signed = common.materialise(common.arrow_map(docs.select("doc_id", "text", "rid"), _sign(window), "doc_id long, rid long, n_words long, f1 long, f2 long, sha256 string, minima array<long>"))
+    n = signed.count()
     words = ["n_words", "f1", "f2"]
     long = signed.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     classes = long.groupBy(*words).agg(F.min(F.struct(*KEY)).alias("first"), F.first("minima").alias("minima")).select(*words, "first.doc_id", "first.rid", "minima")
-    slots = classes.select(*KEY, F.explode("minima").alias("hash")).repartition("hash")
-    # Each of these three groups a shuffled table by hash and joins it with the groups. max() keeps columns that only the join
-    # needs, so that both sides read one exchange.
-    shared = slots.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("rid").alias("any")).where("lo <> hi AND any IS NOT NULL").select("hash", "lo")
+    least, most = F.min("doc_id"), F.max("doc_id")
+
+    def slots(df: DataFrame) -> DataFrame:
+        return df.select(*KEY, F.explode("minima").alias("hash"))
+
+    hot = common.hot_keys(slots(common.sampled(long, n)), ["hash"])
+    shared = common.grouped(slots(classes), ["hash"], hot, store=False, lo=least, hi=most).where("lo <> hi")
     probing = F.collect_list(F.when(F.col("lo") < F.col("doc_id"), F.col("hash"))).alias("probing")
-    wanted = slots.join(shared, "hash").groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing)
-    probes = common.arrow_map(_where(docs, wanted).select("doc_id", "text", "wanted", "rid", "probing"), _probe(window), "doc_id long, rid long, at long, hash long").repartition("hash")
-    anchors = probes.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.col("at") % (window // 2) == 0).alias("indexed"), F.max(F.struct("rid", "at")).alias("any")).where("indexed AND lo <> hi AND any IS NOT NULL").select("hash")
-    hits = probes.join(anchors, "hash").groupBy(*KEY).agg(F.collect_list("at").alias("hits"))
-    windows = common.arrow_map(_where(docs, hits).select("doc_id", "text", "hits", "rid"), _extend(window), "doc_id long, rid long, at long, w1 long, w2 long").repartition("w1", "w2")
-    first = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max(F.struct("rid", "at")).alias("any")).where("any IS NOT NULL").drop("any")
-    later = windows.join(first, ["w1", "w2"]).where("first < doc_id").groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts"))
+    wanted = common.materialise(shared.groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing))
+
+    def probes(df: DataFrame) -> DataFrame:
+        return common.arrow_map(_where(df, wanted).select("doc_id", "text", "wanted", "rid", "probing"), _probe(window), "doc_id long, rid long, at int, block boolean, hash long")
+
+    hot = common.hot_keys(probes(common.sampled(docs, n)), ["hash"])
+    anchors = common.grouped(probes(docs), ["hash"], hot, lo=least, hi=most, indexed=F.max("block")).where("indexed AND lo <> hi")
+    hits = common.materialise(anchors.groupBy(*KEY).agg(F.collect_list("at").alias("hits")))
+
+    def windows(df: DataFrame) -> DataFrame:
+        return common.arrow_map(_where(df, hits).select("doc_id", "text", "hits", "rid"), _extend(window), "doc_id long, rid long, at int, w1 long, w2 long")
+
+    hot = common.hot_keys(windows(common.sampled(docs, n)), ["w1", "w2"])
+    later = common.grouped(windows(docs), ["w1", "w2"], hot, lo=least).where("lo < doc_id")
+    later = common.materialise(later.groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts")))
     own = classes.select(*words, F.col("doc_id").alias("first_id"), F.col("rid").alias("first_rid"))
     signed = common.materialise(signed.drop("minima").join(own, words, "left").withColumn("copy", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False))))
     # Rows of one doc_id may differ in white space alone: windows are known by the first of equal words.
@@ -221,8 +262,9 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of each document."""
+    docs = common.keyed(docs.select("doc_id", "text"))
     signed, starts = removals(docs, window)
-    cut = common.arrow_map(_where(_keyed(docs), starts).select("text", "starts", "doc_id"), _cut(window, ["doc_id"]), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    cut = common.arrow_map(_where(docs, starts).select("text", "starts", "doc_id"), _cut(window, ["doc_id"]), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     rest = signed.join(starts.select(*KEY), KEY, "left_anti")
     whole = rest.select("doc_id", "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.lit(0)).alias("n_removed"), F.when(F.col("copy"), F.lit(digest(b""))).otherwise(F.col("sha256")).alias("kept_sha256"))
     return cut.unionByName(whole)
@@ -230,20 +272,21 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs without repeated passages: text and n_chars are what is left; documents of which nothing is left go."""
-    signed, starts = removals(docs, window)
+    names = {"doc_id": "__id", "rid": "__rid"}
+    key = list(names.values())
+    rows = common.keyed(docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")).drop("text").withColumnsRenamed(names)
+    signed, starts = removals(rows.select(F.col("__id").alias("doc_id"), F.col("__rid").alias("rid"), "__row.text"), window)
+    copies = signed.where("copy").select(*KEY).distinct().withColumn("starts", F.lit(None).cast("array<int>"))
+    marks = common.materialise(copies.unionByName(starts).withColumnsRenamed(names | {"starts": "__starts"}))
+    marked, plain = common.divided(rows, marks, key)
     schema = docs.drop("text", "n_chars").schema
     extra = [f.name for f in schema]
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__rid": F.xxhash64("text")})
-    keys = lambda df: df.select(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid"))
-    marks = keys(signed.where("copy").select(*KEY)).distinct().withColumn("__starts", F.lit(None).cast("array<long>"))
-    marks = common.materialise(marks.unionByName(starts.select(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid"), F.col("starts").alias("__starts"))).withColumn("__marked", F.lit(True)))
-    joined = keyed.join(marks.withColumnRenamed("__id", "__id2").withColumnRenamed("__rid", "__rid2"), F.expr("__id = __id2 AND __rid = __rid2"), "left")
-    plain = joined.where("__marked IS NULL").select(*docs.columns)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    cut = common.arrow_map(joined.where("__starts IS NOT NULL").select("text", "__starts", *extra), _cut(window, extra), f"{ddl}, kept_text string, n_removed long")
+    marked = marked.where("__starts IS NOT NULL").select("__row.*", "__starts").select("text", "__starts", *extra)
+    cut = common.arrow_map(marked, _cut(window, extra), f"{ddl}, kept_text string, n_removed long")
     cut = cut.where(F.length(F.trim(F.regexp_replace("kept_text", "[\\x09-\\x0D]", " "))) > 0).withColumns({"text": F.col("kept_text")})
     cut = cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else cut
-    return plain.unionByName(cut.select(*docs.columns))
+    return plain.select("__row.*").select(*docs.columns).unionByName(cut.select(*docs.columns))
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,6 +114,27 @@ def test_repeats(spark, window):
     assert sum(k for _, k, _ in want.values()) > 500
 
 
+def test_repeats_with_hot_passages(spark, monkeypatch):
+    """A passage and a word that most documents repeat: their hashes are dealt to several tasks."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rng = np.random.default_rng(5)
+    some = lambda n: " ".join(f"q{i}" for i in rng.integers(0, 300, n))
+    passage = some(70)
+    rows = [(i, f"{some(20)} {passage} {some(15)} {'the ' * (80 + i)}") for i in range(40)] + [(50, "the " * 300), (51, some(30))]
+    want = brute_repeats(rows, 50)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in repeats.repeats(documents(spark, rows)).collect()}
+    assert got == {d: want[d, t][:2] for d, t in rows}
+    docs = common.keyed(documents(spark, rows).select("doc_id", "text")).withColumn("hash", common.F.length("text") % 3)
+    hot = common.hot_keys(docs.select("doc_id", "rid", "hash"), ["hash"])
+    both = [sorted(map(tuple, common.grouped(docs.select("doc_id", "rid", "hash"), ["hash"], h, lo=common.F.min("doc_id"), hi=common.F.max("doc_id")).collect())) for h in (hot, None)]
+    assert hot is not None and both[0] == both[1] and len(both[0]) == len(rows)
+
+
+def test_keys_tell_rows_of_one_id_apart(spark):
+    got = common.keyed(documents(spark, [(1, "a"), (2, "b"), (1, "c"), (None, "d"), (None, "e")]).select("doc_id", "text")).collect()
+    assert len({(r["doc_id"], r["rid"]) for r in got if r["doc_id"]}) == 3 and {r["rid"] for r in got if r["doc_id"] == 2} == {0}
+
+
 def test_repeats_remove(spark):
     rows = [r for r in corpus() if r[0] is not None]
     rows = list(dict.fromkeys(rows))
