@@ -229,8 +229,8 @@ def sampled(docs: DataFrame, n: int) -> DataFrame:
 
 def hot_keys(sample: DataFrame, key: list[str]) -> DataFrame | None:
     """The keys that many rows of the sample share; None if there are none. It decides where rows go, not what comes out."""
-    counts = sample.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= HOT_ROWS)
-    hot = materialise(counts.orderBy(F.desc("n")).limit(HOT_KEYS).select(*key))
+    counts = sample.groupBy(*key).agg(F.count("*").alias("__n")).where(F.col("__n") >= HOT_ROWS)
+    hot = materialise(counts.orderBy(F.desc("__n")).limit(HOT_KEYS).select(*key))
     return hot if hot.limit(1).count() else None
 
 

@@ -10,7 +10,8 @@ Each line in question emits its deletion variants, the line itself and the line
 Equal variants meet in one group: lines that left out the same position differ in that word alone, a full line equals a longer
 one less a word. A group is never expanded: its members are compared with the earliest one. The edit distance of each such
 pair is confirmed on the words. Before that, a pigeonhole key keeps lines out that can't have a partner: lines within one edit
-agree in the first or the last half of their words.
+agree in the first or the last half of their words. Lines, halves and variants go through one exchange each; hot ones (a line that
+stands in a third of all documents) are dealt to several tasks.
 
 Nulls: a null text has no lines to remove and stays null; rows with a null doc_id stay as they are and remove nothing. Rows with
 equal doc_id are handled one by one; rows that are equal in both stay, as they are the earliest both. An empty table gives no rows. Columns besides doc_id and
@@ -27,15 +28,11 @@ from pyspark.sql import functions as F
 from foliate.llm import common
 
 MIN_WORDS, NEAR_WORDS = 1, 5
-LINE = ["doc_id", "rid", "line"]
-KEY = ["doc_id", "rid"]
+KEY = common.KEY
+LINE = [*KEY, "line"]
 _ORDER = ["doc_id", "line", "rid"]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("rid"), "text")
-
-
 def _lines(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """All lines, the text of each, and its number there."""
     parts = [t.split(b"\n") if t else [] for t in texts]
@@ -45,14 +42,26 @@ def _lines(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarr
 
 
 def _sign(min_words: int, near_words: int):
-    """Lines of min_words or more: two hashes of their words, and the halves that a line within one edit shares one of."""
+    """Lines of min_words or more, those of equal words once per text: the first one's number and the others', two hashes of
+    their words, and the halves that a line within one edit shares one of."""
 
     def run(batch: pa.RecordBatch):
         lines, doc, number = _lines(common.texts(batch.column(2)))
         words = common.Words(lines)
         good = np.flatnonzero(words.counts >= min_words)
-        s, e, n = words.starts[good], words.ends[good], words.counts[good]
         a, b = common.Ranges(words.hashes), common.Ranges(words.hashes, common.BASES[1])
+        h1, h2 = common.mix(a.of(words.starts[good], words.ends[good])), b.of(words.starts[good], words.ends[good])
+        # equal lines of a text stand side by side, the first one first
+        order = np.lexsort((h2, h1, words.counts[good], doc[good]))
+        good, h1, h2 = good[order], h1[order], h2[order]
+        new = np.ones(len(good), bool)
+        for x in (doc[good], words.counts[good], h1, h2):
+            new[1:] &= x[1:] == x[:-1]
+        new[1:] = ~new[1:]
+        group = np.cumsum(new) - 1
+        others = common.lists(number[good][~new], np.bincount(group[~new], minlength=int(new.sum())), pa.int32())
+        good, h1, h2 = good[new], h1[new], h2[new]
+        s, e, n = words.starts[good], words.ends[good], words.counts[good]
         keys, at = [], []
         # lines of a word less than near_words have partners of near_words alone
         for less in (0, 1):  # halves of n words and, for even n, of n - 1
@@ -65,8 +74,8 @@ def _sign(min_words: int, near_words: int):
         order = np.argsort(at, kind="stable")
         row = pa.array(doc[good])
         yield {
-            "doc_id": batch.column(0).take(row), "rid": batch.column(1).take(row), "line": number[good], "n": n,
-            "h1": common.signed(common.mix(a.of(s, e))), "h2": common.signed(b.of(s, e)), "halves": common.lists(common.signed(keys[order]), np.bincount(at, minlength=len(good))),
+            "doc_id": batch.column(0).take(row), "rid": batch.column(1).take(row), "line": number[good], "others": others, "n": n,
+            "h1": common.signed(h1), "h2": common.signed(h2), "halves": common.lists(common.signed(keys[order]), np.bincount(at, minlength=len(good))),
         }
 
     return run
@@ -85,7 +94,7 @@ def _picked(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]
 
 
 def _variants(near_words: int):
-    """The line itself (at -1) and, from near_words words, the line without each word, as hashed keys."""
+    """The line itself (at -1, with its words) and, from near_words words, the line without each word, as hashed keys."""
 
     def run(batch: pa.RecordBatch):
         lines, row, number = _picked(batch)
@@ -100,17 +109,12 @@ def _variants(near_words: int):
         keys = np.concatenate([ranges.of(words.starts, words.ends), less])
         n = words.counts[which] - (at >= 0)
         r = pa.array(row[which])
-        yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "n": n, "at": at, "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48))))}
+        spelled = pa.array([b" ".join(x.split()).decode() for x in lines] + [None] * len(p), pa.string())
+        yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "at": at, "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48)))), "words": spelled}
 
     return run
 
 
-def _texts(batch: pa.RecordBatch):
-    lines, row, number = _picked(batch)
-    r = pa.array(row)
-    yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number, "words": [b" ".join(x.split()).decode() for x in lines]}
-
-
 def within_one(a: list, b: list) -> bool:
     """Whether two sequences are within one edit: one item put in, left out or exchanged."""
     if abs(len(a) - len(b)) > 1:
@@ -127,65 +131,73 @@ def _confirm(batch: pa.RecordBatch):
     yield {c: batch.column(i).take(at) for i, c in enumerate(LINE)}
 
 
-def _near(distinct: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
-    """LINE of the lines that an earlier one is within one edit of; distinct has the first line of each kind and its halves."""
-    halves = distinct.where(F.size("halves") > 0).select(*LINE, F.explode("halves").alias("half")).repartition("half")
-    # max() keeps the columns that only the join needs, so that both sides read one exchange
-    shared = halves.groupBy("half").agg(F.count("*").alias("k"), F.max(F.struct(*LINE)).alias("any")).where("k > 1 AND any IS NOT NULL").select("half")
-    open_ = common.materialise(halves.join(shared, "half").groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")))
-    texts = common.only(docs, open_.select(*KEY), KEY).join(open_, KEY).select("doc_id", "rid", "text", "wanted")
-    variants = common.stored(common.arrow_map(texts, _variants(near_words), "doc_id long, rid long, line int, n int, at int, key long"))
+def _near(firsts: DataFrame, docs: DataFrame, n: int, near_words: int) -> DataFrame:
+    """LINE of the lines that an earlier one is within one edit of; firsts has the first line of each kind and its halves."""
+    halves = firsts.where(F.size("halves") > 0).select(*LINE, F.explode("halves").alias("half"))
+    hot = common.hot_keys(common.sampled(halves, n), ["half"])
+    shared = common.grouped(halves, ["half"], hot, store=False, k=F.count("*")).where("k > 1")
+    open_ = common.materialise(shared.groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")))
+    texts = common.only(docs, open_.select(*KEY), KEY).join(open_, KEY).select(*KEY, "text", "wanted")
+    variants = common.stored(common.arrow_map(texts, _variants(near_words), "doc_id long, rid long, line int, at int, key long, words string"))
     me = F.struct(*_ORDER)
-    less, full = variants.where("at >= 0"), variants.where("at < 0")
-    # Lines that leave out the same position of the same words: each with the earliest.
-    first = less.groupBy("key", "n", "at").agg(F.min(me).alias("w"), F.count("*").alias("k")).where("k > 1").drop("k")
-    changed = less.join(first, ["key", "n", "at"]).where(me > F.col("w")).select(*LINE, "w")
-    # A line that is the same as a longer one without a word: each with the earliest on the other side.
-    longer = less.groupBy("key", "n").agg(F.min(me).alias("w"))
-    shorter = full.join(longer, ["key", "n"]).where(me > F.col("w")).select(*LINE, "w")
-    whole = full.select("key", "n", F.struct(*_ORDER).alias("w"))
-    grown = less.join(whole, ["key", "n"]).where(me > F.col("w")).select(*LINE, "w")
-    pairs = common.materialise(changed.unionByName(shorter).unionByName(grown).distinct())
-    own = common.arrow_map(texts, _texts, "doc_id long, rid long, line int, words string")
-    other = own.select(F.struct(*_ORDER).alias("w"), F.col("words").alias("words_w"))
-    both = pairs.join(own, LINE).join(other, "w").select(*LINE, "words", "words_w")
+    # Lines that leave out the same position of the same words (mate), or that are the same as a longer one without a word (whole, less):
+    # each with the earliest on the other side.
+    hot = common.hot_keys(common.sampled(variants, n), ["key"])
+    met = common.grouped(
+        variants.drop("words"), ["key"], hot, store=False, inner=["at"], inside={"mate": F.min(me)},
+        whole=F.min(F.when(F.col("at") < 0, me)), less=F.min(F.when(F.col("at") >= 0, me)),
+    )
+    other = F.when(F.col("at") < 0, F.array("less")).otherwise(F.array("mate", "whole"))
+    pairs = common.materialise(met.select(*LINE, F.explode(other).alias("w")).where(me > F.col("w")).distinct())
+    own = variants.where("at < 0").select(*LINE, "words")
+    both = pairs.join(own, LINE).join(own.select(F.struct(*_ORDER).alias("w"), F.col("words").alias("words_w")), "w").select(*LINE, "words", "words_w")
     return common.arrow_map(both, _confirm, "doc_id long, rid long, line int").distinct()
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """KEY and the sorted numbers of the lines to remove (gone), for documents that have any."""
-    docs = _keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    signed = common.stored(common.arrow_map(docs.select("doc_id", "rid", "text"), _sign(min_words, near_words), "doc_id long, rid long, line int, n int, h1 long, h2 long, halves array<long>"))
-    same = ["n", "h1", "h2"]
-    first = signed.groupBy(*same).agg(F.min(F.struct(*_ORDER)).alias("w"), F.first("halves").alias("halves"))
-    distinct = first.select("w.doc_id", "w.rid", "w.line", "halves")
-    again = signed.drop("halves").join(first.select(*same, "w"), same).where(F.struct(*_ORDER) > F.col("w")).select(*LINE)
-    return again.unionByName(_near(distinct, docs, near_words)).groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    """For docs(doc_id, rid, text): KEY and the sorted numbers of the lines to remove (gone), for documents that have any."""
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(*KEY, "text")
+    n = docs.count()
+    same, me = ["n", "h1", "h2"], F.struct(*_ORDER)
+
+    def signed(df: DataFrame) -> DataFrame:
+        return common.arrow_map(df, _sign(min_words, near_words), "doc_id long, rid long, line int, others array<int>, n int, h1 long, h2 long, halves array<long>")
+
+    hot = common.hot_keys(signed(common.sampled(docs, n)), same)
+    found = common.grouped(signed(docs), same, hot, w=F.min(me))
+    first = me <= F.col("w")
+    lines = common.stored(found.select(*LINE, "others", first.alias("first"), F.when(first, F.col("halves")).alias("halves")))
+    again = F.concat("others", F.when(F.col("first"), F.array().cast("array<int>")).otherwise(F.array("line")))
+    gone = lines.select(*KEY, F.explode(again).alias("line"))
+    return gone.unionByName(_near(lines.where("first"), docs, n, near_words)).groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
 def edits(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left, of each document."""
-    out = _cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), removed_lines(docs, min_words, near_words))
-    return out.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_kept") + F.col("n_removed")).alias("n_lines"), "n_removed", "text")
+    out = _edited(docs.select("doc_id", "text"), min_words, near_words)
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(F.col("__n")).alias("n_lines"), F.col("__gone").alias("n_removed"), "text")
 
 
-def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs with the lines left out, n_kept and n_removed."""
-    gone = common.materialise(gone).select(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid"), F.col("gone").alias("__gone"))
-    joined = docs.withColumn("__hash", F.xxhash64("text")).join(gone, (docs["doc_id"].cast("long") == F.col("__id")) & (F.col("__hash") == F.col("__rid")), "left")
+def _edited(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """docs with the lines left out, __n (lines before) and __gone (lines left out)."""
+    names = {"doc_id": "__id", "rid": "__rid"}
+    rows = common.keyed(docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")).drop("text").withColumnsRenamed(names)
+    gone = common.materialise(removed_lines(rows.select(F.col("__id").alias("doc_id"), F.col("__rid").alias("rid"), "__row.text"), min_words, near_words))
+    cut, whole = common.divided(rows, gone.withColumnsRenamed(names | {"gone": "__out"}), list(names.values()))
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("__gone", i.cast("int")))
-    left = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    count = F.coalesce(F.size("__gone"), F.lit(0))
-    count = F.when(F.col("__gone").isNull(), 0).otherwise(count)
-    return joined.select(*[docs[c] for c in docs.columns if c != "text"], F.size(lines).alias("__n"), count.alias("n_removed"), left.alias("text")).withColumn("n_kept", F.col("__n") - F.col("n_removed")).drop("__n")
+    # what stands between neighbouring lines that go
+    ends = F.concat("__out", F.array(F.col("__n")))
+    parts = F.transform(ends, lambda end, i: F.slice("__lines", F.when(i == 0, 1).otherwise(F.get("__out", i - 1) + 2), end - F.when(i == 0, 0).otherwise(F.get("__out", i - 1) + 1)))
+    cut = cut.select("__row.*", "__out").withColumn("__lines", lines).withColumn("__n", F.size("__lines"))
+    cut = cut.withColumns({"text": F.array_join(F.flatten(parts), "\n"), "__gone": F.size("__out")}).select(*docs.columns, "__n", "__gone")
+    return cut.unionByName(whole.select("__row.*").withColumns({"__n": F.size(lines), "__gone": F.lit(0)}))
 
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs without repeated lines; text and n_chars are what is left. Documents that lost lines and have no word left go."""
-    out = _cut(docs, removed_lines(docs, min_words, near_words)).where("n_removed = 0 OR text RLIKE '[^ \\\\t-\\\\r]'")
+    out = _edited(docs, min_words, near_words).where("__gone = 0 OR text RLIKE '[^ \\\\t-\\\\r]'")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))
+        out = out.withColumn("n_chars", F.when(F.col("__gone") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)
 
 

@@ -154,19 +154,30 @@ def brute_lines(rows):
     for d, t in sorted((r for r in set(rows) if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n")):
             w = tuple(words(line))
-            if len(w) >= line_dedup.MIN_WORDS:
+            if w:
                 if w in first:
                     gone.add((d, k))
                 else:
                     first[w] = (d, k)
                     order.append((w, (d, k)))
-    long = [(w, o) for w, o in order if len(w) >= line_dedup.NEAR_WORDS]
-    for i, (w, o) in enumerate(long):
-        if any(line_dedup.within_one(list(v), list(w)) for v, _ in long[:i]):
+    for i, (w, o) in enumerate(order):
+        if any(max(len(v), len(w)) >= 5 and edit_distance(v, w) <= 1 for v, _ in order[:i] if abs(len(v) - len(w)) <= 1):
             gone.add(o)
     return gone
 
 
+def edit_distance(a, b):
+    """By the textbook's table; pairs that share no word at either end are told apart at once."""
+    if a[0] != b[0] and a[-1] != b[-1]:
+        return 2 if len(a) > 1 and len(b) > 1 else max(len(a), len(b))
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
 def test_line_dedup(spark):
     rows = corpus()
     gone = brute_lines(rows)
@@ -199,7 +210,7 @@ def test_line_dedup_has_no_floors(spark):
         kept = []
         for line in t.split("\n"):
             w = words(line)
-            if not w or not any(v == w or max(len(v), len(w)) >= 5 and line_dedup.within_one(v, w) for v in earlier):
+            if not w or not any(v == w or max(len(v), len(w)) >= 5 and edit_distance(v, w) <= 1 for v in earlier):
                 kept.append(line)
             if w:
                 earlier.append(w)
@@ -208,10 +219,24 @@ def test_line_dedup_has_no_floors(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.edits(documents(spark, texts)).collect()} == want
 
 
+def test_line_dedup_with_hot_lines(spark, monkeypatch):
+    """A line that every document has, and lines that differ in one word from many others."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rng = np.random.default_rng(9)
+    rows = [(i, f"a line that stands in every document\n{' '.join(f'u{x}' for x in rng.integers(0, 10**6, 8))}\npage {i} of the very long report\na line that stands in every document\nshort") for i in range(40)]
+    gone = brute_lines(rows)
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.edits(documents(spark, rows)).collect()}
+    assert got == {d: (5, sum(x == d for x, _ in gone)) for d, _ in rows} and len(gone) > 150
+
+
 def test_within_one():
     a = list("abcd")
     assert all(line_dedup.within_one(a, list(b)) and line_dedup.within_one(list(b), a) for b in ("abcd", "abc", "bcd", "abxd", "abcde", "xabcd"))
     assert not any(line_dedup.within_one(a, list(b)) for b in ("ab", "axxd", "abcdef", "bacd"))
+    rng = np.random.default_rng(0)
+    for _ in range(2000):
+        x, y = ([int(v) for v in rng.integers(0, 3, rng.integers(1, 6))] for _ in range(2))
+        assert line_dedup.within_one(x, y) == (edit_distance(x, y) <= 1)
 
 
 def test_ranges_and_slices():
