@@ -224,17 +224,24 @@ def _where(docs: DataFrame, rows: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """For docs(doc_id, rid, text): (signed, starts). signed has each row's KEY, n_words, sha256 and copy (all its words are an
     earlier document's). starts has KEY and starts, a place of each different window to remove, for rows that are no copies but have such windows."""
-    signed = common.materialise(common.arrow_map(docs.select("doc_id", "text", "rid"), _sign(window), "doc_id long, rid long, n_words long, f1 long, f2 long, sha256 string, minima array<long>"))
-    n = signed.count()
-    words = ["n_words", "f1", "f2"]
-    long = signed.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
-    classes = long.groupBy(*words).agg(F.min(F.struct(*KEY)).alias("first"), F.first("minima").alias("minima")).select(*words, "first.doc_id", "first.rid", "minima")
+    n, words = docs.count(), ["n_words", "f1", "f2"]
+
+    def signatures(df: DataFrame) -> DataFrame:
+        return common.arrow_map(df.select("doc_id", "text", "rid"), _sign(window), "doc_id long, rid long, n_words long, f1 long, f2 long, sha256 string, minima array<long>")
+
+    long = (F.col("n_words") >= window) & F.col("doc_id").isNotNull()
+    hot = common.hot_keys(signatures(common.sampled(docs, n)), words)
+    signed = common.grouped(signatures(docs), words, hot, first=F.min(F.when(long, F.struct(*KEY))))
+    signed = signed.select(*KEY, "n_words", "sha256", "minima", F.col("first.doc_id").alias("first_id"), F.col("first.rid").alias("first_rid"))
+    signed = common.materialise(signed.withColumn("copy", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False))))
+    # the first of the documents of equal words stands for them
+    classes = signed.where("first_id = doc_id AND first_rid = rid")
     least, most = F.min("doc_id"), F.max("doc_id")
 
     def slots(df: DataFrame) -> DataFrame:
         return df.select(*KEY, F.explode("minima").alias("hash"))
 
-    hot = common.hot_keys(slots(common.sampled(long, n)), ["hash"])
+    hot = common.hot_keys(slots(common.sampled(classes, n)), ["hash"])
     shared = common.grouped(slots(classes), ["hash"], hot, store=False, lo=least, hi=most).where("lo <> hi")
     probing = F.collect_list(F.when(F.col("lo") < F.col("doc_id"), F.col("hash"))).alias("probing")
     wanted = common.materialise(shared.groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing))
@@ -252,8 +259,6 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     hot = common.hot_keys(windows(common.sampled(docs, n)), ["w1", "w2"])
     later = common.grouped(windows(docs), ["w1", "w2"], hot, lo=least).where("lo < doc_id")
     later = common.materialise(later.groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts")))
-    own = classes.select(*words, F.col("doc_id").alias("first_id"), F.col("rid").alias("first_rid"))
-    signed = common.materialise(signed.drop("minima").join(own, words, "left").withColumn("copy", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False))))
     # Rows of one doc_id may differ in white space alone: windows are known by the first of equal words.
     later = later.select(F.col("doc_id").alias("first_id"), F.col("rid").alias("first_rid"), "starts")
     starts = signed.where("NOT copy").select(*KEY, "first_id", "first_rid").distinct().join(later, ["first_id", "first_rid"]).select(*KEY, "starts")
