@@ -4,9 +4,10 @@ The pieces are those of a fixed public vocabulary. Each language has a probabili
 sum over all ways to cut it into pieces of the product of the piece probabilities (forward algorithm), and a text's is the
 product over its words. Pieces never span words, so each distinct word is scored once per worker.
 
-The probabilities are fitted by expectation-maximisation on a sample of labelled rows, bounded by SAMPLE_ROWS rows per language
-(a row is taken if its text's hash falls below a threshold; whole texts, whatever their length up to SAMPLE_CHARS). All rows
-are predicted. A prediction reads the text alone.
+The probabilities are fitted by expectation-maximisation on a sample of labelled rows: of each language at most SAMPLE_ROWS
+different texts, those whose rows have the lowest hashes of doc_id and text, so that copies of one text count once and stand for as
+many rows as others. All words of these texts and all pieces of the vocabulary take part. All rows are predicted. A prediction
+reads the text alone; of equally probable languages it is the first by name.
 
 Nulls: rows without lang or text teach nothing; a null text, or one without a letter, is predicted und with score 0. An empty
 table gives no rows; without any labelled row all texts are und with score 0. Rows with a null doc_id count as held out = null
@@ -21,24 +22,25 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliate.llm import common
+from foliate.llm.pieces_fst import Trie, inverse
 
+#: Different texts per language that a fit learns from.
 SAMPLE_ROWS = 300
-SAMPLE_CHARS = 200_000
-#: Distinct words per language and EM rounds of a fit.
-FIT_WORDS = 60_000
-ROUNDS = 3
-#: Longest pieces and words; longer words are cut into runs of this length.
-PIECE, WORD = 8, 24
+#: Rounds of expectation-maximisation, and what every piece is given on top of its expected count.
+ROUNDS, PRIOR = 3, 0.05
 UNKNOWN = "und"
-CACHE_WORDS = 60_000
+#: Words whose scores a worker remembers.
+CACHE_WORDS = 120_000
 #: Bytes of text that are split into words at once.
 CHUNK_BYTES = 1 << 20
-#: Words that are scored at once.
-STEP = 2000
+#: Characters of words that are scored at once.
+STEP_CHARS = 1 << 15
+#: Sums below this are scaled up.
+TINY = 1e-150
 _WORDS = regex.compile(r"[\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -58,73 +60,55 @@ def pieces(path: str | None = None) -> tuple[str, ...]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary(path))
     found = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i))}
-    return tuple(sorted(p for p in found if len(p) <= PIECE and all(c == "▁" or unicodedata.category(c)[0] in "LM" for c in p) and "▁" not in p[1:]))
-
-
-def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of words, right-padded with 0, and the lengths."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-    out = np.zeros((len(words), int(lengths.max(initial=1))), np.uint64)
-    out[np.arange(out.shape[1]) < lengths[:, None]] = flat
-    return out, lengths
-
-
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_SPREAD = np.uint64(0xFF51AFD7ED558CCD)
-_SLOTS = 18
+    return tuple(sorted(p for p in found if all(c == "▁" or unicodedata.category(c)[0] in "LM" for c in p) and "▁" not in p[1:]))
 
 
 class Lattice:
-    """Finds pieces in words: spans(codes)[k][:, e] is the piece of length k + 1 that ends at e; else -1, or n for a single character."""
+    """The pieces as a trie of character codes; symbol n is a character that is no piece."""
 
     def __init__(self, vocab: tuple[str, ...]):
-        self.n = len(vocab)
-        self.tables = []
-        for k in range(1, PIECE + 1):
-            own = [(i, p) for i, p in enumerate(vocab) if len(p) == k]
-            codes, _ = _codes([p for _, p in own]) if own else (np.zeros((0, k), np.uint64), None)
-            h = np.zeros(len(own), np.uint64)
-            for j in range(k):
-                h = h * _BASE + codes[:, j] + np.uint64(1)
-            order = np.argsort(h)
-            filled = np.zeros(1 << _SLOTS, bool)
-            filled[(h * _SPREAD) >> np.uint64(64 - _SLOTS)] = True
-            self.tables.append((h[order], np.array([i for i, _ in own], np.int64)[order], filled))
-
-    def spans(self, codes: np.ndarray) -> list[np.ndarray]:
-        out, before = [], np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
-        for k, (keys, ids, filled) in enumerate(self.tables):
-            # the hash of the k + 1 characters up to e, from that of the k characters before e
-            h = before[:, :-1] * _BASE + codes[:, k:] + np.uint64(1)
-            before = h
-            found = np.full(codes.shape, -1 if k else self.n, np.int32)
-            if len(keys):
-                slot = (h * _SPREAD) >> np.uint64(64 - _SLOTS)
-                row, col = np.nonzero(filled[slot])
-                if len(row):
-                    mine = h[row, col]
-                    at = np.searchsorted(keys, mine)
-                    at[at == len(keys)] = 0
-                    hit = keys[at] == mine
-                    found[row[hit], col[hit] + k] = ids[at[hit]]
-            out.append(found)
-        return out
-
-
-def _forward(spans: list[np.ndarray], table: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    """alpha[e]: the summed probability of all segmentations of the first e characters, by word and language."""
-    n, width = shape
-    alpha = np.zeros((width + 1, n, table.shape[1]))
-    alpha[0] = 1
-    for e in range(width):
-        alpha[e + 1] = alpha[e] * table[spans[0][:, e]]
-        for k in range(1, min(PIECE, e + 1)):
-            ids = spans[k][:, e]
-            have = np.flatnonzero(ids >= 0)
-            if len(have):
-                alpha[e + 1, have] += alpha[e - k, have] * table[ids[have]]
-    return alpha
+        chars = sorted({c for p in vocab for c in p})
+        code = {c: i + 1 for i, c in enumerate(chars)}
+        self.n, self.code = len(vocab), inverse(chars)
+        self.trie = Trie([tuple(code[c] for c in p) for p in vocab], list(range(self.n)), len(chars) + 1)
+
+    def forward(self, words: list[str], table: np.ndarray, arcs: list | None = None) -> np.ndarray:
+        """The log of the summed probability of all segmentations of each word, by language; words come longest first.
+
+        arcs, for a single language: gets (symbol, source, end, share) of the arcs into each position, from the first on; source is -1
+        at a word's start, share the part of the sum at end that comes through the arc.
+        """
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        spans = self.trie.arcs(self.code[chars], np.repeat(ends, sizes), self.n)
+        alpha, scale = np.zeros((len(chars), table.shape[1])), np.zeros(len(words))
+        for p, n in enumerate(np.searchsorted(-sizes, -np.arange(1, int(sizes.max(initial=0)) + 1), "right")):
+            end = starts[:n] + p
+            into = spans[: p + 1, end].T
+            word, k = np.nonzero(into >= 0)  # every word has an arc: its last character, at least
+            symbol, source = into[word, k], end[word] - k - 1
+            through = table[symbol]
+            inner = k < p
+            through[inner] *= alpha[source[inner]]
+            first = np.searchsorted(word, np.arange(n))
+            alpha[end] = np.add.reduceat(through, first, axis=0)
+            if arcs is not None:
+                arcs.append((symbol, np.where(inner, source, -1), end[word], through[:, 0] / alpha[end[word], 0]))
+            if p >= self.trie.longest:
+                low = np.flatnonzero(alpha[end].max(axis=1) < TINY)
+                for back in range(self.trie.longest) if len(low) else ():
+                    alpha[end[low] - back] /= TINY
+                scale[low] += np.log(TINY)
+        return np.log(np.maximum(alpha[ends - 1], 1e-300)) + scale[:, None]
+
+
+def steps(words: list[str]) -> list[list[int]]:
+    """The places of the words, longest first, in runs of about STEP_CHARS characters."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(-sizes, kind="stable")
+    return [x.tolist() for x in np.split(order, np.flatnonzero(np.diff(np.cumsum(sizes[order]) // STEP_CHARS)) + 1) if len(x)]
 
 
 class Model:
@@ -149,20 +133,23 @@ class Model:
         """Log probability of each word (with its mark) in each language."""
         if self.lattice is None:
             self.lattice = _lattice(self.path)
-        return log_words(self.lattice, words, self.table)
+        out = np.zeros((len(words), len(self.langs)))
+        for mine in steps(words):
+            out[mine] = self.lattice.forward([words[i] for i in mine], self.table)
+        return out
 
     def texts(self, texts: list[list[str]]) -> np.ndarray:
         """Summed log probability of each text's words; words that the worker has not met are scored together."""
-        missing = [w for w in dict.fromkeys(w for words in texts for w in words) if w not in self.cache]
-        if missing and len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache, self.rows = {}, self.rows[:0]
-            missing = list(dict.fromkeys(w for words in texts for w in words))
+        met = set().union(*texts)
+        missing = list(met.difference(self.cache))
+        if len(self.cache) + len(missing) > CACHE_WORDS:
+            self.cache, self.rows, missing = {}, self.rows[:0], list(met)
         if missing:
             self.cache.update(zip(missing, range(len(self.rows), len(self.rows) + len(missing)), strict=True))
             self.rows = np.concatenate([self.rows, self.scores(missing)])
-        out = np.zeros((len(texts), len(self.langs)))
+        out, find = np.zeros((len(texts), len(self.langs))), self.cache.__getitem__
         for i, words in enumerate(texts):
-            out[i] = self.rows[np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            out[i] = self.rows[np.fromiter(map(find, words), np.int64, len(words))].sum(axis=0)
         return out
 
 
@@ -171,25 +158,9 @@ def _lattice(path: str | None) -> Lattice:
     return Lattice(pieces(path))
 
 
-def log_words(lattice: Lattice, words: list[str], table: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(words), table.shape[1]))
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    for lo, hi in ((0, 6), (6, 10), (10, 14), (14, WORD + 2)):
-        group = np.flatnonzero((lengths > lo) & (lengths <= hi))
-        for at in range(0, len(group), STEP):
-            mine = group[at : at + STEP]
-            codes, n = _codes([words[i] for i in mine])
-            alpha = _forward(lattice.spans(codes), table, codes.shape)
-            out[mine] = np.log(np.maximum(alpha[n, np.arange(len(mine))], 1e-300))
-    return out
-
-
 def split(text: str) -> list[str]:
-    """Lower-case words of letters with their start mark, long ones in runs of WORD characters."""
-    out = []
-    for w in _WORDS.findall(text.lower()):
-        out += ["▁" + w] if len(w) <= WORD else ["▁" * (i == 0) + w[i : i + WORD] for i in range(0, len(w), WORD)]
-    return out
+    """Lower-case words of letters with their start mark."""
+    return list(map("▁".__add__, _WORDS.findall(text.lower())))
 
 
 def fit(counts: dict[str, dict[str, int]], path: str | None = None) -> Model:
@@ -198,51 +169,43 @@ def fit(counts: dict[str, dict[str, int]], path: str | None = None) -> Model:
     n = lattice.n
     table = np.zeros((n + 1, len(langs)))
     for j, lang in enumerate(langs):
-        words = sorted(counts[lang].items(), key=lambda p: (-p[1], p[0]))[:FIT_WORDS]
+        words = sorted(counts[lang])
+        weight = np.array([counts[lang][w] for w in words], float)
         prob = np.full((n + 1, 1), 1.0 / (n + 1))
-        lengths = np.array([len(w) for w, _ in words])
         for _ in range(ROUNDS):
-            expected = np.zeros(n + 1)
-            for lo, hi in ((0, 6), (6, 10), (10, 14), (14, WORD + 2)):
-                mine = np.flatnonzero((lengths > lo) & (lengths <= hi))
-                for at in range(0, len(mine), STEP):
-                    own = mine[at : at + STEP]
-                    _expect(lattice, [words[i][0] for i in own], np.array([words[i][1] for i in own], float), prob, expected)
-            expected += 0.05
+            expected = np.full(n + 1, PRIOR)
+            for mine in steps(words):
+                expected += _expect(lattice, [words[i] for i in mine], weight[mine], prob)
             prob = (expected / expected.sum())[:, None]
         table[:, j] = prob[:, 0]
     return Model(langs, table, path)
 
 
-def _expect(lattice: Lattice, words: list[str], weight: np.ndarray, prob: np.ndarray, expected: np.ndarray) -> None:
-    codes, lengths = _codes(words)
-    spans = lattice.spans(codes)
-    width = codes.shape[1]
-    alpha = _forward(spans, prob, codes.shape)[:, :, 0]
-    beta = np.zeros((width + 1, len(words)))
-    beta[lengths, np.arange(len(words))] = 1
-    p = prob[:, 0]
-    for s in range(width - 1, -1, -1):
-        for k in range(min(PIECE, width - s)):
-            ids = spans[k][:, s + k]
-            beta[s] += np.where(ids >= 0, beta[s + k + 1] * p[ids], 0)
-    total = np.maximum(alpha[lengths, np.arange(len(words))], 1e-300)
-    for e in range(width):
-        for k in range(min(PIECE, e + 1)):
-            ids = spans[k][:, e]
-            have = np.flatnonzero(ids >= 0)
-            got = alpha[e - k, have] * p[ids[have]] * beta[e + 1, have] / total[have] * weight[have]
-            expected += np.bincount(ids[have], got, minlength=len(expected))
+def _expect(lattice: Lattice, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """How often each symbol is expected in the segmentations of words: each word's weight flows back along the arcs."""
+    arcs: list = []
+    lattice.forward(words, prob, arcs)
+    ends = np.cumsum([len(w) for w in words])
+    flow, out = np.zeros(int(ends[-1])), np.zeros(lattice.n + 1)
+    flow[ends - 1] = weight
+    for symbol, source, end, share in reversed(arcs):
+        through = flow[end] * share
+        out += np.bincount(symbol, through, minlength=len(out))
+        np.add.at(flow, source[source >= 0], through[source >= 0])
+    return out
 
 
 def learn(docs: DataFrame, path: str | None = None) -> Model | None:
     """Fit a model to a bounded sample of the rows whose crc32(doc_id) is no multiple of 5."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)).select("lang", "text")
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0))
+    rows = rows.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE_ROWS / n))])
-    taken = rows.where((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)) & (F.length("text") <= SAMPLE_CHARS))
+    # about four times what is needed by a threshold, then different texts in order of their least hash
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 4 * SAMPLE_ROWS / n))])
+    some = rows.where(F.pmod("h", F.lit(1 << 40)) < share[F.col("lang")] * (1 << 40)).groupBy("lang", "text").agg(F.min(F.pmod("h", F.lit(1 << 40))).alias("h"))
+    taken = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("k") <= SAMPLE_ROWS)
 
     def count(batch: pa.RecordBatch):
         found: dict[tuple[str, str], int] = {}
@@ -251,10 +214,9 @@ def learn(docs: DataFrame, path: str | None = None) -> Model | None:
                 found[lang, w] = found.get((lang, w), 0) + 1
         yield {"lang": [k[0] for k in found], "word": [k[1] for k in found], "n": list(found.values())}
 
-    counted = common.arrow_map(taken, count, "lang string, word string, n long", CHUNK_BYTES).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = common.arrow_map(taken.select("lang", "text"), count, "lang string, word string, n long", CHUNK_BYTES).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts: dict[str, dict[str, int]] = {lang: {} for lang in sizes}
-    # Of each language, the words of SAMPLE_ROWS texts at most (about); the most frequent FIT_WORDS of them are used.
-    for r in counted.toLocalIterator():
+    for r in counted.toLocalIterator():  # the words of SAMPLE_ROWS texts a language
         counts[r["lang"]][r["word"]] = r["n"]
     return fit(counts, path)
 

@@ -114,7 +114,7 @@ class Model:
             raise ValueError("models with a compiled character map are not supported: their normaliser isn't the identity")
 
 
-def _inverse(chars: list[str]) -> np.ndarray:
+def inverse(chars: list[str]) -> np.ndarray:
     """Code of each code point: its place in chars, counted from 1; 0 for others."""
     out = np.zeros(0x110000, np.int32)
     out[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
@@ -125,6 +125,7 @@ class Trie:
     """Strings of character codes in a double array: the child of a state by a code is base[state] + code if check says so."""
 
     def __init__(self, strings: list[tuple[int, ...]], values: list[int], codes: int):
+        self.longest = max(map(len, strings), default=1)
         children: list[dict[int, int]] = [{}]
         accepts = [-1]
         for s, v in zip(strings, values, strict=True):
@@ -165,6 +166,24 @@ class Trie:
         to = self.base[state] + code
         return to, self.check[to] == state
 
+    def arcs(self, code: np.ndarray, until: np.ndarray, single: int) -> np.ndarray:
+        """The value of the string of k + 1 codes that ends at each place (row k), or -1; single for a code that is no string.
+        until is the end of each place's word."""
+        out = np.full((self.longest, len(code)), -1, np.int32)
+        out[0] = single
+        at, state = np.arange(len(code)), np.zeros(len(code), np.int32)
+        for k in range(self.longest):
+            state, good = self.step(state, code[at + k])
+            at, state = at[good], state[good]
+            value = self.value[state]
+            ends = value >= 0
+            out[k, at[ends] + k] = value[ends]
+            on = until[at] > at + k + 1
+            at, state = at[on], state[on]
+            if not len(at):
+                break
+        return out
+
 
 class Normaliser:
     """A transducer over two classes of characters. Its states: before any word, in a word, after spaces in a word's wake.
@@ -261,7 +280,7 @@ class Transducer:
         self.plain = set(self.spelled.values())
         self.normaliser = Normaliser(model.prefix, model.trim)
         chars = sorted({c for p in self.spelled for c in p})
-        self.code = _inverse(chars)
+        self.code = inverse(chars)
         spellings = list(self.spelled) + [c for c in chars if c not in self.spelled]
         self.start, self.other = len(spellings), len(spellings) + 1
         self.ids = np.array([self.spelled.get(s, -1) for s in spellings] + [-1, -1], np.int64)
@@ -274,7 +293,6 @@ class Transducer:
         code = {c: i + 1 for i, c in enumerate(chars)}
         reached = [i for i, s in enumerate(spellings) if made[i]]
         self.trie = Trie([tuple(code[c] for c in spellings[i]) for i in reached], reached, len(chars) + 1)
-        self.longest = max(map(len, spellings))
         # Classes of characters, and which classes stand next to each other in any piece: elsewhere the input can be cut.
         kinds = {c: _class(c) for c in chars}
         together = {(kinds[a], kinds[b]) for p in self.spelled for a, b in zip(p, p[1:])}
@@ -342,31 +360,14 @@ class Transducer:
                 out[i] = data
         return out
 
-    def _arcs(self, code: np.ndarray, until: np.ndarray) -> np.ndarray:
-        """The symbol of k + 1 characters that ends at each position (row k), or -1: pieces and the fallback's characters composed
-        with the input. until is the end of each position's word."""
-        out = np.full((self.longest, len(code)), -1, np.int32)
-        out[0] = self.other  # a character that is in no piece
-        at, state = np.arange(len(code)), np.zeros(len(code), np.int32)
-        for k in range(self.longest):
-            state, good = self.trie.step(state, code[at + k])
-            at, state = at[good], state[good]
-            value = self.trie.value[state]
-            ends = value >= 0
-            out[k, at[ends] + k] = value[ends]
-            on = until[at] > at + k + 1
-            at, state = at[on], state[on]
-            if not len(at):
-                break
-        return out
-
     def _paths(self, words: list[str]) -> Iterator[bytes]:
         """The ids of the shortest path of each word; words come longest first."""
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        arcs = self._arcs(self.code[chars], np.repeat(ends, sizes))
+        # pieces and the fallback's characters composed with the input
+        arcs = self.trie.arcs(self.code[chars], np.repeat(ends, sizes), self.other)
         distance, last, back = np.full(len(chars), INFINITE), np.zeros(len(chars), np.int32), np.zeros(len(chars), np.int64)
         live = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), "right") if len(words) else []
         for p, n in enumerate(live):
