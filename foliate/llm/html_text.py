@@ -3,11 +3,19 @@
 Every page's containers are scored by the running text they hold. Each page votes for the path of its best container, where a
 path is the chain of container tags with their classes, digits left out; Spark counts the votes of each host. Then each page is
 read again: the host's winning path names the containers whose text is the main text, and a page without such a container
-falls back to its own best one.
+falls back to its own best one. Equal votes: the path with more text, then the greater path.
 
-Text is everything inside these containers but menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments, which are known by tag, role or class. Character references are decoded, white space inside a block becomes one space,
-blocks are joined by a line feed.
+Text is everything inside these containers but
+
+* what its tag or role says: scripts, styles, forms, menus (nav), sidebars (aside), footers, and headers outside articles;
+* lists and boxes that are links: LEAST_LINKS links or more with LINK_SHARE of the characters;
+* boxes whose class or id says so (adverts, notices, comments and so on). A name is a hint only: it counts if all its parts are
+  such words or words of layout (ad-box does, share-price doesn't), and not on a box that holds nearly all of the page's text.
+
+Character references are decoded, white space inside a block becomes one space, blocks are joined by a line feed.
+
+Pages are read in one pass; no step looks back further than to the innermost open tag of a kind, so nested, unclosed and broken tags cost
+no more than others.
 
 Nulls: a null html is empty and gives an empty text. Pages with a null or odd url have no host and follow their own best
 container. Null page_ids and repeated rows are kept as they are; an empty table gives no rows. Columns besides page_id, url and
@@ -20,141 +28,248 @@ import html as entities
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.llm import common
 
-_TOKEN = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*)>|<[!?][^>]*>""")
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: A tag without < or > in its attributes, which is nearly every tag; others are read attribute by attribute.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>"'=]*+)([^<>"']*+(?:"[^"<>]*+"[^<>"']*+|'[^'<>]*+'[^<>"']*+)*+)>""")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>\"'=]*)")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NEXT = re.compile(r"""[>"']""")
 #: Tags whose content is no markup.
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
-_DROPPED = _RAW | {"nav", "header", "footer", "aside", "form", "button", "select", "svg", "template", "object", "canvas", "dialog", "menu", "head", "label", "audio", "video"}
+_DROPPED = _RAW | {"nav", "footer", "aside", "form", "button", "select", "svg", "template", "object", "canvas", "dialog", "menu", "head", "label", "audio", "video"}
 _CONTAINERS = {"html", "body", "div", "article", "section", "main", "td", "center", "table", "details", "fieldset"}
+#: Tags that are judged by their links, and containers with them.
+_BOXES = _CONTAINERS | {"ul", "ol", "dl", "header"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_BLOCKS = _CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "tr", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "figure", "figcaption", "address", "hr", "br", "summary", "option", "legend", "hgroup", "header", "footer", "nav", "aside", "form", "menu"}
+_BLOCKS = _BOXES | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "figure", "figcaption", "address", "hr", "br", "summary", "option", "legend", "hgroup", "footer", "nav", "aside", "form", "menu"}
 #: A start tag that closes an open one of the same group.
 _CLOSES = {t: {"p"} for t in ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "section", "article", "form", "hr", "figure")} | {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
+#: Tags that the end of another kind of tag doesn't close.
 _FENCE = {"html", "body", "div", "article", "section", "main", "table", "ul", "ol", "dl", "form", "nav", "aside", "header", "footer", "blockquote"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form"}
-#: Parts of class names and ids that mark what is no main text.
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|"
-    r"sidebar|side|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|respond|replies|reply|disqus|share|sharing|social|related|recommended|recirc|"
-    r"pagination|pager|login|signup|search|toolbar|copyright|legal|disclaimer|skip)(?:$|[\s_-]|\d)",
-    re.I,
+_NEVER = {"html", "body", "article", "main"}
+#: Words of names that hint at what is no main text, those that do so outside articles only, and words of layout beside them.
+_NOISE = set(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored promo promos promoted promotion cookie cookies consent gdpr notice notices notification notifications alert alerts "
+    "popup popups modal overlay newsletter subscribe subscription sidebar sidebars widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer footers comment comments commentlist respond replies reply disqus "
+    "share sharing social related recommended recommendations pagination pager login signup search toolbar copyright disclaimer".split()
+)
+_HEADERS = {"header", "masthead", "banner", "topbar"}
+_LAYOUT = set(
+    "area bar block bottom box btn button buttons col column container count fixed form global group holder icon icons inner item items left link links list main message messages module more outer page panel posts primary "
+    "reader readers region right row secondary section site slot space sticky stories text thread title top unit user users wrap wrapper zone".split()
 )
+LEAST_LINKS, LINK_SHARE = 3, 0.8
+#: A hint doesn't count on a box with so many times the text that stands outside of it.
+NEARLY_ALL = 4
 _DIGITS = re.compile(r"\d+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def hint(names: str) -> str:
+    """'noise', 'header' or '': what a class or id attribute hints at, by its names one by one."""
+    out = ""
+    for name in names.split():
+        parts = {p.lower() for p in _PARTS.findall(name) if len(p) > 1}
+        if parts & (_NOISE | _HEADERS) and parts <= _NOISE | _HEADERS | _LAYOUT:
+            if parts & _NOISE:
+                return "noise"
+            out = "header"
+    return out
 
 
 class Page:
-    """Nodes (containers: parent, path, first and last piece) and pieces of text in page order, with what is dropped left out."""
+    """Nodes (boxes and what hints are given for: parent, path, first and last piece) and pieces of text in page order."""
 
-    __slots__ = ("nodes", "pieces", "scores")
+    __slots__ = ("best", "ends", "gone", "parents", "paths", "pieces", "scores", "starts")
 
     def __init__(self, html: str):
-        self.nodes: list[list] = [[-1, "", 0, None]]
         self.pieces: list[tuple[str, bool, int]] = []  # text, in a link, node; an empty text is a block's end
-        stack: list[tuple[str, int]] = []  # tag, node that it opened or -1
-        node, dropped, links, at, pieces, nodes = 0, 0, 0, 0, self.pieces, self.nodes
+        pieces = self.pieces
+        # A node's path is a hash of its parent's and its own name; '' for nodes that can't win.
+        self.parents, self.paths, self.starts, self.ends = [-1], [""], [0], [0]
+        kinds, links = [""], [0]  # what is known of each node at its start ('a': may win with a bonus); links in it
+        stack: list[tuple[str, int]] = []  # tag, node that it opened, -1 (none) or -2 (what is in it is dropped)
+        where: dict[str, list[int]] = {}  # the places in the stack of each open tag
+        fences: list[int] = []
+        node = dropped = in_link = articles = at = 0
+        size, missing = len(html), set()
 
         def pop(to: int) -> None:
-            nonlocal node, dropped, links
+            nonlocal node, dropped, in_link, articles
             while len(stack) > to:
                 tag, own = stack.pop()
+                where[tag].pop()
+                if tag in _FENCE:
+                    fences.pop()
                 if own == -2:
                     dropped -= 1
                 elif own >= 0:
-                    nodes[own][3] = len(pieces)
-                    node = nodes[own][0]
-                if tag == "a":
-                    links -= 1
+                    self.ends[own] = len(pieces)
+                    node = self.parents[own]
+                in_link -= tag == "a"
+                articles -= tag in ("article", "main")
 
-        search, size = _TOKEN.search, len(html)
         while at < size:
-            m = search(html, at)
-            text = html[at : m.start() if m else size]
+            lt = html.find("<", at)
+            text = html[at : lt if lt >= 0 else size]
             if text and not dropped:
-                pieces.append((text, links > 0, node))
-            if not m:
+                pieces.append((text, in_link > 0, node))
+            if lt < 0:
                 break
-            at = m.end()
-            end, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-            if not tag:
+            m = _TAG.match(html, lt)
+            if m:
+                at, end, tag, rest = m.end(), m[1], m[2].lower(), m[3]
+            elif html.startswith("<!--", lt):
+                close = html.find("-->", lt + 2)
+                at = close + 3 if close >= 0 else size
+                continue
+            elif html.startswith(("<!", "<?"), lt):
+                close = html.find(">", lt)
+                at = close + 1 if close >= 0 else size
+                continue
+            elif m := _NAME.match(html, lt):
+                end, tag, begin = m[1], m[2].lower(), m.end()
+                at = _end_of_tag(html, begin, missing)
+                rest = html[begin : at - 1]
+            elif html.startswith("</", lt) and lt + 2 < size:  # no name after it: up to the next >, as a comment
+                close = html.find(">", lt)
+                at = close + 1 if close >= 0 else size
+                continue
+            else:
+                at = lt + 1
+                if not dropped:
+                    pieces.append(("<", in_link > 0, node))
                 continue
-            tag = tag.lower()
             if tag in _BLOCKS and not dropped and pieces and pieces[-1][0]:
                 pieces.append(("", False, node))
+            fence = fences[-1] if fences else -1
             if end:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        pop(i)
-                        break
-                    if stack[i][0] in _FENCE and tag not in _FENCE:
-                        break
+                places = where.get(tag)
+                if places and (places[-1] >= fence or tag in _FENCE):
+                    pop(places[-1])
                 continue
-            if tag in _CLOSES:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in _CLOSES[tag]:
-                        pop(i)
-                        break
-                    if stack[i][0] in _FENCE:
-                        break
+            if closes := _CLOSES.get(tag):
+                last = max((where[t][-1] for t in closes if where.get(t)), default=-1)
+                if last > fence:
+                    pop(last)
             if tag in _VOID or rest.endswith("/") and tag not in _CONTAINERS:
                 continue
             if tag in _RAW:
-                close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+                close = re.compile(rf"</{tag}[^>]*>", re.I).search(html, at)
                 at = close.end() if close else size
                 continue
-            attributes = {k.lower(): a or b or c or "" for k, a, b, c in _ATTRIBUTE.findall(rest)} if rest else {}
-            names = f"{attributes.get('class', '')} {attributes.get('id', '')}" if attributes else ""
-            noise = tag in _DROPPED or attributes and tag not in ("html", "body", "article", "main") and (
-                bool(_NOISE.search(names)) or attributes.get("role", "").lower() in _ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-            )
-            if noise:
-                dropped += 1
-                stack.append((tag, -2))
-            elif tag in _CONTAINERS and not dropped:
-                own = "".join("." + c for c in sorted(set(_DIGITS.sub("0", attributes.get("class", "")).lower().split())))
-                nodes.append([node, f"{nodes[node][1]}>{tag}{own}", len(pieces), None])
-                node = len(nodes) - 1
-                stack.append((tag, node))
+            own = -1
+            if dropped:
+                pass
+            elif tag in _DROPPED or tag == "header" and not articles:
+                own, dropped = -2, dropped + 1
             else:
-                links += tag == "a"
-                stack.append((tag, -1))
-        for n in nodes:
-            n[3] = len(pieces) if n[3] is None else n[3]
-        self.scores = [0.0] * len(nodes)
-        for text, link, n in pieces:
-            if text and not link:
-                k = len(text.strip())
-                self.scores[n] += k
-                if (up := nodes[n][0]) >= 0:
-                    self.scores[up] += k / 2
-
-    def best(self) -> int:
-        """The container with the highest score; the first of equals; articles and main count half as much again."""
-        bonus = lambda i: 1.5 if re.search(r"(?:^|>)(?:article|main)[^>]*$", self.nodes[i][1]) else 1.0
-        return max(range(len(self.nodes)), key=lambda i: (self.scores[i] * bonus(i), -i))
+                attributes = {k.lower(): a or b or c or "" for k, a, b, c in _ATTRIBUTE.findall(rest)} if rest else {}
+                kind = ""
+                if attributes and tag not in _NEVER:
+                    kind = hint(f"{attributes.get('class', '')} {attributes.get('id', '')}")
+                    kind = "" if kind == "header" and articles else kind
+                    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
+                        kind = "hidden"
+                    if attributes.get("role", "").lower() in _ROLES:
+                        kind = "role"
+                if kind or tag in _BOXES:
+                    path = ""
+                    if tag in _CONTAINERS:
+                        name = tag + "".join("." + c for c in sorted(set(_DIGITS.sub("0", attributes.get("class", "")).lower().split())))
+                        path = xxhash.xxh3_128_hexdigest(f"{self.paths[node]}>{name}".encode("utf-8", "surrogatepass"))
+                    own = len(kinds)
+                    self.parents.append(node)
+                    self.paths.append(path)
+                    self.starts.append(len(pieces))
+                    self.ends.append(-1)
+                    kinds.append(kind or ("a" if tag in ("article", "main") else ""))
+                    links.append(0)
+                    node = own
+            if tag == "a":
+                in_link += 1
+                links[node] += not dropped
+            articles += tag in ("article", "main")
+            where.setdefault(tag, []).append(len(stack))
+            if tag in _FENCE:
+                fences.append(len(stack))
+            stack.append((tag, own))
+        self.ends = [len(pieces) if e < 0 else e for e in self.ends]
+        self.ends[0] = len(pieces)
+        self._judge(kinds, links)
+
+    def _judge(self, kinds: list[str], links: list[int]) -> None:
+        """Which nodes are no main text (gone), the nodes' scores, and the best node."""
+        n = len(kinds)
+        chars, linked, plain = [0] * n, [0] * n, [0] * n
+        for text, link, at in self.pieces:
+            if k := len(text.strip()):
+                chars[at] += k
+                if link:
+                    linked[at] += k
+                else:
+                    plain[at] += k
+        for i in range(n - 1, 0, -1):
+            up = self.parents[i]
+            chars[up] += chars[i]
+            linked[up] += linked[i]
+            links[up] += links[i]
+        self.gone, self.scores = [False] * n, [0.0] * n
+        for i in range(1, n):
+            hinted = kinds[i] not in ("", "a") and chars[i] <= NEARLY_ALL * (chars[0] - chars[i])
+            menu = links[i] >= LEAST_LINKS and linked[i] >= LINK_SHARE * chars[i]
+            self.gone[i] = self.gone[self.parents[i]] or hinted or menu
+        for i in range(n):
+            if not self.gone[i]:
+                self.scores[i] += plain[i]
+                if i:
+                    self.scores[self.parents[i]] += plain[i] / 2
+        # the highest score, the first of equals; articles and main count half as much again
+        able = [i for i in range(n) if not i or self.paths[i]]
+        self.best = max(able, key=lambda i: (self.scores[i] * (1.5 if kinds[i] == "a" else 1.0), -i))
 
     def text(self, path: str | None) -> str:
         """The text of all containers at path (those inside others once), or of the best container if there is none."""
-        chosen = [n for n in self.nodes if n[1] == path] if path else []
-        if not any(self.pieces[k][0].strip() for n in chosen for k in range(n[2], n[3])):
-            chosen = [self.nodes[self.best()]]
+        chosen = [i for i, p in enumerate(self.paths) if p == path and not self.gone[i]] if path else []
+        return (self._blocks(chosen) if chosen else "") or self._blocks([self.best])
+
+    def _blocks(self, nodes: list[int]) -> str:
         blocks, held, upto = [], [], 0
-        for n in sorted(chosen, key=lambda n: n[2]):
-            for text, _, _ in [*self.pieces[max(n[2], upto) : n[3]], ("", False, 0)]:
+        for i in nodes:  # in page order
+            for k in range(max(self.starts[i], upto), self.ends[i] + 1):
+                text, _, at = self.pieces[k] if k < self.ends[i] else ("", False, i)
                 if text:
-                    held.append(text)
+                    if not self.gone[at]:
+                        held.append(text)
                 elif held:
                     if block := " ".join(entities.unescape("".join(held)).split()):
                         blocks.append(block)
                     held = []
-            upto = max(upto, n[3])
+            upto = max(upto, self.ends[i])
         return "\n".join(blocks)
 
 
+def _end_of_tag(html: str, at: int, missing: set[str]) -> int:
+    """Where the tag whose attributes start here ends: after the next > outside quotes. missing: quotes that close nowhere from here on."""
+    while m := _NEXT.search(html, at):
+        at = m.end()
+        if m[0] == ">":
+            return at
+        if m[0] not in missing:
+            close = html.find(m[0], at)
+            if close < 0:
+                missing.add(m[0])
+            else:
+                at = close + 1
+    return len(html) + 1
+
+
 def votes(pages: DataFrame) -> DataFrame:
     """host, path, pages, chars: the votes of each host's pages."""
 
@@ -163,11 +278,10 @@ def votes(pages: DataFrame) -> DataFrame:
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if host and html:
                 page = Page(html)
-                best = page.best()
-                if page.nodes[best][1]:
-                    v = found.setdefault((host, page.nodes[best][1]), [0, 0])
+                if path := page.paths[page.best]:
+                    v = found.setdefault((host, path), [0, 0])
                     v[0] += 1
-                    v[1] += int(page.scores[best])
+                    v[1] += int(page.scores[page.best])
         yield {"host": [k[0] for k in found], "path": [k[1] for k in found], "pages": [v[0] for v in found.values()], "chars": [v[1] for v in found.values()]}
 
     counted = common.arrow_map(pages.select("host", "html"), run, "host string, path string, pages long, chars long")
