@@ -67,11 +67,26 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
             for part in slices(batch, size):
                 for cols in fn(part):
                     yield pa.RecordBatch.from_arrays([as_array(cols[f.name], f.type) for f in fields], schema=fields)
-        pa.default_memory_pool().release_unused()  # workers live on
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that is free back to the system: workers live on beside the executor's heap, for other operators too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@lru_cache(1)
+def _libc():
+    import ctypes
+
+    return ctypes.CDLL(None)
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     return values if isinstance(values, pa.Array) and values.type == kind else values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
@@ -174,7 +189,7 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType | None = Non
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def only(df: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """The rows of df whose key is in ids: ids are counted first and broadcast if few, else both sides are shuffled."""
     few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(ids) if few else ids.hint("merge"), key, "left_semi")

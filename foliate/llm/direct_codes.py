@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliate.llm import common, tokens
@@ -172,6 +172,45 @@ def read(spark: SparkSession, path: str, fn=None, schema: str = "doc_id long, st
     return file.select("part", "payload").mapInArrow(run, schema)
 
 
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """position, token for positions(position) of a file: each is looked up in its own shard; no shard is decoded, and shards without a position are not read.
+
+    Positions below 0 or beyond the file, and nulls, have no row; equal ones have a row each.
+    """
+    common.ship(spark)
+    file = spark.read.parquet(path)
+    sizes = file.select("part", "shard", "n_tokens")
+    totals = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()  # one row per written partition
+    ends = np.cumsum([r["n"] for r in totals]) if totals else np.zeros(0, np.int64)
+    parts = [r["part"] for r in totals]
+
+    def place(batch: pa.RecordBatch):
+        at = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+        at = at[(at >= 0) & (at < (ends[-1] if len(ends) else 0))]
+        k = np.searchsorted(ends, at, "right")
+        starts = np.concatenate([[0], ends])
+        yield {"position": at, "part": [parts[i] for i in k], "at": at - starts[k]}
+
+    placed = common.arrow_map(positions.select(F.col("position").cast("long").alias("position")), place, "position long, part int, at long")
+    before = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = sizes.withColumn("before", before)
+    found = placed.join(spans, "part").where("at >= before AND at < before + n_tokens")
+    wanted = found.groupBy("part", "shard").agg(F.collect_list(F.struct("position", (F.col("at") - F.col("before")).alias("at"))).alias("wanted"))
+    # the keys of the wanted shards prune the scan where they are few
+    blobs = common.only(file.select("part", "shard", "payload"), common.materialise(wanted.select("part", "shard")), ["part", "shard"])
+
+    def look(batch: pa.RecordBatch):
+        position, token = [], []
+        for blob, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            shard = Shard(blob)
+            for w in wanted:
+                position.append(w["position"])
+                token.append(shard.token(w["at"]))
+        yield {"position": position, "token": token}
+
+    return common.arrow_map(blobs.join(wanted, ["part", "shard"]).select("payload", "wanted"), look, "position long, token long")
+
+
 def digests(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """Write the file, read it back and return doc_id, start, n_tokens, ids_crc32 of each document."""
     spark = docs.sparkSession

@@ -9,7 +9,8 @@ similarity 0.85 miss each other in all bands with probability under 1e-8, with 0
 No bucket is expanded into pairs. Equal sets are one class from the start. In each bucket members are compared with one hub,
 then those still apart with another. What is left, members of one bucket in different components, is compared exactly by
 prefixes of the sets in order of rising frequency, with the length and position filters of set-similarity joins, which lose no
-pair. All links are confirmed on the full sets. Components then give each document's group.
+pair. All links are confirmed on the full sets. Components then give each document's group. Sets, buckets and shingles go through one
+exchange each, hot ones dealt to several tasks.
 
 Nulls: a null text, or one without words, is an empty set, linked with nothing. Rows with a null doc_id are kept and linked with
 nothing. Rows with equal doc_id are one document with several versions: one group. An empty table gives no rows. Columns
@@ -22,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliate.llm import common
@@ -96,7 +97,10 @@ def _sign(batch: pa.RecordBatch):
     np.add.at(f1, doc, common.mix(keys ^ np.uint64(0x5555555555555555)))
     np.add.at(f2, doc, common.mix(keys ^ np.uint64(0x3333333333333333)))
     found = bands(sketches(keys, counts[have]))
-    yield {"doc_id": batch.column(0), "n_shingles": counts, "f1": common.signed(f1), "f2": common.signed(f2), "bands": common.lists(common.signed(found.reshape(-1)), np.where(have, found.shape[1], 0))}
+    yield {
+        "doc_id": batch.column(0), "rid": batch.column(2), "n_shingles": counts, "f1": common.signed(f1), "f2": common.signed(f2),
+        "bands": common.lists(common.signed(found.reshape(-1)), np.where(have, found.shape[1], 0)),
+    }
 
 
 def linked(a: list[bytes | None], b: list[bytes | None], share: int = SHARE) -> np.ndarray:
@@ -118,7 +122,7 @@ def linked(a: list[bytes | None], b: list[bytes | None], share: int = SHARE) ->
 def _confirm(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) of doc_ids that are linked."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = common.only(docs, common.materialise(ids), "doc_id")
+    own = common.only(docs.select("doc_id", "text"), common.materialise(ids), "doc_id")
     both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batch: pa.RecordBatch):
@@ -128,34 +132,35 @@ def _confirm(pairs: DataFrame, docs: DataFrame, share: int) -> DataFrame:
     return common.materialise(common.arrow_map(both.select("a", "b", "ta", "tb"), run, "a long, b long"))
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members with the component of each rep (itself where it has no link)."""
-    return members.join(labels, members["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+def _apart(members: DataFrame, labels: DataFrame, hot: DataFrame | None, **more: Column) -> DataFrame:
+    """Members(key, doc_id, rid) of buckets that hold two components or more, with their component (itself where a member has no link)."""
+    labelled = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", *common.KEY, F.coalesce("component", "doc_id").alias("component"))
+    return common.grouped(labelled, ["key"], hot, lo=F.min("component"), hi=F.max("component"), **more).where("lo <> hi")
 
 
-def _apart(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold two components or more."""
-    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return members.join(mixed, "key", "left_semi")
-
-
-def _rest(open_: DataFrame, docs: DataFrame, share: int) -> DataFrame:
+def _rest(open_: DataFrame, docs: DataFrame, n: int, share: int) -> DataFrame:
     """Pairs of different components among open_(rep, component) that can be linked, by prefixes, lengths and positions."""
 
     def run(batch: pa.RecordBatch):
         keys, counts = shingles(common.texts(batch.column(2)))
         at = pa.array(np.repeat(np.arange(len(counts)), counts))
-        yield {"rep": batch.column(0).take(at), "component": batch.column(1).take(at), "n": np.repeat(counts, counts), "shingle": common.signed(keys)}
-
-    texts = common.only(docs, open_.select(F.col("rep").alias("doc_id")), "doc_id")
-    sets = common.arrow_map(open_.join(texts, open_["rep"] == texts["doc_id"]).select("rep", "component", "text"), run, "rep long, component long, n long, shingle long")
-    sets = sets.repartition("shingle")
-    often = sets.groupBy("shingle").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("rep").orderBy("df", "shingle")
+        yield {"doc_id": batch.column(0).take(at), "component": batch.column(1).take(at), "rid": batch.column(3).take(at), "n": np.repeat(counts, counts), "shingle": common.signed(keys)}
+
+    def sets(of: DataFrame) -> DataFrame:
+        """The shingles of each version of the documents, once."""
+        texts = common.only(docs.select(*common.KEY, "text"), of.select("doc_id"), "doc_id")
+        rows = of.join(texts, "doc_id").dropDuplicates(common.KEY).select("doc_id", "component", "text", "rid")
+        return common.arrow_map(rows, run, "doc_id long, component long, rid long, n long, shingle long")
+
+    open_ = open_.withColumnRenamed("rep", "doc_id")
+    some = common.sampled(open_.withColumn("rid", F.lit(0)), n).drop("rid")
+    hot = common.hot_keys(sets(some), ["shingle"])
+    often = common.grouped(sets(open_), ["shingle"], hot, df=F.count("*")).withColumnRenamed("doc_id", "rep")
+    order = Window.partitionBy("rep", "rid").orderBy("df", "shingle")
     # A partner of a set of n has at least share % of n in common with it, one that is as large or larger at least 2 share / (100 + share).
     probe = F.col("n") - F.ceil(F.lit(share) * F.col("n") / 100) + 1
     index = F.col("n") - F.ceil(F.lit(2 * share) * F.col("n") / (100 + share)) + 1
-    prefix = sets.join(often, "shingle").withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < probe).withColumn("indexed", F.col("at") < index)
+    prefix = often.withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < probe).withColumn("indexed", F.col("at") < index)
     prefix = common.materialise(prefix.where("df > 1").select("shingle", "rep", "component", "n", "at", "indexed"))
     x, y = prefix.where("indexed").alias("x"), prefix.alias("y")
     on = "x.shingle = y.shingle AND x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.rep < y.rep)"
@@ -165,27 +170,33 @@ def _rest(open_: DataFrame, docs: DataFrame, share: int) -> DataFrame:
 
 def groups(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document, by links of share % or more."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = common.materialise(common.arrow_map(docs, _sign, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"))
-    sets = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = sets.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    slots = classes.select("rep", F.explode("bands").alias("key")).repartition("key")
-    shared = slots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = common.materialise(slots.join(shared, "key").select("key", "rep"))
-    links = labels = None
-    for k in range(HUBS):
-        now = _apart(_labelled(members, labels)) if k else members.withColumn("component", F.col("rep"))
-        now = common.materialise(now) if k else now
-        hubs = now.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(k)) if k else F.col("rep")).alias("hub"))
-        pairs = now.join(hubs, "key").where("rep <> hub.rep AND component <> hub.component").select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
-        found = _confirm(common.materialise(pairs), docs, share)
-        links = found if links is None else links.unionByName(found)
+    docs = common.keyed(docs.select("doc_id", "text"))
+    n, same = docs.count(), ["n_shingles", "f1", "f2"]
+
+    def signatures(df: DataFrame) -> DataFrame:
+        return common.arrow_map(df.select("doc_id", "text", "rid"), _sign, "doc_id long, rid long, n_shingles long, f1 long, f2 long, bands array<long>")
+
+    hot = common.hot_keys(signatures(common.sampled(docs, n)), same)
+    named = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("doc_id"))
+    signed = common.grouped(signatures(docs), same, hot, rep=F.min(named))
+    # the first document of equal sets stands for them
+    signed = common.materialise(signed.select(*common.KEY, "n_shingles", named.isNotNull().alias("has"), "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")))
+    slots = signed.select(*common.KEY, F.explode("bands").alias("key"))
+    hot = common.hot_keys(common.sampled(slots, n), ["key"])
+    met = common.grouped(slots, ["key"], hot, store=False, hub=F.min("doc_id"), last=F.max("doc_id"))
+    members = common.materialise(met.where("hub <> last").select("key", *common.KEY, "hub"))
+    pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = _confirm(common.materialise(pairs), docs, share)
+    labels = common.materialise(components(links))
+    for k in range(1, HUBS):
+        now = _apart(members, labels, hot, hub=F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(k))))
+        pairs = now.where("doc_id <> hub.doc_id AND component <> hub.component").select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b")).distinct()
+        links = links.unionByName(_confirm(common.materialise(pairs), docs, share))
         labels = common.materialise(components(links))
-    open_ = common.materialise(_apart(_labelled(members, labels)).select("rep", "component").distinct())
-    found = _confirm(common.materialise(_rest(open_, docs, share)), docs, share)
-    # Rows that share a doc_id are versions of one document: their classes are linked too.
-    member = sets.join(classes.select("n_shingles", "f1", "f2", "rep"), ["n_shingles", "f1", "f2"]).select("doc_id", "rep")
-    own = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    open_ = common.materialise(_apart(members, labels, hot).select(F.col("doc_id").alias("rep"), "component").distinct())
+    found = _confirm(common.materialise(_rest(open_, docs, n, share)), docs, share)
+    # Equal sets, and rows that share a doc_id, which are versions of one document.
+    own = signed.where("has AND doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     labels = common.materialise(components(links.unionByName(found).unionByName(own)))
     out = signed.join(labels, signed["doc_id"] == labels["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

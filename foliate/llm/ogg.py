@@ -155,30 +155,43 @@ def store(docs: DataFrame, unit: int = UNIT) -> DataFrame:
     return common.arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_bytes long, media binary")
 
 
-def inspect(media: bytes) -> tuple[bytes, str]:
-    """The payload read back, and its features."""
+def inspect(media: bytes) -> tuple[bytes, str, list[float]]:
+    """The payload read back, its features, and the seconds at the end of each page that ends a packet. Raises BadOgg."""
     streams = demux(media)
+    if PAYLOAD_SERIAL not in streams or not streams[PAYLOAD_SERIAL].packets:
+        raise BadOgg("no payload")
     own = streams[PAYLOAD_SERIAL]
     payload = b"".join(own.packets)
     times = own.times()
     x = np.frombuffer(payload, np.uint8)
-    mean, power = float(x.mean()), float(np.sqrt(np.mean((x - np.float64(128)) ** 2)))
+    mean, power = (float(x.mean()), float(np.sqrt(np.mean((x - np.float64(128)) ** 2)))) if len(x) else (0.0, 0.0)
     crossings = int(np.count_nonzero((x[1:] >= 128) != (x[:-1] >= 128)))
-    text = streams[TEXT_SERIAL].packets[0].decode()
-    return payload, f"{text};streams={len(streams)};pages={sum(s.pages for s in streams.values())};packets={len(own.packets)};seconds={times[-1]:.6f};mean={mean:.4f};rms={power:.4f};crossings={crossings}"
+    text = streams[TEXT_SERIAL].packets[0].decode(errors="replace") if TEXT_SERIAL in streams else ""
+    feature = f"{text};streams={len(streams)};pages={sum(s.pages for s in streams.values())};packets={len(own.packets)};seconds={times[-1]:.6f};mean={mean:.4f};rms={power:.4f};crossings={crossings}"
+    return payload, feature, [float(times[k - 1]) for _, k in own.marks]
 
 
 def digests(stored: DataFrame) -> DataFrame:
-    """What reading each stored file gives: sizes, hashes and features."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """What reading each stored file(doc_id, n_bytes, media) gives: sizes, hashes, features and the times of its pages.
+
+    A file that breaks the format is a row with its error and nulls for what can't be read.
+    """
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, page_seconds array<double>, error string"
+
+    def read(media: bytes | None) -> tuple:
+        try:
+            payload, feature, seconds = inspect(media or b"")
+        except BadOgg as e:
+            return None, None, None, None, None, str(e)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), feature, seconds, None
 
     def run(batch: pa.RecordBatch):
         media = batch.column(2).to_pylist()
-        got = [inspect(m) for m in media]
+        got = [read(m) for m in media]
+        size, sha, tail, feature, seconds, error = map(list, zip(*got, strict=True))
         yield {
-            "doc_id": batch.column(0), "n_bytes": batch.column(1), "payload_bytes": [len(p) for p, _ in got],
-            "payload_sha256": [hashlib.sha256(p).hexdigest() for p, _ in got], "tail_crc32": [zlib.crc32(p[-32:]) for p, _ in got],
-            "media_bytes": list(map(len, media)), "media_sha256": [hashlib.sha256(m).hexdigest() for m in media], "feature": [f for _, f in got],
+            "doc_id": batch.column(0), "n_bytes": batch.column(1), "payload_bytes": size, "payload_sha256": sha, "tail_crc32": tail, "media_bytes": [len(m or b"") for m in media],
+            "media_sha256": [hashlib.sha256(m or b"").hexdigest() for m in media], "feature": feature, "page_seconds": seconds, "error": error,
         }
 
     return common.arrow_map(stored, run, schema)

@@ -73,6 +73,35 @@ def _repeated(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.
     return np.bincount(doc[covered], minlength=len(counts)).astype(np.int64)
 
 
+#: Letters become a, white space a space, all other ASCII goes.
+_SHAPE = bytes(97 if x in _UPPER + _LOWER else 32 if x in _SPACES else x for x in range(256))
+_NO_SHAPE = bytes(x for x in range(128) if x not in _UPPER + _LOWER + _SPACES)
+#: Texts with more different characters beyond ASCII are translated character by character.
+_FEW = 200
+
+
+def _letters(t: bytes, whole: str) -> tuple[int, int, int]:
+    """Letters, capital letters, and words with a letter anywhere in them."""
+    letters = t.translate(None, _NO_LETTERS)
+    n, upper, shape = len(letters), len(letters.translate(None, _LOWER)), t
+    if not whole.isascii():
+        wide = {c for c in set(whole) if c > "\x7f"}
+        for c in wide:
+            if c.isalpha():
+                k = whole.count(c) if len(wide) <= _FEW else 0
+                n, upper = n + k, upper + k * c.isupper()
+        if len(wide) > _FEW:
+            own = [c for c in whole if c > "\x7f" and c.isalpha()]
+            n, upper = n + len(own), upper + sum(map(str.isupper, own))
+            shape = whole.translate({ord(c): "a" if c.isalpha() else None for c in wide}).encode()
+        else:
+            shape = whole
+            for c in wide:
+                shape = shape.replace(c, "a" if c.isalpha() else "")
+            shape = shape.encode()
+    return n, upper, len(shape.translate(_SHAPE, _NO_SHAPE).split())
+
+
 def _measure(batch: pa.RecordBatch):
     texts = common.texts(batch.column(1))
     words = common.Words(texts)
@@ -80,16 +109,14 @@ def _measure(batch: pa.RecordBatch):
     for t in texts:
         whole = t.decode()
         lines = [x for x in t.split(b"\n") if x.strip(_SPACES)]
-        parts = t.split()
-        letters = t.translate(None, _NO_LETTERS)
-        wide = [c for c in whole if c > "\x7f" and c.isalpha()] if not whole.isascii() else []
+        letters, upper, spelled = _letters(t, whole)
         cols["word_chars"].append(len(whole) - sum(map(t.count, [_SPACES[i : i + 1] for i in range(6)])))
         cols["n_symbols"].append(len(t) - len(t.translate(None, _SYMBOLS)))
         cols["n_dup_lines"].append(len(lines) - len(set(lines)))
         cols["n_lines"].append(len(lines))
-        cols["n_alpha_words"].append(sum(w[:1].isalpha() or w[0] >= 0xC3 for w in parts))
-        cols["n_letters"].append(len(letters) + len(wide))
-        cols["n_upper"].append(len(letters.translate(None, _LOWER)) + sum(map(str.isupper, wide)))
+        cols["n_alpha_words"].append(spelled)
+        cols["n_letters"].append(letters)
+        cols["n_upper"].append(upper)
         cols["n_shouts"].append(t.count(b"!"))
         cols["n_ellipsis_lines"].append(sum(x.rstrip(_SPACES).endswith((b"...", "…".encode())) for x in lines))
         cols["n_bullet_lines"].append(sum(x.lstrip(_SPACES).startswith(_BULLETS) for x in lines))
@@ -134,6 +161,19 @@ def ablations(ledger: DataFrame, policy: str = CURRENT) -> DataFrame:
     return one.select("documents", "failed_any", rows.alias("r")).select("r.rule", "r.failed", "r.failed_alone", "failed_any", "documents")
 
 
+def sole_rule(policy: str = CURRENT) -> Column:
+    """The rule of the policy that a document fails alone, so that it would be kept without it; null if there is none."""
+    bits = F.col("fail_bits").bitwiseAND(F.lit(mask(policy)))
+    out = F.lit(None).cast("string")
+    for r in POLICIES[policy]:
+        out = F.when(bits == BIT[r], F.lit(r)).otherwise(out)
+    return out
+
+
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = apply(measure(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+    """The ledger is stored, then the current policy and its ablations are read from it: with sole_rule, the rule that alone rejects a
+    document, and how many documents it rejects alone (sole_rule_docs) or at all (rule_docs)."""
+    ledger = common.stored(measure(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    effect = ablations(ledger).select(F.col("rule").alias("sole_rule"), F.col("failed_alone").alias("sole_rule_docs"), F.col("failed").alias("rule_docs"))
+    judged = apply(ledger).withColumn("sole_rule", sole_rule()).join(F.broadcast(effect), "sole_rule", "left")  # a row per rule
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "sole_rule", "sole_rule_docs", "rule_docs")

@@ -78,6 +78,28 @@ def test_near_dedup_of_a_family_whose_members_are_apart(spark):
     assert got == brute_components(range(60), edges) and len(set(got.values())) > 1
 
 
+def test_near_dedup_with_hot_groups(spark, monkeypatch):
+    """Most documents are copies of one text or near it: sets, buckets and shingles are dealt to several tasks."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rng = np.random.default_rng(11)
+    base = [f"h{i}" for i in rng.integers(0, 5000, 120)]
+    texts = [" ".join(base)] * 15
+    for k in range(45):
+        w = list(base)
+        for p in rng.choice(len(w), k % 6, replace=False):
+            w[p] = f"y{rng.integers(1 << 30)}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"o{i}" for i in rng.integers(0, 900, 60)) for _ in range(10)] + [None, ""]
+    rows = [*enumerate(texts), (3, texts[3]), (70, texts[20]), (70, texts[60])]
+    sets: dict = {}
+    for d, t in rows:
+        sets.setdefault(d, []).append(shingle_set(t))
+    linked = lambda x, y: x and y and 100 * len(x & y) >= 85 * len(x | y)
+    edges = [(a, b) for a in sets for b in sets if a < b and any(linked(x, y) for x in sets[a] for y in sets[b])]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.groups(documents(spark, rows)).collect()}
+    assert got == brute_components(sets, edges)
+
+
 def test_near_dedup_versions_and_empty(spark):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     got = near_dedup.groups(documents(spark, [(1, a), (2, b), (3, a), (3, b)])).collect()

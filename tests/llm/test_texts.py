@@ -41,6 +41,27 @@ def test_rules_measure(spark):
     assert rules.measure(documents(spark, [])).count() == 0
 
 
+def test_words_with_letters():
+    """A letter anywhere in a word counts, signs beyond ASCII don't."""
+    import pyarrow as pa
+
+    cases = ["— — — — —", '"quoted" (paren) \'tick', "Ärger 12 ü3 ... 日本 ½", "", "a", "ΑΒ γ " + "".join(chr(0x4E00 + i) for i in range(300))]
+    got = next(rules._measure(pa.RecordBatch.from_arrays([pa.array(range(len(cases))), pa.array(cases)], names=["doc_id", "text"])))
+    assert got["n_alpha_words"] == [sum(any(c.isalpha() for c in w) for w in words(t)) for t in cases]
+    assert got["n_letters"] == [sum(c.isalpha() for c in t) for t in cases] and got["n_upper"] == [sum(c.isalpha() and c.isupper() for c in t) for t in cases]
+
+
+def test_rules_query_reads_its_ablations_from_the_ledger(spark, tmp_path):
+    documents(spark, corpus()).write.parquet(str(tmp_path / "documents.parquet"))
+    got = rules.op2_rules(spark, str(tmp_path)).collect()
+    bits = [r["fail_bits"] & rules.mask(rules.CURRENT) for r in got]
+    assert len(got) == len(corpus()) and any(r["sole_rule"] for r in got)
+    for r in got:
+        b = r["fail_bits"] & rules.mask(rules.CURRENT)
+        want = next((name for name in rules.POLICIES[rules.CURRENT] if b == rules.BIT[name]), None)
+        assert r["sole_rule"] == want and r["sole_rule_docs"] == (sum(x == b for x in bits) if want else None) and r["rule_docs"] == (sum(x & b > 0 for x in bits) if want else None)
+
+
 def test_ablations(spark):
     ledger = rules.apply(rules.measure(documents(spark, corpus())))
     bits = [r["fail_bits"] & rules.mask("v2") for r in ledger.collect()]
@@ -85,7 +106,70 @@ def test_html_random_articles():
         blocks = [" ".join(rng.choice(["aa", "b<c", "d&e", "ü", "f g"]) for _ in range(rng.randrange(1, 40))) for _ in range(rng.randrange(1, 9))]
         body = "".join(f"<{t}>{html.escape(b)}" + (f"</{t}>" if rng.random() < 0.6 else "") for b in blocks for t in [rng.choice(["p", "h2", "blockquote", "li"])])
         source = page(f"<nav>Menu</nav><article>{body}</article><footer>x</footer>")
-        assert html_text.Page(source).text(">html>body>article") == "\n".join(" ".join(b.split()) for b in blocks)
+        p = html_text.Page(source)
+        assert p.text(path_of(p, "html", "body", "article")) == p.text(None) == "\n".join(" ".join(b.split()) for b in blocks)
+
+
+def path_of(p, *names):
+    import xxhash
+
+    out = ""
+    for name in names:
+        out = xxhash.xxh3_128_hexdigest(f"{out}>{name}")
+    return out
+
+
+def test_html_names_are_hints_only():
+    """Sections of an article stay whatever words are in their names; boxes that are named and hold other text go."""
+    for name in ("side-by-side", "legal-analysis", "social-history", "share-price", "related-work", "comment-on-law", "notice-of-motion", "widget-economics", "entry-header"):
+        source = page(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div></article>")
+        assert html_text.Page(source).text(None) == f"{LONG.strip()}\n{LONG.strip()}", name
+    for name in ("ad", "ad-300x250", "adBox", "comments-list", "sidebar", "share-buttons", "related-posts", "newsletter-signup", "cookie-banner", "c-sidebar__inner--left"):
+        source = page(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG[:60]}</p></div></article>")
+        assert html_text.Page(source).text(None) == LONG.strip(), name
+    # a name doesn't count on what holds nearly all text, a header and its heading stay in an article, menus go without a name
+    assert html_text.Page(page(f"<div class='sidebar right'><p>{LONG}</p></div>")).text(None) == LONG.strip()
+    assert html_text.Page(page(f"<header>Site</header><article><header><h1>T</h1></header><p>{LONG}</p></article>")).text(None) == f"T\n{LONG.strip()}"
+    links = "".join(f"<li><a href='/{i}'>Other text {i}</a></li>" for i in range(4))
+    assert html_text.Page(page(f"<article><p>{LONG} <a href='/'>a link</a></p><ul>{links}</ul><ul><li>one<li>two</ul></article>")).text(None) == f"{LONG}a link\none\ntwo"
+
+
+def test_html_hostile_pages_take_linear_time():
+    import time
+
+    n = 100_000
+    for source in ("<div>" * n + "x", "<div class='a'>" * n, "<a href=\"x>" * n, "</div>" * n, "<p></b>" * n, "<b>" * n + "</p>" * n, "<p><i>" * n + "</p>" * n, "<!--" * n, "<" * n, "<a b='" * n, "<script>" * n, "<p " * n, "<a" * n, "&" * n, "<ul><li><a href=x>y" * n):
+        began = time.process_time()
+        html_text.Page(source).text(None)
+        assert time.process_time() - began < 6, source[:20]
+
+
+def test_html_votes_against_brute_force(spark):
+    """Voting and reading again, page by page in Python."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(120):
+        kind = rng.randrange(3)
+        text = " ".join(rng.choice(["aa", "bb", "cc."]) for _ in range(rng.randrange(3, 60)))
+        side = " ".join(rng.choice(["dd", "ee"]) for _ in range(rng.randrange(1, 60)))
+        body = [f"<div class='story-{i}'><p>{text}</p></div><div class='box'><p>{side}</p></div>", f"<article><p>{text}</p></article><section><p>{side}</p></section>", f"<p>{text}</p>"][kind]
+        rows.append((i, f"http://h{rng.randrange(5)}.example/{i}", page(body)))
+    votes = {}
+    for _, url, source in rows:
+        p = html_text.Page(source)
+        best = max(range(len(p.paths)), key=lambda k: (p.scores[k] * (1.5 if p.paths[k] == path_of(p, "html", "body", "article") else 1), -k))
+        if p.paths[best]:
+            v = votes.setdefault(url.split("/")[2], {}).setdefault(p.paths[best], [0, 0])
+            v[0] += 1
+            v[1] += int(p.scores[best])
+    winners = {h: max(v, key=lambda k: (*v[k], k)) for h, v in votes.items()}
+    want = {i: html_text.Page(source).text(winners.get(url.split("/")[2])) for i, url, source in rows}
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()}
+    assert got == want
+    # where two paths have as many votes the one with more text wins
+    rows = [(0, "http://t.example/0", page(f"<div class='a'><p>{'x' * 30}</p></div><div class='b'><p>{'y' * 10}</p></div>")), (1, "http://t.example/1", page(f"<div class='a'><p>{'x' * 10}</p></div><div class='b'><p>{'y' * 40}</p></div>"))]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "y" * 10, 1: "y" * 40}
 
 
 def bitwise_crc(data):
@@ -144,6 +228,11 @@ def test_ogg_query(spark):
         same.setdefault(r["payload_sha256"], set()).add((r["media_sha256"], r["media_bytes"], r["feature"]))
     assert all(len(v) == 1 for v in same.values())
     assert ogg.digests(ogg.store(documents(spark, []))).count() == 0
+    good = ogg.mux(b"x" * ogg.UNIT * 130)
+    broken = spark.createDataFrame([(1, 5, bytearray(good)), (2, 5, bytearray(good[:-1] + b"?")), (3, 5, bytearray(b"OggS")), (4, 5, None)], "doc_id long, n_bytes long, media binary")
+    got = {r["doc_id"]: r for r in ogg.digests(broken).collect()}
+    assert [got[i]["error"] for i in (1, 2, 3, 4)] == [None, "checksum", "cut page header", "no payload"] and got[2]["payload_sha256"] is None and got[2]["media_bytes"] == len(good)
+    assert got[1]["page_seconds"] == [60 * ogg.UNIT / ogg.RATE, 120 * ogg.UNIT / ogg.RATE, 130 * ogg.UNIT / ogg.RATE]
 
 
 def test_language_sums_all_segmentations():
@@ -153,15 +242,49 @@ def test_language_sums_all_segmentations():
     def total(w, j):
         ways = [1.0] + [0.0] * len(w)
         for e in range(1, len(w) + 1):
-            for k in range(1, min(language.PIECE, e) + 1):
+            for k in range(1, e + 1):
                 i = place.get(w[e - k : e], len(place) if k == 1 else None)
                 ways[e] += ways[e - k] * m.table[i, j] if i is not None else 0
         return np.log(ways[-1])
 
-    some = ["▁the", "▁chose", "▁ß", "▁日本", "▁thingthe", "continued"]
+    some = ["▁the", "▁chose", "▁ß", "▁日本", "▁thingthe", "continued", "▁straßenbahnhaltestellenverzeichnis", "▁responsibilities", max(language.pieces(), key=len)]
     for w, s in zip(some, m.scores(some), strict=True):
         assert np.allclose(s, [total(w, 0), total(w, 1)])
     assert np.allclose(m.table.sum(axis=0), 1)
+    # a sum that is far below the smallest float
+    long = "▁" + "thingß" * 300
+    logs = m.scores([long, "▁the"])
+    assert np.isfinite(logs).all() and logs[0].max() < -2000 and np.allclose(logs[1], m.scores(["▁the"])[0])
+    assert np.allclose(m.scores(["▁" + "thingß" * 12])[0], [total("▁" + "thingß" * 12, 0), total("▁" + "thingß" * 12, 1)])
+
+
+def test_language_expected_counts_against_all_segmentations():
+    lattice = language.Lattice(("▁", "a", "ab", "b", "ba", "▁a"))
+    prob = np.array([0.1, 0.2, 0.25, 0.1, 0.15, 0.15, 0.05])[:, None]
+    words, weight = ["▁ababx", "▁aba", "b"], np.array([2.0, 3.0, 1.0])
+
+    def ways(w):
+        if not w:
+            return [[]]
+        found = [(i, p) for i, p in enumerate(("▁", "a", "ab", "b", "ba", "▁a")) if w.startswith(p)]
+        found += [(6, w[0])] if not any(len(p) == 1 for _, p in found) else []
+        return [[i, *rest] for i, p in found for rest in ways(w[len(p) :])]
+
+    want = np.zeros(7)
+    for w, k in zip(words, weight):
+        p = [np.prod(prob[x, 0]) for x in ways(w)]
+        for x, q in zip(ways(w), p):
+            np.add.at(want, x, k * q / sum(p))
+    assert np.allclose(language._expect(lattice, words, weight, prob), want)
+
+
+def test_language_sample_is_bounded_and_copies_count_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    seen = {}
+    monkeypatch.setattr(language, "fit", lambda counts, path: seen.update(counts))
+    rows = [(i, "same text again" if i % 2 else f"text number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100 % 6]}") for i in range(600)]
+    language.learn(documents(spark, rows))
+    assert sum(seen["en"].values()) <= 60 and seen["en"]["▁same"] <= 1 and len(seen["en"]) > 15
 
 
 def test_language_query(spark, data):

@@ -52,6 +52,23 @@ def test_direct_codes_query(spark, tmp_path, library):
     assert again == len(rows)
 
 
+def test_direct_codes_tokens_of_many_shards(spark, tmp_path, library):
+    rows = [r for r in corpus() if r[0] is not None]
+    path = str(tmp_path / "s")
+    direct_codes.write(documents(spark, rows).repartition(3), path, shard_tokens=700)
+    assert spark.read.parquet(path).count() > 10
+    all_ids = []
+    for _, t in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "")):
+        all_ids += [*library.encode(t or "", add_special_tokens=False).ids, 2]
+    assert [x for r in sorted(direct_codes.read(spark, path).collect(), key=lambda r: r["start"]) for x in r["ids"]] == all_ids
+    rng = random.Random(4)
+    asked = [0, len(all_ids) - 1, len(all_ids), -1, None, 5, 5, *(rng.randrange(len(all_ids)) for _ in range(200))]
+    got = direct_codes.tokens_at(spark, path, spark.createDataFrame([(p,) for p in asked], "position int")).collect()
+    assert sorted(map(tuple, got)) == sorted((p, all_ids[p]) for p in asked if p is not None and 0 <= p < len(all_ids))
+    direct_codes.write(documents(spark, []), str(tmp_path / "none"))
+    assert direct_codes.tokens_at(spark, str(tmp_path / "none"), spark.createDataFrame([(0,)], "position int")).count() == 0
+
+
 def test_direct_codes_empty(spark, tmp_path):
     assert direct_codes.digests(documents(spark, []), str(tmp_path / "e")).count() == 0
 
