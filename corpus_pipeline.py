@@ -1,6 +1,11 @@
 """The corpus pipeline: each stage takes what the one before kept, written as Parquet and read again.
 
 All stages but the last return documents with the columns they came with; text and n_chars follow what a stage cut out.
+
+Nulls: a null text, or one without a letter, has no language and goes in the first stage. Rows with a null doc_id pass through the others as
+they are. Rows that share a doc_id are versions of one document: the first stages handle each on its own, the near-copy
+stage keeps one of them (that of the least hash of its text), equal rows too. Null lang, source or other columns change nothing. An empty table gives no
+rows, and so does one without any labelled row, as no language can be learnt.
 """
 
 from __future__ import annotations
@@ -30,9 +35,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies."""
+    """The first document of each group of near copies, one row of it."""
     gone = common.materialise(near_dedup.groups(docs, NEAR_SHARE).where("NOT kept").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = common.keyed(left.select("doc_id", "text", F.struct(*docs.columns).alias("__row")))
+    again = F.coalesce(F.col("doc_id").isNotNull() & (F.col("rid") != 0), F.lit(False))
+    one = rows.where(again).groupBy("doc_id").agg(F.min_by("__row", "rid").alias("__row"))
+    return rows.where(~again).select("__row.*").unionByName(one.select("__row.*")).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
