@@ -57,5 +57,6 @@ def section_group_id(path: Column) -> Column:
 
 
 def retrieval_chunk_id(doc_hash: Column, sequence: Column, types: Column) -> Column:
-    """The id of a retrieval chunk: document hash, sequence number (six digits) and the sorted embedding types."""
-    return uuid5(RETRIEVAL_CHUNK, F.concat(F.lit("doc:"), doc_hash.cast("string"), F.lit("|seq:"), F.lpad(sequence.cast("string"), 6, "0"), F.lit("|types:"), F.array_join(F.array_sort(types), ",")))
+    """The id of a retrieval chunk: document hash, sequence number (six digits or more) and the sorted types of its items."""
+    number = F.when(sequence < 1_000_000, F.lpad(sequence.cast("string"), 6, "0")).otherwise(sequence.cast("string"))
+    return uuid5(RETRIEVAL_CHUNK, F.concat(F.lit("doc:"), doc_hash.cast("string"), F.lit("|seq:"), number, F.lit("|types:"), F.array_join(F.array_sort(types), ",")))

@@ -128,73 +128,111 @@ def describes(elements: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def caption_parents(elements: DataFrame, limit: float = PARENT_DISTANCE) -> DataFrame:
-    """doc_id, page_num, caption_id, parent_id, dist: the nearest visual element above each caption, at most limit away."""
+    """doc_id, page_num, caption_id, parent_id, dist: the nearest visual element above each caption, at most limit away.
+
+    Both sides are dealt into bands as high as the limit: what is that near above stands in the same band or the one before.
+    """
     y = (F.col("top") + F.col("bottom")) / 2
     cap = elements.where("element_type = 'caption'").select(*PAGE, F.col("element_id").alias("caption_id"), y.alias("cy"))
-    vis = elements.where(F.col("element_type").isin(*VISUAL)).select(*PAGE, F.col("element_id").alias("parent_id"), y.alias("vy"), "ordinal")
-    found = cap.join(vis, PAGE).where(F.col("vy") <= F.col("cy")).withColumn("dist", F.col("cy") - F.col("vy"))
+    cap = cap.withColumn("band", F.explode(F.array(F.floor(F.col("cy") / limit), F.floor(F.col("cy") / limit) - 1)))
+    vis = elements.where(F.col("element_type").isin(*VISUAL)).select(*PAGE, F.col("element_id").alias("parent_id"), y.alias("vy"), "ordinal", F.floor(y / limit).alias("band"))
+    found = cap.join(vis, [*PAGE, "band"]).where(F.col("vy") <= F.col("cy")).withColumn("dist", F.col("cy") - F.col("vy")).where(F.col("dist") <= limit)
     best = found.groupBy(*PAGE, "caption_id").agg(F.min_by(F.struct("parent_id", "dist"), F.struct("dist", "ordinal")).alias("m"))
-    return best.select(*PAGE, "caption_id", "m.parent_id", "m.dist").where(F.col("dist") <= limit)
+    return best.select(*PAGE, "caption_id", "m.parent_id", "m.dist")
 
 
 def caption_links(elements: DataFrame, limit: float = PARENT_DISTANCE) -> DataFrame:
-    """has_caption and describes edges between captions and the parents that they name or stand under."""
+    """has_caption and describes edges between captions and the parents that they name (parent_element_id) or stand under."""
     spatial = caption_parents(elements, limit).select("doc_id", "caption_id", "parent_id")
     cap = elements.where("element_type = 'caption'").select(*PAGE, F.col("element_id").alias("caption_id"), F.col("parent_element_id") if "parent_element_id" in elements.columns else F.lit(None).cast("string").alias("parent_element_id"))
     linked = cap.join(spatial, ["doc_id", "caption_id"], "left").withColumn("p", F.coalesce("parent_element_id", "parent_id")).where("p IS NOT NULL")
     return linked.select(*edge("has_caption", F.col("p"), F.col("caption_id"))).unionByName(linked.select(*edge("describes", F.col("caption_id"), F.col("p"))))
 
 
-def _mates(elements: DataFrame, kinds: tuple[str, ...], extra: list[str]) -> DataFrame:
-    """Pairs (a: an element of kinds, b: another of its page) with dist."""
-    a = elements.where(F.col("element_type").isin(*kinds)).select(*PAGE, F.struct("element_id", "left", "top", "right", "bottom", "reading_order", *extra).alias("a"))
-    b = elements.select(*PAGE, F.struct("element_id", "left", "top", "right", "bottom", "reading_order", "element_type", "content").alias("b"))
-    return a.join(b, PAGE).where("a.element_id <> b.element_id").withColumn("dist", distance("a", "b"))
+_BOX = ("element_id", "left", "top", "right", "bottom", "reading_order")
+#: What an element of a page can be to a visual one: the edge's type, whether it goes out from the visual one, the other's types, how near it has
+#: to be (and must mention, if it has to), or that a mention is enough, alone or so many places away.
+Rule = tuple[str, bool, Column, float, bool, str | None]
 
 
-def _directed(pairs: DataFrame, rules: list[tuple[str, Column, bool]], near: float) -> DataFrame:
-    """Edges of rules (type, condition, from a): distances only where they are near, or always for rules without a limit."""
-    out = None
-    for kind, condition, forward in rules:
-        s, t = (F.col("a.element_id"), F.col("b.element_id")) if forward else (F.col("b.element_id"), F.col("a.element_id"))
-        one = pairs.where(condition).select(*edge(kind, s, t, None, F.round(F.when(F.lit(kind) != "has_caption", F.col("dist")).otherwise(F.when(F.col("dist") <= near, F.col("dist"))), 6)))
+def _around(elements: DataFrame, kinds: tuple[str, ...], rules: list[Rule], mentions: Column, same: Column | None = None) -> DataFrame:
+    """Edges of the elements of kinds with their page by rules.
+
+    What has to be near comes from the grid. Mentions are looked for in texts first, so only elements that mention meet the visual ones
+    of their page, or, where places count, those that stand there.
+    """
+    kind, out = F.col("element_type"), None
+    a = elements.where(kind.isin(*kinds))
+    b = elements.withColumn("told", F.coalesce(mentions, F.lit(False)))
+    a, b = (x.select(*PAGE, *_BOX, *[c for c in more if c in x.columns]) for x, more in ((a, ["caption"]), (b, ["element_type", "content", "told"])))
+
+    def add(pairs: DataFrame, rule: Rule) -> None:
+        nonlocal out
+        name, outward = rule[:2]
+        s, t = (F.col("a.element_id"), F.col("b.element_id")) if outward else (F.col("b.element_id"), F.col("a.element_id"))
+        detail = F.round(F.col("dist") if name != "has_caption" else F.when(F.col("dist") <= CAPTION_DISTANCE, F.col("dist")), 6)
+        one = pairs.select(*edge(name, s, t, None, detail))
         out = one if out is None else out.unionByName(one)
+
+    for rule in rules:
+        _, _, who, near, told, alone = rule
+        other = b.where(who)
+        add(near_pairs(a, other.where("told") if told else other, near).where("a.element_id <> b.element_id"), rule)
+        if alone:
+            x = a.select(*PAGE, F.struct(*a.columns[2:]).alias("a"))
+            y = other.where("told").select(*PAGE, F.struct(*b.columns[2:]).alias("b"))
+            if alone == "places":
+                x = x.withColumn("at", F.col("a.reading_order"))
+                y = y.withColumn("at", F.explode(F.array(*[F.col("b.reading_order") + d for d in range(-ORDER_WINDOW, ORDER_WINDOW + 1)])))
+            pairs = x.join(y, [*PAGE, *(["at"] if alone == "places" else [])]).where("a.element_id <> b.element_id").withColumn("dist", distance("a", "b"))
+            add(pairs.where(F.col("dist") > near), rule)
+    if same is not None:
+        x = a.where("caption IS NOT NULL").withColumn("__t", text.strip(F.lower("caption"))).select(*PAGE, "__t", F.struct(*a.columns[2:]).alias("a"))
+        y = b.where((kind == "caption") & ~F.col("told")).withColumn("__t", text.strip(F.lower("content"))).select(*PAGE, "__t", F.struct(*b.columns[2:]).alias("b"))
+        pairs = x.join(y, [*PAGE, "__t"]).where("a.element_id <> b.element_id").withColumn("dist", distance("a", "b"))
+        add(pairs.where(F.col("dist") > CAPTION_DISTANCE), rules[0])
     return out
 
 
 def table_edges(elements: DataFrame) -> DataFrame:
     """Edges of tables with their page: captions near by or about tables, texts near by that mention one, footnotes near by."""
-    pairs, kind, words = _mates(elements, ("table",), []), F.col("b.element_type"), F.col("b.content")
-    return _directed(pairs, [
-        ("has_caption", (kind == "caption") & ((F.col("dist") <= CAPTION_DISTANCE) | text.mentions_table(words)), True),
-        ("describes", kind.isin("text_block", "list_block") & (F.col("dist") <= TEXT_DISTANCE) & text.mentions_table(words), False),
-        ("refers_to", (kind == "footnote") & (F.col("dist") <= CAPTION_DISTANCE), True),
-    ], CAPTION_DISTANCE)
+    kind = F.col("element_type")
+    return _around(elements, ("table",), [
+        ("has_caption", True, kind == "caption", CAPTION_DISTANCE, False, "page"),
+        ("describes", False, kind.isin("text_block", "list_block"), TEXT_DISTANCE, True, None),
+        ("refers_to", True, kind == "footnote", CAPTION_DISTANCE, False, None),
+    ], text.mentions_table(F.col("content")))
 
 
 def formula_edges(elements: DataFrame) -> DataFrame:
     """Edges of formulas with their page: texts that explain, captions that mention, footnotes near by."""
-    pairs, kind, words = _mates(elements, ("formula",), []), F.col("b.element_type"), F.col("b.content")
-    apart = F.abs(F.col("a.reading_order") - F.col("b.reading_order"))
-    return _directed(pairs, [
-        ("explains", (kind == "text_block") & ((F.col("dist") <= CAPTION_DISTANCE) | (apart <= ORDER_WINDOW) & text.mentions_formula(words)), False),
-        ("has_formula", (kind == "caption") & ((F.col("dist") <= CAPTION_DISTANCE) | text.mentions_formula(words)), False),
-        ("refers_to", (kind == "footnote") & (F.col("dist") <= CAPTION_DISTANCE), True),
-    ], CAPTION_DISTANCE)
+    kind = F.col("element_type")
+    return _around(elements, ("formula",), [
+        ("explains", False, kind == "text_block", CAPTION_DISTANCE, False, "places"),
+        ("has_formula", False, kind == "caption", CAPTION_DISTANCE, False, "page"),
+        ("refers_to", True, kind == "footnote", CAPTION_DISTANCE, False, None),
+    ], text.mentions_formula(F.col("content")))
 
 
 def visual_edges(elements: DataFrame) -> DataFrame:
-    """Edges of images, charts and graphs with their page: captions, texts about them, and other elements near by (each pair once)."""
-    own = ["caption"] if "caption" in elements.columns else []
-    pairs, kind, words = _mates(elements, ("image", "chart", "graph"), own), F.col("b.element_type"), F.col("b.content")
-    same = text.strip(F.lower(F.col("a.caption"))) == text.strip(F.lower(words)) if own else F.lit(False)
-    near = F.col("dist") <= CAPTION_DISTANCE
-    found = _directed(pairs, [
-        ("has_caption", (kind == "caption") & (near | text.mentions_visual(words) | F.coalesce(same, F.lit(False))), True),
-        ("describes", kind.isin("text_block", "list_block") & (F.col("dist") <= TEXT_DISTANCE) & text.mentions_visual(words), False),
-        ("nearby", ~kind.isin("caption", "text_block", "list_block") & near, True),
-    ], CAPTION_DISTANCE)
-    return found
+    """Edges of images, charts and graphs with their page: captions, texts about them, and other elements near by.
+
+    Two visual elements that are near each other have an edge each way, as each is told of its own neighbours; undirected() leaves one.
+    """
+    kind = F.col("element_type")
+    same = F.col("caption") if "caption" in elements.columns else None
+    return _around(elements, ("image", "chart", "graph"), [
+        ("has_caption", True, kind == "caption", CAPTION_DISTANCE, False, "page"),
+        ("describes", False, kind.isin("text_block", "list_block"), TEXT_DISTANCE, True, None),
+        ("nearby", True, ~kind.isin("caption", "text_block", "list_block"), CAPTION_DISTANCE, False, None),
+    ], text.mentions_visual(F.col("content")), same)
+
+
+def undirected(edges: DataFrame) -> DataFrame:
+    """One of the edges of a type between two elements, whichever way: that of the smaller source."""
+    ends = [F.least("source_id", "target_id"), F.greatest("source_id", "target_id")]
+    w = Window.partitionBy("doc_id", "relationship_type", *ends).orderBy("source_id", "weight")
+    return edges.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
 def deduplicated(edges: DataFrame, rank: str = "rank", *ties: str) -> DataFrame:

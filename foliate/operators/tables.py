@@ -70,11 +70,25 @@ def from_text(c: Column) -> Column:
 
 
 def from_json(c: Column) -> Column:
-    """{"rows": [{header: cell}, ...]} or a list of such rows; headers are the first row's keys."""
-    kind = "array<map<string,string>>"
-    rows = F.coalesce(F.from_json(F.get_json_object(c, "$.rows"), kind), F.from_json(F.get_json_object(c, "$.data"), kind), F.from_json(F.when(c.startswith("["), c), kind))
-    keys = F.map_keys(F.get(rows, F.lit(0)))
-    return F.when(F.size(rows) > 0, _table(F.transform(rows, lambda r: F.transform(keys, lambda k: F.coalesce(F.try_element_at(r, k), F.lit("")))), keys))
+    """A list of rows, itself or as "rows" or "data" of an object, or an object of columns.
+
+    Rows are objects, whose headers are the first one's keys, or lists, which have no headers. Columns are lists; shorter ones are filled with
+    empty cells. Without a list of something as the first column there is no table.
+    """
+    data = F.coalesce(F.get_json_object(c, "$.rows"), F.get_json_object(c, "$.data"), strip(c))
+    first = F.get(F.from_json(F.when(data.startswith("["), data), "array<string>"), F.lit(0))
+    objects = F.from_json(F.when(first.startswith("{"), data), "array<map<string,string>>")
+    keys = F.map_keys(F.get(objects, F.lit(0)))
+    filled = F.transform(objects, lambda r: F.transform(keys, lambda k: F.coalesce(F.try_element_at(r, k), F.lit(""))))
+    lists = F.transform(F.from_json(F.when(first.startswith("["), data), _ROWS), lambda r: F.transform(r, lambda x: F.coalesce(x, F.lit(""))))
+    columns = F.from_json(F.when(data.startswith("{"), data), "map<string,string>")
+    cells = F.transform(F.map_values(columns), lambda v: F.coalesce(F.from_json(F.when(v.startswith("["), v), "array<string>"), F.array().cast("array<string>")))
+    length = F.array_max(F.transform(cells, F.size))
+    across = F.transform(F.sequence(F.lit(0), F.greatest(length, F.lit(1)) - 1), lambda i: F.transform(cells, lambda x: F.coalesce(F.get(x, i), F.lit(""))))
+    return (
+        F.when(F.size(objects) > 0, _table(filled, keys)).when(F.size(lists) > 0, _table(lists, F.array()))
+        .when(F.size(F.get(cells, F.lit(0))) > 0, _table(across, F.map_keys(columns)))
+    )
 
 
 def to_markdown(t: Column) -> Column:

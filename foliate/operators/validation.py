@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Item types that converters are known to give.
@@ -64,3 +64,17 @@ def report(found: DataFrame) -> DataFrame:
         (F.count_if(failed & (F.col("severity") == "critical")) == 0).alias("is_valid"), F.count("*").alias("n_checks"),
         F.count_if(failed & F.col("severity").isin("error", "critical")).alias("n_errors"), F.count_if(failed & (F.col("severity") == "warning")).alias("n_warnings"),
     )
+
+
+#: Lines that details() shows of each document.
+SHOWN = 20
+
+
+def details(lines: DataFrame, shown: int = SHOWN) -> DataFrame:
+    """doc_id, failures, details: the first lines of lines(doc_id, line, place) in order of place, then how many more there are."""
+    w = Window.partitionBy("doc_id").orderBy("place")
+    ranked = lines.withColumn("k", F.row_number().over(w))
+    kept = F.array_sort(F.collect_list(F.when(F.col("k") <= shown, F.struct("k", "line"))))
+    one = ranked.groupBy("doc_id").agg(F.count("*").alias("failures"), kept.alias("x"))
+    more = F.when(F.col("failures") > shown, F.concat(F.lit("\n… and "), (F.col("failures") - shown).cast("string"), F.lit(" more"))).otherwise(F.lit(""))
+    return one.select("doc_id", "failures", F.concat(F.array_join(F.transform("x", lambda r: r["line"]), "\n"), more).alias("details"))

@@ -5,32 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 #: Elements: documents are suppliers, pages come from parts, types and texts from keys, boxes from quantities and rates.
+#: k and m are digits, r is k in Roman; some boxes lack a side or all, some documents have no text blocks, some texts are null or empty.
 ELEMENTS = """
-SELECT doc_id, page_num, ordinal, concat(doc_id, '-', lpad(CAST(ordinal AS STRING), 6, '0')) AS element_id,
+SELECT doc_id, page_num, ordinal,
+       concat(doc_id, '-', lpad(CAST(ordinal AS STRING), 6, '0')) AS element_id,
        CAST(row_number() OVER (PARTITION BY doc_id, page_num ORDER BY ordinal) - 1 AS INT) AS reading_order,
        element_type, section_path, x0, y0, x1, y1, k, m,
-       CASE WHEN element_type IN ('text_block', 'list_block') AND v = 0 THEN concat('See Table ', k, ' and Fig. ', m, ' for details.')
-            WHEN element_type IN ('text_block', 'list_block') AND v = 1 THEN concat('The following equation gives Eq. ', k, ' of the model.')
-            WHEN element_type IN ('text_block', 'list_block') THEN 'Plain words about parts.'
-            WHEN element_type = 'table' THEN concat('Table ', k, ': Values')
-            WHEN element_type IN ('image', 'chart', 'graph') THEN concat('Figure ', m, ' of sales')
-            WHEN element_type = 'formula' THEN concat('Equation ', k)
-            WHEN element_type = 'caption' AND v = 0 THEN concat('Table ', k, ': Overview.')
-            WHEN element_type = 'caption' AND v = 1 THEN concat('Fig. ', m, 'B: The image.')
-            WHEN element_type = 'caption' THEN 'Notes on the page'
-            WHEN element_type = 'section_header' AND v = 0 THEN concat(k, '.', m, ' Title')
-            WHEN element_type = 'section_header' AND v = 1 THEN concat('Section ', k, ': Results')
-            WHEN element_type = 'section_header' THEN 'Introduction'
-            ELSE 'Running text' END AS content
+       CASE
+         WHEN element_type IN ('text_block', 'list_block') THEN CASE v
+           WHEN 0 THEN concat('See Table ', k, ' and Fig. ', m, ' for details.')
+           WHEN 1 THEN concat('The following equation gives Eq. ', k, ' of the model.')
+           WHEN 2 THEN 'Plain words about parts.'
+           WHEN 3 THEN concat('As shown in Figure ', k, '.', m, ', tables help: see Table ', r, '.')
+           WHEN 4 THEN concat('Compare figure ', k, 'B, Figure ', k, 'B and Chart ', k, '-', m, ', not the charts.')
+           WHEN 5 THEN concat('We refer to  formula ', k, ' and in equation form to Eqn. ', k, '.', m, '.')
+           WHEN 7 THEN ''
+           WHEN 8 THEN concat(k, '.', m, ' Scope of the parts')
+           WHEN 9 THEN 'References'
+           WHEN 10 THEN '42'
+           WHEN 11 THEN concat('From table of prices: Exhibit A, appendix C-D; Listing ', k, '.', m, '.', k, ' and the image.') END
+         WHEN element_type = 'table' THEN CASE v
+           WHEN 0 THEN concat('Table ', k, '.', m, ' Overview') WHEN 1 THEN concat('TABLE ', r, '. Totals')
+           WHEN 2 THEN 'Prices without a number' WHEN 3 THEN NULL ELSE concat('Table ', k, ': Values') END
+         WHEN element_type IN ('image', 'chart', 'graph') THEN CASE v
+           WHEN 0 THEN concat('Fig. ', k, '.', m, ': Share') WHEN 1 THEN concat('Chart ', k, 'B of sales') WHEN 2 THEN 'Photo of parts'
+           WHEN 3 THEN NULL ELSE concat('Figure ', m, ' of sales') END
+         WHEN element_type = 'formula' THEN CASE v
+           WHEN 0 THEN concat('$$x_', k, ' = ', m, '$$') WHEN 1 THEN concat('Eq. ', k, '.', m) ELSE concat('Equation ', k) END
+         WHEN element_type = 'caption' THEN CASE
+           WHEN v < 4 THEN concat('Table ', k, ': Overview.') WHEN v < 7 THEN concat('Fig. ', m, 'B: The image.')
+           WHEN v = 7 THEN concat('Figure ', r, ' – shares') WHEN v = 8 THEN concat('Equation ', k, ' defines it') ELSE 'Notes on the page' END
+         WHEN element_type = 'section_header' THEN CASE
+           WHEN v < 4 THEN concat(k, '.', m, ' Title') WHEN v < 7 THEN concat('Section ', k, ': Results') WHEN v = 7 THEN concat('Chapter ', k, ' The parts')
+           WHEN v = 8 THEN 'Appendix B' WHEN v = 9 THEN concat('A.', k, ' More') ELSE 'Introduction' END
+         ELSE 'Running text' END AS content
 FROM (
-  SELECT CAST(l_suppkey AS STRING) AS doc_id, CAST(1 + l_partkey % 20 AS INT) AS page_num,
-         row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate) AS ordinal,
-         CASE (l_orderkey + l_linenumber) % 12 WHEN 0 THEN 'text_block' WHEN 1 THEN 'table' WHEN 2 THEN 'image' WHEN 3 THEN 'chart' WHEN 4 THEN 'graph' WHEN 5 THEN 'formula'
-              WHEN 6 THEN 'caption' WHEN 7 THEN 'footnote' WHEN 8 THEN 'header' WHEN 9 THEN 'footer' WHEN 10 THEN 'list_block' ELSE 'section_header' END AS element_type,
-         CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE concat('s', CAST(l_linenumber % 4 AS STRING)) END AS section_path,
-         l_quantity / 64.0 AS x0, l_discount * 8.0 AS y0, l_quantity / 64.0 + 0.05 + l_tax AS x1, l_discount * 8.0 + 0.02 + l_tax AS y1,
-         CAST(l_partkey % 9 + 1 AS STRING) AS k, CAST(l_suppkey % 5 + 1 AS STRING) AS m, (l_orderkey + l_partkey) % 3 AS v
-  FROM {lineitem}
+  SELECT doc_id, page_num, ordinal, section_path, x0, CASE WHEN gap = 1 THEN NULL ELSE y0 END AS y0, x1, CASE WHEN gap < 2 THEN NULL ELSE y1 END AS y1, k, m, r, v,
+         CASE WHEN silent AND element_type IN ('text_block', 'list_block') THEN 'footnote' ELSE element_type END AS element_type
+  FROM (
+    SELECT CAST(l_suppkey AS STRING) AS doc_id, CAST(1 + l_partkey % 20 AS INT) AS page_num,
+           row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate) AS ordinal,
+           CASE (l_orderkey + l_linenumber) % 12
+             WHEN 0 THEN 'text_block' WHEN 1 THEN 'table' WHEN 2 THEN 'image' WHEN 3 THEN 'chart' WHEN 4 THEN 'graph' WHEN 5 THEN 'formula' WHEN 6 THEN 'caption'
+             WHEN 7 THEN 'footnote' WHEN 8 THEN 'header' WHEN 9 THEN 'footer' WHEN 10 THEN 'list_block' ELSE 'section_header' END AS element_type,
+           CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE concat('s', CAST(l_linenumber % 4 AS STRING)) END AS section_path,
+           l_quantity / 64.0 AS x0, l_discount * 8.0 AS y0, l_quantity / 64.0 + 0.05 + l_tax AS x1, l_discount * 8.0 + 0.02 + l_tax AS y1,
+           CAST(l_partkey % 9 + 1 AS STRING) AS k, CAST(l_suppkey % 5 + 1 AS STRING) AS m,
+           split_part('I,II,III,IV,V,VI,VII,VIII,IX', ',', CAST(l_partkey % 9 + 1 AS INT)) AS r,
+           (7 * l_orderkey + l_partkey) % 12 AS v, (l_orderkey + l_partkey) % 31 AS gap, l_suppkey % 25 = 3 AS silent
+    FROM {lineitem}
+  ) AS keyed
 ) AS raw
 """
 
@@ -46,4 +70,4 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The same as the first part of a DuckDB query.
-WITH = "WITH el AS (" + ELEMENTS.replace("{lineitem}", "lineitem") + ")"
+WITH = "WITH RECURSIVE el AS MATERIALIZED (" + ELEMENTS.replace("{lineitem}", "lineitem") + ")"

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "foliate", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,3 +31,18 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(out)
     sc._foliate_sent = True
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Run df once and cut its lineage with a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+
+    For tables that a plan reads several times. Where the setting is missing, a folder of the machine will do only if everything
+    runs there (a local master).
+    """
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        found = sc.getConf().get("spark.checkpoint.dir", None) or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="foliate-checkpoints"))
+    return df.checkpoint()

@@ -30,6 +30,38 @@ def ingest(spark: SparkSession, paths: str | list[str], suffix: str = "pdf", kno
     return out.join(known.select("doc_id"), "doc_id", "left_anti") if known is not None else out
 
 
+def ingest_one(spark: SparkSession, path: str, suffix: str = "pdf") -> DataFrame:
+    """As ingest() of one file; another suffix is an error at once, a missing file one when it is read."""
+    if not path.lower().endswith("." + suffix.lower()):
+        raise ValueError(f"not a .{suffix} file: {path}")
+    return ingest(spark, path, suffix)
+
+
+def lookup(manifests: DataFrame, doc_id: str) -> DataFrame:
+    """The manifest row of a document: a filter that reaches the scan. Raises KeyError if there is none."""
+    found = manifests.where(F.col("doc_id") == doc_id)
+    if not found.limit(1).count():
+        raise KeyError(doc_id)
+    return found
+
+
+def describe_files(files: DataFrame, reader: Callable[[bytes], tuple[int, str | None]]) -> DataFrame:
+    """files(doc_id, title, content) with page_count and title as an injected reader finds them; 0 pages and the given title where it fails or finds none."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for d, title, content in zip(pdf["doc_id"], pdf["title"], pdf["content"], strict=True):
+                try:
+                    pages, told = reader(bytes(content))
+                except Exception:  # noqa: BLE001  a bad file is data here
+                    pages, told = 0, None
+                rows.append((d, told or title, pages))
+            yield pd.DataFrame(rows, columns=["doc_id", "title", "page_count"])
+
+    return files.select("doc_id", "title", "content").mapInPandas(run, "doc_id string, title string, page_count int")
+
+
 def raw_chunks(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Chunk files (one JSON object or array each, or JSON lines) under their fixed schema."""
     return spark.read.schema(RAW_CHUNK).option("multiLine", not lines).json(path)

@@ -32,3 +32,20 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     """Nodes and edges as Parquet, edges by type."""
     nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     edges.write.mode("overwrite").partitionBy("relationship_type").parquet(f"{path}/edges")
+
+
+def raw_outputs(converted: DataFrame) -> DataFrame:
+    """doc_id, kind, payload: a row per output that a conversion(doc_id, json, markdown, version) gave, for write_raw()."""
+    kinds = [k for k in ("json", "markdown", "version") if k in converted.columns]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("payload")) for k in kinds]))
+    return converted.select("doc_id", rows.alias("r")).select("doc_id", "r.*").where("payload IS NOT NULL")
+
+
+def write_raw(outputs: DataFrame, path: str) -> None:
+    """raw_outputs() or visual assets by kind; a document that is converted again replaces its kind's rows only if the whole kind is written again."""
+    outputs.write.mode("append").partitionBy("kind").parquet(path)
+
+
+def write_rows(df: DataFrame, path: str, kind: str = "parquet") -> None:
+    """JSON, JSON lines or Parquet, replaced as a whole: Spark moves finished files into place when all tasks are done."""
+    df.write.mode("overwrite").format({"jsonl": "json"}.get(kind, kind)).save(path)

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from foliate.operators import chunks, elements, graph, hierarchy, tables, validation, vectors
+from foliate.operators import chunks, elements, graph, hierarchy, normalise, projection, tables, validation, vectors
 from foliate.sources import readers, sinks
 from foliate.streaming import incremental
 
@@ -167,3 +167,215 @@ def test_stream(spark, data, tmp_path):
     q = incremental.run(stream, incremental.tumbling, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("n")).first()[0] == spark.read.parquet(str(source)).count()
+
+
+def test_boxes_that_lack_a_side_are_zero(spark):
+    items = spark.createDataFrame([("d", 1, None, 1.0, 2.0, 3.0), ("d", 1, None, None, None, None), ("d", 2, None, 0.1, 0.2, 0.3)], "doc_id string, page_num int, left double, top double, right double, bottom double")
+    pages = spark.createDataFrame([("d", 1, 10.0, 10.0)], "doc_id string, page_num int, width double, height double")
+    assert {tuple(r)[2:] for r in elements.normalise_boxes(items, pages).collect()} == {(0.0, 0.0, 0.0, 0.0)}
+
+
+def test_visual_chunks_of_documents_without_text(spark):
+    v = spark.createDataFrame([("a", "p", 0, "c"), ("b", "q", 0, None)], "document string, self_ref string, ordinal int, caption string").withColumns({"image_uri": F.lit(None).cast("array<string>"), "description": F.lit("d")})
+    n = spark.createDataFrame([("a", 5)], "document string, n int")
+    assert sorted((r["document"], r["sequence_number"]) for r in chunks.visual_chunks(v, n).collect()) == [("a", 6), ("a", 7), ("b", 1), ("b", 2)]
+
+
+def normalised(spark, *sources):
+    return normalise.normalise(spark.createDataFrame([(f"d{i}", s) for i, s in enumerate(sources)], "doc_id string, document string"))
+
+
+def test_normalise_reads_pages_in_both_forms_and_every_container(spark):
+    listed = """{"pages": [{"size": {"width": 100, "height": 200}, "texts": [{"label": "Title", "text": "T", "bbox": [10, 20, 30, 40]}, {"type": "TEXT", "orig": ["a", "", "b"], "order": 7}],
+      "tables": [{"kind": "table", "content": null, "rows": "3", "cols": 2, "headers": ["x", 1], "data": [[1]], "caption": "C", "prov": [{"bbox": {"l": 50, "t": 60, "r": 70, "b": 80}}],
+                  "children": [{"label": "list", "items": ["p", "q"], "ordered": "yes"}, {"$ref": "#/x"}]}]}, null, {"page_no": 9, "items": [{"text": "moved", "page": 3}, null]}], "figures": [{"label": "figure", "page": 1, "rect": [[1, 2, 3, 4]]}, {"label": "text"}]}"""
+    keyed = """{"pages": {"2": {"items": [{"label": "text", "text": "x"}]}, "z": {"items": [{"label": "text", "text": "lost"}]}}}"""
+    found, pages, _ = normalised(spark, listed, keyed, "no json", None)
+    rows = {(r["doc_id"], r["page_num"], r["reading_order"]): r for r in found.collect()}
+    assert {k: (r["element_type"], r["content"]) for k, r in rows.items()} == {
+        ("d0", 1, 0): ("text_block", "a b"), ("d0", 1, 1): ("list_block", ""), ("d0", 1, 2): ("image", ""), ("d0", 1, 3): ("section_header", "T"), ("d0", 1, 4): ("table", ""),
+        ("d0", 3, 0): ("text_block", "moved"), ("d1", 2, 0): ("text_block", "x"),
+    }
+    table, title = rows["d0", 1, 4], rows["d0", 1, 3]
+    assert (table["row_count"], table["col_count"], table["headers"], table["summary"], table["json_data"]) == (3, 2, ["x", "1"], "C", '{"rows":[[1]]}') and (table["left"], table["bottom"]) == (0.5, 0.4)
+    assert (title["left"], title["bottom"], title["level"]) == (0.1, 0.2, 1) and rows["d0", 1, 1]["items"] == ["p", "q"] and rows["d0", 1, 1]["ordered"] and (rows["d0", 1, 2]["left"], rows["d0", 1, 2]["bottom"]) == (0.01, 0.02)
+    assert sorted((r["doc_id"], r["page_num"], len(r["element_ids"])) for r in pages.collect()) == [("d0", 1, 5), ("d0", 2, 0), ("d0", 3, 1), ("d1", 0, 0), ("d1", 2, 1)]
+
+
+def test_normalise_links_captions(spark):
+    parent = "0123456789ABCDEF0123456789abcdef"
+    source = f"""{{"pages": [{{"texts": [{{"label": "caption", "text": " A cap", "bbox": [0, 0.5, 0.2, 0.5], "order": 1}}, {{"label": "caption", "text": "B cap", "bbox": [0, 0.6, 0.2, 0.6], "order": 2}},
+      {{"label": "text", "text": "A cap ", "parent_ref": "{{{parent}}}", "bbox": [0.9, 0.9, 0.9, 0.9]}}], "tables": [{{"label": "table", "bbox": [0, 0.4, 0.2, 0.4], "order": 0}}]}}]}}"""
+    found, _, links = normalised(spark, source)
+    ids = {r["content"]: r["element_id"] for r in found.collect()}
+    usual = "01234567-89ab-cdef-0123-456789abcdef"
+    got = {(r["source_id"], r["target_id"], r["relationship_type"]) for r in links.collect()}
+    assert {(usual, ids[" A cap"], "has_caption"), (ids[" A cap"], usual, "describes"), (ids[""], ids["B cap"], "has_caption"), (ids["B cap"], ids[""], "describes")} <= got
+    again = normalise.merged(links, links)
+    assert again.count() == links.count() and again.select("relationship_id").distinct().count() == links.count()
+
+
+def test_tables_of_lists_and_columns(spark):
+    cases = {'[["a", "b"], ["1", null]]': ([], [["a", "b"], ["1", ""]]), '{"data": [{"k": 1, "l": null}, {"l": 2}]}': (["k", "l"], [["1", ""], ["", "2"]]), '{"c": [1, 2], "d": ["x"], "e": "no"}': (["c", "d", "e"], [["1", "x", ""], ["2", "", ""]]), '{"c": []}': None, "{}": None, "x": None, None: None}
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", tables.from_json(F.col("c")).alias("t"))
+    assert [(r["t"]["headers"], r["t"]["rows"]) if r["t"] else None for r in df.orderBy("i").collect()] == list(cases.values())
+
+
+def test_chunk_metadata(spark):
+    source = """{"origin": {"filename": "f.pdf", "mimetype": "m", "binary_hash": 7}, "texts": [{"self_ref": "#/t/0", "text": "Figure 2: sea"}, {"self_ref": "#/t/1", "text": "plain"}],
+      "pictures": [{"self_ref": "#/p/0", "label": "picture", "image": {"uri": "u"}, "captions": [{"cref": "#/t/0"}], "children": [{"cref": "#/t/1"}], "prov": [{"page_no": 3}, {"page_no": 2}, {}]}, {"self_ref": "#/p/1", "label": "chart"}],
+      "tables": [{"self_ref": "#/b/0", "label": "table", "children": [{"$ref": "#/t/1"}]}, {"self_ref": "#/b/1", "label": "table", "captions": [{"cref": "#/none"}]}]}"""
+    docs = spark.createDataFrame([("x", source)], "document string, json string")
+
+    def chunker(json_text):
+        item = lambda ref, label, pages: {"self_ref": ref, "label": label, "pages": pages}
+        return [
+            {"sequence_number": 0, "chunk_text": "one two", "section_headings": ["H", "S"], "doc_items": [item("#/t/1", "text", [2, 1]), item("#/p/0", "picture", [2]), item("#/p/9", "picture", [])]},
+            {"sequence_number": 1, "chunk_text": "three", "section_headings": None, "doc_items": [item("#/b/0", "table", None), item("#/p/0", "picture", [3])]},
+        ]
+
+    def describer(uri, caption):
+        if uri != "u":
+            raise ValueError(uri)
+        return "told", ["k"]
+
+    made = projection.chunk(docs, chunker)
+    found = projection.chunk_metadata(docs.select("document", normalise.document(F.col("json")).alias("v")), made, describer)
+    rows = {r["sequence_number"]: r for r in found.collect()}
+    assert sorted(rows) == [0, 1, 3, 4, 5, 6, 7, 8]
+    a, b, p, told = rows[0], rows[1], rows[3], rows[4]
+    assert (a["chunk_types"], a["page_numbers"], a["section_path"], a["token_count"]) == (["text", "picture", "picture"], [1, 2], "H > S", 2)
+    assert (a["image_type"], a["image_uri"], a["caption_text"], a["caption_number"]) == (["picture"], ["u"], ["Figure 2: sea"], ["figure 2"]) and (b["image_type"], b["caption_text"]) == (["table", "picture"], ["plain", "Figure 2: sea"])
+    assert (p["embedding_type"], p["chunk_text"], p["section_headings"], p["page_numbers"]) == ("image", "Figure 2: sea", ["H", "S"], [2, 3]) and told["chunk_text"] == "Image Caption: Figure 2: sea\nImage Description: told\nKeywords: ['k']"
+    assert rows[6]["chunk_text"] == "" and rows[5]["caption_text"] == ["plain"] and rows[7]["caption_text"] == [""] and rows[7]["image_uri"] == ["None"]
+    counts = projection.populated(found, "image_uri", "section_headings").first()
+    assert (counts["image_uri_filled"], counts["section_headings_filled"], counts["image_uri_longest"]) == (8, 3, 2)
+
+
+def test_describer_failures_are_empty(spark):
+    v = spark.createDataFrame([("d", "a", "u", "c"), ("d", "b", None, "c")], "document string, self_ref string, image_uri string, caption string")
+
+    def fails(uri, caption):
+        raise ValueError
+
+    assert {r["description"] for r in projection.describe(v, fails, tasks=2).collect()} == {""}
+
+
+def test_similar_pairs_and_queries_equal_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(150, 8))
+    m[5] = m[7]
+    rows = [(int(i) * 3 % 457, [float(x) for x in v], int(i % 9)) for i, v in enumerate(m)]
+    v = spark.createDataFrame([*rows, (9999, None, 0)], "id long, embedding array<double>, g int")
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    score = np.round(unit @ unit.T, 12)
+    ids = [r[0] for r in rows]
+    want = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i in range(150) for j in range(i) if score[i, j] >= 0.6 and rows[i][2] != rows[j][2]}
+    for blocks in (1, 4):
+        got = [(r["a"], r["b"]) for r in vectors.similar_pairs(v, 0.6, "g", blocks).collect()]
+        assert set(got) == want and len(got) == len(want)
+        top = {(r["a"], r["rank"]): r["b"] for r in vectors.top_k(v, 3, 0.2, blocks=blocks).collect()}
+        best = {(ids[i], k + 1): ids[j] for i in range(150) for k, j in enumerate(sorted((j for j in range(150) if j != i and score[i, j] >= 0.2), key=lambda j: (-score[i, j], ids[j]))[:3])}
+        assert top == best
+    asked = v.where("id % 50 = 0")
+    exact = {(r["a"], r["b"]) for r in vectors.top_k(v, 5, -1.0, queries=asked).collect()}
+    assert exact == {(ids[i], ids[j]) for i in range(150) if ids[i] % 50 == 0 for j in sorted((j for j in range(150) if j != i), key=lambda j: (-score[i, j], ids[j]))[:5]}
+    whole = vectors.centres(v)
+    assert {(r["a"], r["b"]) for r in vectors.nearest(v, asked, 5, probes=len(whole), index=whole).collect()} == exact
+
+
+def test_coarse_index_recall(spark, data):
+    v = spark.read.parquet(f"{data}/embeddings.parquet").selectExpr("vec_id AS id", "embedding")
+    asked = v.where("id % 50 = 0")
+    exact = {(r["a"], r["b"]) for r in vectors.top_k(v, 10, -1.0, queries=asked).collect()}
+    got = {(r["a"], r["b"]) for r in vectors.nearest(v, asked, 10).collect()}
+    assert len(exact & got) / len(exact) >= 0.9
+
+
+def test_small_parts(spark, tmp_path):
+    e = make(spark, [{"type": "caption", "text": "c"}, {"type": "table", "text": "t"}]).withColumn("parent_element_id", F.when(F.col("element_type") == "caption", F.lit("e1")))
+    assert pairs(graph.captions(e)) == [("e1", "e0", "has_caption")]
+    assert pairs(graph.caption_links(e)) == [("e0", "e1", "describes"), ("e1", "e0", "has_caption")]
+    both = spark.createDataFrame([("d", 1, "b", "a", "nearby", 1.0, None), ("d", 1, "a", "b", "nearby", 1.0, None)], "doc_id string, page_num int, source_id string, target_id string, relationship_type string, weight double, detail string")
+    assert pairs(graph.undirected(both)) == [("a", "b", "nearby")]
+    twice = make(spark, [{"text": "old"}, {"text": "new"}]).withColumn("element_id", F.lit("e"))
+    assert elements.latest(twice).first()["content"] == "new"
+    got = [r[0] for r in spark.createDataFrame([("H", "b"), ("", "b"), (None, "b")], "h string, t string").select(chunks.contextualise(F.col("h"), F.col("t"))).collect()]
+    assert got == ["H\nb", "b", "b"]
+
+
+def test_sources_and_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([("a",), ("b",)], "doc_id string")
+    todo, skipped = sinks.extraction_state(docs, docs.where("doc_id = 'a'"))
+    assert [r["doc_id"] for r in todo.collect()] == ["b"] and [tuple(r) for r in skipped.collect()] == [("a", "skipped")]
+    c = spark.createDataFrame([("x", "c1", [1.0], "text", "t", 3)], "document string, chunk_id string, embedding array<double>, embedding_type string, chunk_text string, n int")
+    assert sinks.vector_documents(c).first()["metadata"].asDict() == {"document": "x", "n": 3}
+    sinks.write_chunks(c.drop("embedding"), str(tmp_path / "c"))
+    assert readers.json_rows(spark, str(tmp_path / "c")).first()["chunk_id"] == "c1"
+    edges = spark.createDataFrame([("a", "b", "nearby")], "source_id string, target_id string, relationship_type string")
+    sinks.write_graph(docs, edges, str(tmp_path / "g"))
+    assert spark.read.parquet(str(tmp_path / "g/edges")).first()["relationship_type"] == "nearby"
+    (tmp_path / "raw.json").write_text('[{"text": "t", "meta": {"headings": ["h"], "doc_items": [{"self_ref": "#/0", "prov": [{"page_no": 2, "bbox": {"l": 1}}]}], "origin": {"binary_hash": 12345678901234567890}}}]')
+    r = readers.raw_chunks(spark, str(tmp_path / "raw.json")).first()
+    assert r["meta"]["doc_items"][0]["prov"][0]["page_no"] == 2 and int(r["meta"]["origin"]["binary_hash"]) == 12345678901234567890
+    pages = spark.createDataFrame([("d", 1, [("x",)], [("y",)])], "doc_id string, page_num int, texts array<struct<text: string>>, tables array<struct<text: string>>")
+    assert sorted((r["container"], r["pos"], r["text"]) for r in readers.flatten(pages).collect()) == [(0, 0, "x"), (1, 0, "y")]
+
+
+def test_visual_metadata_and_assets(spark):
+    from foliate.operators import visuals
+
+    png = bytes.fromhex("89504e470d0a1a0a0000000d49484452") + (300).to_bytes(4, "big") + (200).to_bytes(4, "big") + bytes([8, 6, 0, 0, 0])
+    gif = b"GIF89a" + (10).to_bytes(2, "little") + (20).to_bytes(2, "little")
+    files = spark.createDataFrame([("p", png), ("g", gif), ("t", b"text")], "path string, content binary")
+    e = make(spark, [{"type": "image", "text": "a chart"}, {"type": "image"}, {"type": "chart"}, {"type": "image"}]).withColumns({"asset_path": F.element_at(F.array(*map(F.lit, "pgtn")), F.col("ordinal") + 1), "caption": F.lit(None).cast("string"), "visual_type": F.element_at(F.array(*map(F.lit, ("", "logo", "unclassified", ""))), F.col("ordinal") + 1)})
+    got = {r["element_id"]: (r["visual_type"], r["image_properties"] and tuple(r["image_properties"])) for r in visuals.metadata(e, files).collect()}
+    assert got == {"e0": ("chart", (300, 200, 1.5, "RGBA", 29)), "e1": ("logo", (10, 20, 0.5, "P", 10)), "e2": ("chart", (None, None, None, None, 4)), "e3": ("unclassified", None)}
+
+    def small(content, side):
+        if content == gif:
+            raise ValueError
+        return content[:side][:3]
+
+    images = spark.createDataFrame([("d", "a", png), ("d", "b", gif), ("d", "c", None)], "doc_id string, element_id string, content binary")
+    assert sorted((r["element_id"], r["kind"], bytes(r["content"])) for r in visuals.assets(images, small).collect()) == [("a", "image", png), ("a", "thumbnail", png[:3]), ("b", "image", gif)]
+    assert visuals.assets(images).count() == 2
+
+
+def test_lookup_files_and_raw_outputs(spark, tmp_path):
+    m = spark.createDataFrame([("a", "x")], "doc_id string, title string")
+    assert readers.lookup(m, "a").first()["title"] == "x"
+    with pytest.raises(KeyError):
+        readers.lookup(m, "b")
+    with pytest.raises(ValueError):
+        readers.ingest_one(spark, "a.txt")
+    files = spark.createDataFrame([("a", "x", b"3"), ("b", "y", b"?")], "doc_id string, title string, content binary")
+    assert {tuple(r) for r in readers.describe_files(files, lambda c: (int(c), "told")).collect()} == {("a", "told", 3), ("b", "y", 0)}
+    sinks.write_raw(sinks.raw_outputs(spark.createDataFrame([("a", "{}", None)], "doc_id string, json string, markdown string")), str(tmp_path / "r"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [("a", "{}", "json")]
+    sinks.write_rows(m, str(tmp_path / "j"), "jsonl")
+    assert readers.json_rows(spark, str(tmp_path / "j")).count() == 1
+
+
+def test_global_order_and_nth_item(spark):
+    got = {r["element_id"]: r["position"] for r in elements.global_order(make(spark, [{"page": 2, "order": 0}, {"page": 1, "order": 1}, {"page": 1, "order": 0}])).collect()}
+    assert got == {"e2": 0, "e1": 1, "e0": 2}
+    c = spark.createDataFrame([("d", 0, [("a", "text"), ("b", "table")]), ("d", 1, [("c", "Table")])], "document string, sequence_number int, doc_items array<struct<self_ref: string, label: string>>")
+    assert [r["sequence_number"] for r in projection.nth_with_label(c, "table", 1).collect()] == [1] and projection.nth_with_label(c, "table", 2).count() == 0
+
+
+def test_settings():
+    from foliate.settings import Settings
+
+    assert Settings.from_env({"FOLIATE_CHUNK_TOKENS": "50", "FOLIATE_TOP_K": " ", "FOLIATE_RAW_DIR": "x"}) == Settings(raw_dir="x", chunk_tokens=50)
+    for bad in ({"FOLIATE_CHUNK_TOKENS": "many"}, {"FOLIATE_CHUNK_TOKENS": "0"}, {"FOLIATE_CHUNK_OVERLAP": "300"}, {"FOLIATE_CHUNK_OVERLAP": "-1"}):
+        with pytest.raises(ValueError):
+            Settings.from_env(bad)
+
+
+def test_validation_details(spark):
+    lines = spark.createDataFrame([("a", f"l{i}", i) for i in range(23)] + [("b", "x", 0)], "doc_id string, line string, place int")
+    got = {r["doc_id"]: r["details"] for r in validation.details(lines).collect()}
+    assert got["b"] == "x" and got["a"] == "\n".join(f"l{i}" for i in range(20)) + "\n… and 3 more"
