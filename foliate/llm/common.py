@@ -261,12 +261,15 @@ def grouped(rows: DataFrame, key: list[str], hot: DataFrame | None, store: bool
     salt = []
     out = rows
     if hot is not None:
-        out = rows = stored(rows) if store else rows
-        mine = rows.join(F.broadcast(hot), key, "left_semi")
+        rows = stored(rows) if store else rows
+        marked = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left")
+        out = marked
         for by, wanted in levels:
-            whole = materialise(mine.groupBy(*by).agg(*[a.alias(f"__{c}") for c, a in wanted.items()], F.lit(True).alias("__hot")))
+            # all rows of other keys make one group, which has no key and meets nothing
+            mine = [F.when(F.col("__hot"), F.col(c)).alias(c) for c in by]
+            whole = materialise(marked.groupBy(*mine).agg(*[a.alias(f"__{c}") for c, a in wanted.items()]))
             few = whole.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-            out = out.drop("__hot").join(F.broadcast(whole) if few else whole, by, "left")
+            out = out.join(F.broadcast(whole) if few else whole, by, "left")
         salt = ["__salt"]
         out = out.withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*KEY), F.lit(SALTS))).otherwise(F.lit(0)))
     for by, wanted in levels:
