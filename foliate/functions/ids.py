@@ -20,7 +20,10 @@ def uuid5(namespace: str, name: Column) -> Column:
     """The version 5 UUID of a name (UTF-8) in a namespace, as a 36-character string; null for a null name."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
     variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3),
+        F.lit("-"), F.substring(h, 21, 12),
+    )
 
 
 def _name(*parts: Column) -> Column:

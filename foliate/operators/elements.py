@@ -58,7 +58,9 @@ def elements(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Elements of items(doc_id, page_num, ordinal, item_order, label, content, box): items off page are left out."""
     ordered = normalise_boxes(reading_order(items.where("page_num >= 1")), pages)
     kind = element_type(F.col("label"))
-    return ordered.withColumn("element_type", kind).withColumn("element_id", ids.element_id(F.col("doc_id"), F.col("page_num"), F.col("reading_order"), F.col("element_type")))
+    return ordered.withColumn("element_type", kind).withColumn(
+        "element_id", ids.element_id(F.col("doc_id"), F.col("page_num"), F.col("reading_order"), F.col("element_type")),
+    )
 
 
 def latest(elements: DataFrame, ordinal: str = "ordinal") -> DataFrame:
@@ -69,7 +71,9 @@ def latest(elements: DataFrame, ordinal: str = "ordinal") -> DataFrame:
 
 def page_elements(elements: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id, page_num, element_ids in reading order, of all pages with dimensions or elements."""
-    own = elements.groupBy("doc_id", "page_num").agg(F.transform(F.array_sort(F.collect_list(F.struct("reading_order", "element_id"))), lambda x: x["element_id"]).alias("element_ids"))
+    own = elements.groupBy("doc_id", "page_num").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("reading_order", "element_id"))), lambda x: x["element_id"]).alias("element_ids")
+    )
     both = pages.select("doc_id", "page_num").distinct().join(own, ["doc_id", "page_num"], "full_outer")
     return both.select("doc_id", "page_num", F.coalesce("element_ids", F.array().cast("array<string>")).alias("element_ids"))
 

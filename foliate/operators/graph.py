@@ -56,15 +56,26 @@ def with_ids(edges: DataFrame) -> DataFrame:
 
 def belongs_to(edges: DataFrame) -> DataFrame:
     """The inverse of contains edges."""
-    return edges.where("relationship_type = 'contains'").select(F.col("doc_id"), F.col("page_num"), F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"), F.lit("belongs_to").alias("relationship_type"), "weight", "detail")
+    return edges.where("relationship_type = 'contains'").select(
+        F.col("doc_id"), F.col("page_num"), F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"),
+        F.lit("belongs_to").alias("relationship_type"), "weight", "detail",
+    )
 
 
 def sequential(elements: DataFrame) -> DataFrame:
     """follows (from the later element) and precedes edges between neighbours in a page's reading order."""
     w = Window.partitionBy(*PAGE).orderBy("reading_order", "top", "left", "element_id")
     pairs = elements.withColumn("next", F.lead("element_id").over(w)).where("next IS NOT NULL")
-    both = F.explode(F.array(F.struct(F.col("next").alias("s"), F.col("element_id").alias("t"), F.lit("follows").alias("k")), F.struct(F.col("element_id").alias("s"), F.col("next").alias("t"), F.lit("precedes").alias("k"))))
-    return pairs.select(*PAGE, both.alias("e")).select(*PAGE, F.col("e.s").alias("source_id"), F.col("e.t").alias("target_id"), F.col("e.k").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"))
+    both = F.explode(
+        F.array(
+            F.struct(F.col("next").alias("s"), F.col("element_id").alias("t"), F.lit("follows").alias("k")),
+            F.struct(F.col("element_id").alias("s"), F.col("next").alias("t"), F.lit("precedes").alias("k")),
+        )
+    )
+    return pairs.select(*PAGE, both.alias("e")).select(
+        *PAGE, F.col("e.s").alias("source_id"), F.col("e.t").alias("target_id"), F.col("e.k").alias("relationship_type"), F.lit(1.0).alias("weight"),
+        F.lit(None).cast("string").alias("detail"),
+    )
 
 
 def captions(elements: DataFrame) -> DataFrame:
@@ -75,18 +86,25 @@ def captions(elements: DataFrame) -> DataFrame:
 def nearby(elements: DataFrame, limit: float = NEARBY) -> DataFrame:
     """nearby edges between elements of a page at most limit apart, from the smaller id; weight 1 - distance."""
     pairs = near_pairs(elements, elements, limit).where("a.element_id < b.element_id")
-    return pairs.select(*edge("nearby", F.col("a.element_id"), F.col("b.element_id"), F.round(F.greatest(F.lit(0.0), 1 - F.col("dist")), 6), F.round("dist", 6).cast("string")))
+    return pairs.select(
+        *edge("nearby", F.col("a.element_id"), F.col("b.element_id"), F.round(F.greatest(F.lit(0.0), 1 - F.col("dist")), 6), F.round("dist", 6).cast("string"))
+    )
 
 
 def proximity(elements: DataFrame, limit: float = NEARBY, ordinal: str = "ordinal") -> DataFrame:
     """The same pairs from the element that came first."""
     pairs = near_pairs(elements, elements, limit).where(f"a.{ordinal} < b.{ordinal}")
-    return pairs.select(*edge("nearby", F.col("a.element_id"), F.col("b.element_id"), F.round(F.greatest(F.lit(0.0), 1 - F.col("dist")), 6), F.round("dist", 6).cast("string")))
+    return pairs.select(
+        *edge("nearby", F.col("a.element_id"), F.col("b.element_id"), F.round(F.greatest(F.lit(0.0), 1 - F.col("dist")), 6), F.round("dist", 6).cast("string"))
+    )
 
 
 def same_section(elements: DataFrame) -> DataFrame:
     """One same_section_as edge per section of two elements or more, on the group's id; detail counts its members."""
-    groups = elements.where("section_path <> ''").groupBy("doc_id", "section_path").agg(F.count("*").alias("n"), F.min("page_num").alias("page_num"), F.transform(F.array_sort(F.collect_list(F.struct("page_num", "reading_order", "element_id"))), lambda x: x["element_id"]).alias("member_ids")).where("n >= 2")
+    groups = elements.where("section_path <> ''").groupBy("doc_id", "section_path").agg(
+        F.count("*").alias("n"), F.min("page_num").alias("page_num"),
+        F.transform(F.array_sort(F.collect_list(F.struct("page_num", "reading_order", "element_id"))), lambda x: x["element_id"]).alias("member_ids"),
+    ).where("n >= 2")
     group = ids.section_group_id(F.col("section_path"))
     return groups.select(*edge("same_section_as", group, group, None, F.col("n")), "section_path", "member_ids")
 
@@ -94,15 +112,24 @@ def same_section(elements: DataFrame) -> DataFrame:
 def labels(elements: DataFrame) -> DataFrame:
     """(doc_id, label, element_id) of visual elements: references in their texts and in the captions that name them as parent."""
     have = [c for c in ("content", "summary", "markdown", "caption", "text_approximation", "latex") if c in elements.columns]
-    uses = {"table": ("summary", "content", "markdown"), "image": ("caption", "content"), "chart": ("caption", "content"), "graph": ("caption", "content"), "formula": ("content", "text_approximation", "latex")}
+    uses = {
+        "table": ("summary", "content", "markdown"), "image": ("caption", "content"), "chart": ("caption", "content"),
+        "graph": ("caption", "content"), "formula": ("content", "text_approximation", "latex"),
+    }
     visual = elements.where(F.col("element_type").isin(*VISUAL))
     texts = F.array(*[F.when(F.col("element_type").isin(*[k for k, v in uses.items() if c in v]), F.col(c)) for c in have])
     own = visual.select("doc_id", "element_id", F.explode(texts).alias("t"))
     if "parent_element_id" in elements.columns:
-        told = elements.where("element_type = 'caption' AND parent_element_id IS NOT NULL").select("doc_id", F.col("parent_element_id").alias("element_id"), F.col("content").alias("t"))
+        told = elements.where("element_type = 'caption' AND parent_element_id IS NOT NULL").select(
+            "doc_id", F.col("parent_element_id").alias("element_id"), F.col("content").alias("t"),
+        )
         own = own.unionByName(told.join(visual.select("doc_id", "element_id"), ["doc_id", "element_id"], "left_semi"))
-    found = own.where("t IS NOT NULL").select("doc_id", "element_id", F.explode(text.element_labels(F.col("t"))).alias("l")).select("doc_id", "element_id", F.col("l.label").alias("label"))
-    prefix = F.when(F.col("element_type").isin("image", "chart", "graph"), F.lit("figure")).when(F.col("element_type") == "formula", F.lit("equation")).otherwise(F.col("element_type"))
+    found = own.where("t IS NOT NULL").select(
+        "doc_id", "element_id", F.explode(text.element_labels(F.col("t"))).alias("l"),
+    ).select("doc_id", "element_id", F.col("l.label").alias("label"))
+    prefix = F.when(
+        F.col("element_type").isin("image", "chart", "graph"), F.lit("figure"),
+    ).when(F.col("element_type") == "formula", F.lit("equation")).otherwise(F.col("element_type"))
     number = text.first_label_number(F.col("content"))
     direct = visual.where(number.isNotNull()).select("doc_id", "element_id", F.concat(prefix, F.lit(":"), number).alias("label"))
     return found.unionByName(direct).distinct()
@@ -114,7 +141,9 @@ def references(elements: DataFrame) -> DataFrame:
     hits = source.select(*PAGE, F.col("element_id").alias("s"), F.posexplode(text.element_labels(F.col("content"))).alias("at", "l")).select(*PAGE, "s", "at", "l.*")
     joined = hits.join(labels(elements).withColumnRenamed("element_id", "t"), ["doc_id", "label"]).where("s <> t")
     first = joined.groupBy("doc_id", "s", "t").agg(F.min_by(F.struct("page_num", "name", "text"), "at").alias("m"))
-    return first.select("doc_id", "m.page_num", "s", "t", F.col("m.name").alias("name"), F.col("m.text").alias("matched")).select(*edge("refers_to", F.col("s"), F.col("t"), None, F.concat_ws(":", "name", "matched")))
+    return first.select(
+        "doc_id", "m.page_num", "s", "t", F.col("m.name").alias("name"), F.col("m.text").alias("matched"),
+    ).select(*edge("refers_to", F.col("s"), F.col("t"), None, F.concat_ws(":", "name", "matched")))
 
 
 def describes(elements: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -135,7 +164,9 @@ def caption_parents(elements: DataFrame, limit: float = PARENT_DISTANCE) -> Data
     y = (F.col("top") + F.col("bottom")) / 2
     cap = elements.where("element_type = 'caption'").select(*PAGE, F.col("element_id").alias("caption_id"), y.alias("cy"))
     cap = cap.withColumn("band", F.explode(F.array(F.floor(F.col("cy") / limit), F.floor(F.col("cy") / limit) - 1)))
-    vis = elements.where(F.col("element_type").isin(*VISUAL)).select(*PAGE, F.col("element_id").alias("parent_id"), y.alias("vy"), "ordinal", F.floor(y / limit).alias("band"))
+    vis = elements.where(F.col("element_type").isin(*VISUAL)).select(
+        *PAGE, F.col("element_id").alias("parent_id"), y.alias("vy"), "ordinal", F.floor(y / limit).alias("band"),
+    )
     found = cap.join(vis, [*PAGE, "band"]).where(F.col("vy") <= F.col("cy")).withColumn("dist", F.col("cy") - F.col("vy")).where(F.col("dist") <= limit)
     best = found.groupBy(*PAGE, "caption_id").agg(F.min_by(F.struct("parent_id", "dist"), F.struct("dist", "ordinal")).alias("m"))
     return best.select(*PAGE, "caption_id", "m.parent_id", "m.dist")
@@ -144,7 +175,10 @@ def caption_parents(elements: DataFrame, limit: float = PARENT_DISTANCE) -> Data
 def caption_links(elements: DataFrame, limit: float = PARENT_DISTANCE) -> DataFrame:
     """has_caption and describes edges between captions and the parents that they name (parent_element_id) or stand under."""
     spatial = caption_parents(elements, limit).select("doc_id", "caption_id", "parent_id")
-    cap = elements.where("element_type = 'caption'").select(*PAGE, F.col("element_id").alias("caption_id"), F.col("parent_element_id") if "parent_element_id" in elements.columns else F.lit(None).cast("string").alias("parent_element_id"))
+    cap = elements.where("element_type = 'caption'").select(
+        *PAGE, F.col("element_id").alias("caption_id"),
+        F.col("parent_element_id") if "parent_element_id" in elements.columns else F.lit(None).cast("string").alias("parent_element_id"),
+    )
     linked = cap.join(spatial, ["doc_id", "caption_id"], "left").withColumn("p", F.coalesce("parent_element_id", "parent_id")).where("p IS NOT NULL")
     return linked.select(*edge("has_caption", F.col("p"), F.col("caption_id"))).unionByName(linked.select(*edge("describes", F.col("caption_id"), F.col("p"))))
 
@@ -240,7 +274,9 @@ def deduplicated(edges: DataFrame, rank: str = "rank", *ties: str) -> DataFrame:
     themselves go, but those of a section group."""
     turned = (F.col("relationship_type") == "nearby") & (F.col("source_id") > F.col("target_id"))
     keyed = edges.where((F.col("source_id") != F.col("target_id")) | (F.col("relationship_type") == "same_section_as"))
-    keyed = keyed.withColumns({"__a": F.when(turned, F.col("target_id")).otherwise(F.col("source_id")), "__b": F.when(turned, F.col("source_id")).otherwise(F.col("target_id"))})
+    keyed = keyed.withColumns(
+        {"__a": F.when(turned, F.col("target_id")).otherwise(F.col("source_id")), "__b": F.when(turned, F.col("source_id")).otherwise(F.col("target_id"))}
+    )
     w = Window.partitionBy("doc_id", "__a", "__b", "relationship_type").orderBy(rank, *(ties or ("source_id",)))
     return keyed.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__a", "__b", "__n")
 

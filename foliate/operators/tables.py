@@ -39,7 +39,10 @@ def _table(rows: Column, headers: Column) -> Column:
 
 def _guess(rows: Column) -> Column:
     """The first row as headers if it looks like it and others follow."""
-    return F.when((F.size(rows) > 1) & looks_like_header(F.get(rows, F.lit(0))), _table(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), F.get(rows, F.lit(0)))).when(F.size(rows) > 0, _table(rows, F.array()))
+    return F.when(
+        (F.size(rows) > 1) & looks_like_header(F.get(rows, F.lit(0))),
+        _table(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), F.get(rows, F.lit(0))),
+    ).when(F.size(rows) > 0, _table(rows, F.array()))
 
 
 def from_markdown(c: Column) -> Column:
@@ -57,7 +60,10 @@ def from_markdown(c: Column) -> Column:
 def from_html(c: Column) -> Column:
     """Rows of td and th cells, tags inside cells left out, white space squeezed; headers are guessed."""
     parts = F.regexp_extract_all(c, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr|<tr\b|</table|\z)"), 1)
-    rows = F.transform(parts, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1), lambda x: _squeeze(F.regexp_replace(x, "<[^>]*>", ""))))
+    rows = F.transform(
+        parts,
+        lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1), lambda x: _squeeze(F.regexp_replace(x, "<[^>]*>", ""))),
+    )
     return _guess(F.filter(rows, lambda r: F.size(r) > 0))
 
 
@@ -106,14 +112,20 @@ def to_html(t: Column) -> Column:
     has, n = F.size(t["headers"]) > 0, F.size(t["rows"])
     head = F.when(has, F.array(F.lit("  <thead>"), row(t["headers"], "th"), F.lit("  </thead>"))).otherwise(F.array().cast("array<string>"))
     rows = F.when(has | (n <= 1), t["rows"]).otherwise(F.slice(t["rows"], 2, F.greatest(n - 1, F.lit(0))))
-    parts = F.concat(F.array(F.lit("<table>")), head, F.array(F.lit("  <tbody>")), F.transform(rows, lambda r: row(r, "td")), F.array(F.lit("  </tbody>"), F.lit("</table>")))
+    parts = F.concat(
+        F.array(F.lit("<table>")), head, F.array(F.lit("  <tbody>")), F.transform(rows, lambda r: row(r, "td")),
+        F.array(F.lit("  </tbody>"), F.lit("</table>")),
+    )
     return F.when(has | (n > 0), F.array_join(parts, "\n")).otherwise(F.lit(""))
 
 
 def summary(existing: Column, headers: Column, rows: Column, columns: Column) -> Column:
     """What a table holds, after a summary that it has already; at most five headers."""
     names = F.concat(F.array_join(F.slice(headers, 1, 5), ", "), F.when(F.size(headers) > 5, F.lit(", ...")).otherwise(F.lit("")))
-    text = F.concat(F.lit("Table with "), rows.cast("string"), F.lit(" row(s) and "), columns.cast("string"), F.lit(" column(s)"), F.when(F.size(headers) > 0, F.concat(F.lit(", headers: ["), names, F.lit("]"))).otherwise(F.lit("")))
+    text = F.concat(
+        F.lit("Table with "), rows.cast("string"), F.lit(" row(s) and "), columns.cast("string"), F.lit(" column(s)"),
+        F.when(F.size(headers) > 0, F.concat(F.lit(", headers: ["), names, F.lit("]"))).otherwise(F.lit("")),
+    )
     own = strip(F.coalesce(existing, F.lit("")))
     return F.when((own != "") & ~own.startswith("Table showing"), F.concat(own, F.lit(". "), text)).otherwise(text)
 
@@ -122,7 +134,9 @@ def enrich(tables: DataFrame) -> DataFrame:
     """tables(json_data, html, markdown, content, summary, headers) with rows, headers, counts and renderings from the best source
     there is, in this order. A table without headers takes its first row if that looks like headers, else Column 1 and so on."""
     have = lambda c, f: f(F.col(c)) if c in tables.columns else F.lit(None)
-    found = F.coalesce(*[have(c, f) for c, f in (("json_data", from_json), ("html", from_html), ("markdown", from_markdown), ("content", from_text)) if c in tables.columns])
+    found = F.coalesce(
+        *[have(c, f) for c, f in (("json_data", from_json), ("html", from_html), ("markdown", from_markdown), ("content", from_text)) if c in tables.columns]
+    )
     out = tables.withColumn("__t", found)
     old = F.col("headers") if "headers" in tables.columns else F.array().cast("array<string>")
     headers = F.when(F.size(F.col("__t.headers")) > 0, F.col("__t.headers")).otherwise(old)
@@ -131,10 +145,17 @@ def enrich(tables: DataFrame) -> DataFrame:
     guess = take & looks_like_header(F.get(rows, F.lit(0)))
     width = F.coalesce(F.array_max(F.transform(rows, F.size)), F.lit(0))
     numbered = F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), lambda i: F.concat(F.lit("Column "), i.cast("string")))
-    out = out.withColumns({"headers": F.when(guess, F.get(rows, F.lit(0))).when(take, numbered).otherwise(F.coalesce(headers, F.array().cast("array<string>"))), "rows": F.when(guess, F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)})
+    out = out.withColumns(
+        {
+            "headers": F.when(guess, F.get(rows, F.lit(0))).when(take, numbered).otherwise(F.coalesce(headers, F.array().cast("array<string>"))),
+            "rows": F.when(guess, F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows),
+        }
+    )
     out = out.withColumns({"row_count": F.size("rows"), "col_count": F.size("headers"), "__r": F.struct("headers", "rows")})
     text = F.col("summary") if "summary" in tables.columns else F.lit("")
-    return out.withColumns({"markdown": to_markdown(F.col("__r")), "html": to_html(F.col("__r")), "summary": summary(text, F.col("headers"), F.col("row_count"), F.col("col_count"))}).drop("__t", "__r")
+    return out.withColumns(
+        {"markdown": to_markdown(F.col("__r")), "html": to_html(F.col("__r")), "summary": summary(text, F.col("headers"), F.col("row_count"), F.col("col_count"))}
+    ).drop("__t", "__r")
 
 
 def header_signature(headers: Column) -> Column:

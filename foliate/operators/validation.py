@@ -6,8 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Item types that converters are known to give.
-KNOWN_TYPES = ("text", "table", "figure", "formula", "caption", "heading", "list", "checkbox", "picture", "chart", "graph", "header", "footer", "footnote", "page_number", "diagram", "shape", "line", "group")
-SEVERITY = {"page_count": "critical", "not_empty": "critical", "all_bboxes_valid": "critical", "page_number_valid": "warning", "item_types": "warning", "individual_bboxes": "warning", "reading_order": "warning", "tables": "warning", "captions": "warning"}
+KNOWN_TYPES = (
+    "text", "table", "figure", "formula", "caption", "heading", "list", "checkbox", "picture", "chart", "graph", "header", "footer", "footnote",
+    "page_number", "diagram", "shape", "line", "group",
+)
+SEVERITY = {
+    "page_count": "critical", "not_empty": "critical", "all_bboxes_valid": "critical", "page_number_valid": "warning", "item_types": "warning",
+    "individual_bboxes": "warning", "reading_order": "warning", "tables": "warning", "captions": "warning",
+}
 
 
 def box_valid(width: Column, height: Column) -> Column:
@@ -22,8 +28,13 @@ def box_valid(width: Column, height: Column) -> Column:
 
 def order_gaps(items: DataFrame) -> DataFrame:
     """doc_id, page_num, gaps, duplicates: missing and repeated order numbers of each page."""
-    own = items.where("item_order IS NOT NULL").groupBy("doc_id", "page_num").agg(F.count("item_order").alias("n"), F.countDistinct("item_order").alias("d"), F.min("item_order").alias("lo"), F.max("item_order").alias("hi"))
-    return own.select("doc_id", "page_num", (F.col("hi") - F.col("lo") + 1 - F.col("d")).cast("long").alias("gaps"), (F.col("n") - F.col("d")).cast("long").alias("duplicates"))
+    own = items.where("item_order IS NOT NULL").groupBy("doc_id", "page_num").agg(
+        F.count("item_order").alias("n"), F.countDistinct("item_order").alias("d"), F.min("item_order").alias("lo"), F.max("item_order").alias("hi"),
+    )
+    return own.select(
+        "doc_id", "page_num", (F.col("hi") - F.col("lo") + 1 - F.col("d")).cast("long").alias("gaps"),
+        (F.col("n") - F.col("d")).cast("long").alias("duplicates"),
+    )
 
 
 def checks(documents: DataFrame, items: DataFrame, pages: DataFrame) -> DataFrame:
@@ -40,10 +51,14 @@ def checks(documents: DataFrame, items: DataFrame, pages: DataFrame) -> DataFram
     shown = F.col("type").isin("figure", "table", "chart", "graph", "picture")
     per = placed.groupBy("doc_id").agg(
         F.count("*").alias("n"), F.count_if(boxed).alias("boxes"), F.count_if(boxed & ~valid).alias("bad_boxes"),
-        F.count_if(~F.col("type").isin(*KNOWN_TYPES)).alias("unknown"), F.count_if(table & ((F.coalesce("row_count", F.lit(0)) == 0) | (F.coalesce("col_count", F.lit(0)) == 0))).alias("bad_tables"),
+        F.count_if(~F.col("type").isin(*KNOWN_TYPES)).alias("unknown"), F.count_if(
+            table & ((F.coalesce("row_count", F.lit(0)) == 0) | (F.coalesce("col_count", F.lit(0)) == 0))
+        ).alias("bad_tables"),
         F.count_if(shown & (F.coalesce(F.trim("caption"), F.lit("")) == "")).alias("bare"), F.min("page_num").alias("lo"), F.max("page_num").alias("hi"),
     )
-    outside = items.join(documents.select("doc_id", "page_count"), "doc_id").groupBy("doc_id").agg(F.count_if((F.col("page_num") < 1) | (F.col("page_count") > 0) & (F.col("page_num") > F.col("page_count"))).alias("outside"))
+    outside = items.join(
+        documents.select("doc_id", "page_count"), "doc_id",
+    ).groupBy("doc_id").agg(F.count_if((F.col("page_num") < 1) | (F.col("page_count") > 0) & (F.col("page_num") > F.col("page_count"))).alias("outside"))
     order = order_gaps(items).groupBy("doc_id").agg(F.count_if((F.col("gaps") > 0) | (F.col("duplicates") > 0)).alias("bad_order"))
     counted = pages.groupBy("doc_id").agg(F.count("*").alias("pages"))
     one = documents.join(per, "doc_id", "left").join(outside, "doc_id", "left").join(order, "doc_id", "left").join(counted, "doc_id", "left").na.fill(0)
@@ -53,7 +68,9 @@ def checks(documents: DataFrame, items: DataFrame, pages: DataFrame) -> DataFram
         "all_bboxes_valid": F.when((F.col("boxes") > 0) & (F.col("bad_boxes") == F.col("boxes")), 1).otherwise(0),
         "page_number_valid": F.col("outside"), "item_types": F.col("unknown"), "individual_bboxes": F.col("bad_boxes"), "reading_order": F.col("bad_order"), "tables": F.col("bad_tables"), "captions": F.col("bare"),
     }
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("check_name"), F.lit(SEVERITY[k]).alias("severity"), v.cast("long").alias("failures")) for k, v in failures.items()]))
+    rows = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("check_name"), F.lit(SEVERITY[k]).alias("severity"), v.cast("long").alias("failures")) for k, v in failures.items()])
+    )
     return one.select("doc_id", rows.alias("c")).select("doc_id", "c.*").withColumn("passed", F.col("failures") == 0)
 
 

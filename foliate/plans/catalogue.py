@@ -148,14 +148,20 @@ def caption_refs(spark, d):
 #: ix(document, label, chunk_id): the last visual of each label.
 _INDEX = f"""ix AS (
   SELECT document, label, max_by(chunk_id, ordinal) AS chunk_id
-  FROM (SELECT doc_id AS document, element_id AS chunk_id, ordinal, {sql.caption_label('content')} AS label FROM el WHERE element_type IN ('table', 'image', 'chart', 'graph')) AS c
+ 
+    FROM (SELECT doc_id AS document, element_id AS chunk_id, ordinal, {sql.caption_label('content')} AS label FROM el WHERE element_type IN ('table', 'image', 'chart', 'graph')) AS c
   WHERE label IS NOT NULL GROUP BY 1, 2)"""
 
 
 def _index(e: DataFrame) -> DataFrame:
-    refs = e.select(F.col("doc_id").alias("document"), F.col("element_id").alias("chunk_id"), F.col("element_id").alias("self_ref"), F.col("ordinal").alias("sequence_number"))
+    refs = e.select(
+        F.col("doc_id").alias("document"), F.col("element_id").alias("chunk_id"), F.col("element_id").alias("self_ref"),
+        F.col("ordinal").alias("sequence_number"),
+    )
     shown = e.where("element_type IN ('table', 'image', 'chart', 'graph')")
-    return chunks.caption_index(refs, shown.select(F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal", F.col("content").alias("caption")))
+    return chunks.caption_index(
+        refs, shown.select(F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal", F.col("content").alias("caption")),
+    )
 
 
 @query(f"{WITH}, {_INDEX} SELECT document, label, chunk_id FROM ix")
@@ -192,7 +198,8 @@ def section_numbering(spark, d):
 
 @query(f"""
 {WITH}, b AS (
-  SELECT *, ordinal % 3 = 0 AS told, coalesce(x0 + y0 + x1 + y1, 0) = 0 AS bare, (x0 + x1) / 2 AS centre, CASE WHEN greatest(x0, y0, x1, y1) <= 1 THEN 0.3 ELSE 200.0 END AS width FROM el)
+  SELECT *, ordinal % 3 = 0 AS told, coalesce(x0 + y0 + x1 + y1, 0) = 0 AS bare, (x0 + x1) / 2 AS centre, CASE
+    WHEN greatest(x0, y0, x1, y1) <= 1 THEN 0.3 ELSE 200.0 END AS width FROM el)
 SELECT element_id, CAST(row_number() OVER (PARTITION BY doc_id, page_num ORDER BY CASE WHEN told THEN 0 ELSE 1 END, CASE WHEN told THEN ordinal END NULLS LAST,
     CASE WHEN told THEN NULL WHEN bare THEN 0 ELSE CAST(trunc(centre / width) AS INT) END, CASE WHEN told THEN NULL WHEN bare THEN 0.0 ELSE y0 END,
     CASE WHEN told THEN NULL WHEN bare THEN 0.0 ELSE centre END, ordinal) - 1 AS BIGINT) AS reading_order FROM b
@@ -294,7 +301,8 @@ def table_edges(spark, d):
 
 @query(f"""
 {WITH}, q AS (
-  SELECT a.element_id AS a, b.element_id AS b, b.element_type AS kind, abs(a.reading_order - b.reading_order) AS apart, {DIST} AS dist, {sql.MENTIONS_FORMULA} AS told {_MATES}
+  SELECT a.element_id AS a, b.element_id AS b, b.element_type AS kind, abs(a.reading_order - b.reading_order) AS apart, {DIST} AS dist,
+    {sql.MENTIONS_FORMULA} AS told {_MATES}
   WHERE a.element_type = 'formula' AND b.element_type IN ('caption', 'text_block', 'footnote'))
 SELECT b AS source_id, a AS target_id, 'explains' AS relationship_type FROM q WHERE kind = 'text_block' AND dist IS NOT NULL AND (dist <= 0.15 OR apart <= 3 AND told)
 UNION ALL SELECT b, a, 'has_formula' FROM q WHERE kind = 'caption' AND dist IS NOT NULL AND (dist <= 0.15 OR told)
@@ -306,9 +314,11 @@ def formula_edges(spark, d):
 
 @query(f"""
 {WITH}, q AS (
-  SELECT a.element_id AS a, b.element_id AS b, b.element_type AS kind, {DIST} AS dist, {sql.MENTIONS_VISUAL} AS told, {sql.strip('lower(b.content)')} = 'notes on the page' AND a.ordinal % 7 = 0 AS same {_MATES}
+  SELECT a.element_id AS a, b.element_id AS b, b.element_type AS kind, {DIST} AS dist, {sql.MENTIONS_VISUAL} AS told,
+    {sql.strip('lower(b.content)')} = 'notes on the page' AND a.ordinal % 7 = 0 AS same {_MATES}
   WHERE a.element_type IN ('image', 'chart', 'graph'))
-SELECT a AS source_id, b AS target_id, 'has_caption' AS relationship_type FROM q WHERE kind = 'caption' AND dist IS NOT NULL AND (dist <= 0.15 OR told OR coalesce(same, false))
+SELECT a AS source_id, b AS target_id, 'has_caption' AS relationship_type FROM q
+  WHERE kind = 'caption' AND dist IS NOT NULL AND (dist <= 0.15 OR told OR coalesce(same, false))
 UNION ALL SELECT b, a, 'describes' FROM q WHERE kind IN {TEXT} AND dist <= 0.2 AND told
 UNION ALL SELECT a, b, 'nearby' FROM q WHERE kind NOT IN ('caption', 'text_block', 'list_block') AND dist <= 0.15
 """)
@@ -349,7 +359,10 @@ def rel_refers_to(spark, d):
 
 def _contained(e: DataFrame) -> DataFrame:
     section = F.concat_ws("/", "doc_id", "section_path")
-    return e.where("section_path <> ''").select("doc_id", "page_num", section.alias("source_id"), F.col("element_id").alias("target_id"), F.lit("contains").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"))
+    return e.where("section_path <> ''").select(
+        "doc_id", "page_num", section.alias("source_id"), F.col("element_id").alias("target_id"), F.lit("contains").alias("relationship_type"),
+        F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"),
+    )
 
 
 @query(f"{WITH} SELECT element_id AS source_id, concat(doc_id, '/', section_path) AS target_id, 'belongs_to' AS relationship_type FROM el WHERE section_path <> ''")
@@ -362,8 +375,13 @@ def rel_dedup(spark, d):
     """Neighbours twice, turned round, and of each element with itself."""
     e = materialised(elements(spark, d))
     pairs = graph.nearby(e)
-    turned = graph.proximity(e).select("doc_id", "page_num", F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"), "relationship_type", "weight", "detail")
-    own = e.select("doc_id", "page_num", F.col("element_id").alias("source_id"), F.col("element_id").alias("target_id"), F.lit("nearby").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"))
+    turned = graph.proximity(e).select(
+        "doc_id", "page_num", F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"), "relationship_type", "weight", "detail",
+    )
+    own = e.select(
+        "doc_id", "page_num", F.col("element_id").alias("source_id"), F.col("element_id").alias("target_id"),
+        F.lit("nearby").alias("relationship_type"), F.lit(1.0).alias("weight"), F.lit(None).cast("string").alias("detail"),
+    )
     out = pairs.withColumn("rank", F.lit(0))
     for rank, p in ((1, turned), (2, pairs), (0, own)):
         out = out.unionByName(p.withColumn("rank", F.lit(rank)))
@@ -372,7 +390,8 @@ def rel_dedup(spark, d):
 
 @query(f"""
 {WITH} SELECT least(a.element_id, b.element_id) AS a, greatest(a.element_id, b.element_id) AS b, count(*) AS told
-FROM {sql.near(0.15, "a.element_id <> b.element_id", "element_type IN ('image', 'chart', 'graph')", "element_type NOT IN ('caption', 'text_block', 'list_block')")} AS p GROUP BY 1, 2
+FROM {sql.near(0.15, "a.element_id <> b.element_id", "element_type IN ('image', 'chart', 'graph')", "element_type NOT IN ('caption', 'text_block', 'list_block')")} AS p
+  GROUP BY 1, 2
 """)
 def rel_undirected(spark, d):
     """Neighbours of visual elements, each pair once, and how often it was found."""
@@ -388,7 +407,8 @@ _ALL = f"""{_NEXT}, {sql.LABELS}, {_DESCRIBES}, e AS (
   UNION ALL SELECT t, s, 'follows', 1.0 FROM n WHERE t IS NOT NULL
   UNION ALL SELECT a.element_id, b.element_id, 'nearby', round(1 - dist, 6) FROM {sql.near(0.08, 'a.element_id < b.element_id')} AS p
   UNION ALL SELECT id, id, 'same_section_as', 1.0 FROM (
-    SELECT doc_id, {sql.uuid(ids.DNS, "'docling-project-samesection:' || section_path")} AS id FROM el WHERE section_path <> '' GROUP BY doc_id, section_path HAVING count(*) >= 2) AS g
+    SELECT doc_id, {sql.uuid(ids.DNS, "'docling-project-samesection:' || section_path")} AS id FROM el WHERE section_path <> '' GROUP BY doc_id,
+      section_path HAVING count(*) >= 2) AS g
   UNION ALL SELECT DISTINCT s, t, 'refers_to', 1.0 FROM src JOIN lab USING (doc_id, label) WHERE s <> t
   UNION ALL SELECT s, t, 'describes', 1.0 FROM d)"""
 
@@ -402,7 +422,8 @@ def rel_summary(spark, d):
 {WITH}, {_ALL},
 c AS (SELECT concat(doc_id, '/', section_path) AS s, element_id AS t FROM el WHERE section_path <> ''),
 x AS (SELECT * FROM e UNION ALL SELECT s, t, 'contains', 1.0 FROM c UNION ALL SELECT t, s, 'belongs_to', 1.0 FROM c)
-SELECT source_id, target_id, relationship_type, weight, {sql.uuid(ids.RELATIONSHIP, "source_id || ':' || target_id || ':' || relationship_type")} AS relationship_id FROM x
+SELECT source_id, target_id, relationship_type, weight,
+  {sql.uuid(ids.RELATIONSHIP, "source_id || ':' || target_id || ':' || relationship_type")} AS relationship_id FROM x
 """)
 def rel_all(spark, d):
     e = materialised(elements(spark, d))
@@ -443,7 +464,8 @@ def section_paths(spark, d):
 {WITH}, {_IDED},
 i AS (SELECT section_id, element_id, row_number() OVER (PARTITION BY doc_id, section_id ORDER BY page_num, reading_order, y0, x0, element_id) AS n FROM placed
       WHERE section_id IS NOT NULL AND element_type NOT IN {_OUTSIDE}),
-c AS (SELECT parent_id AS s, section_id AS t FROM ided WHERE parent_id IS NOT NULL UNION SELECT section_id, element_id FROM i WHERE n > 1 UNION SELECT doc_id, section_id FROM ided WHERE parent IS NULL)
+c AS (SELECT parent_id AS s, section_id AS t FROM ided WHERE parent_id IS NOT NULL UNION SELECT section_id, element_id FROM i
+  WHERE n > 1 UNION SELECT doc_id, section_id FROM ided WHERE parent IS NULL)
 SELECT s AS source_id, t AS target_id, 'contains' AS relationship_type FROM c
 """)
 def rel_contains(spark, d):
@@ -459,7 +481,8 @@ def _normalised(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Data
 
 @query(f"""
 {WITH}, {converted.NORMALISED}
-SELECT doc_id, page_num, CAST(reading_order AS BIGINT) AS reading_order, element_id, element_type, content, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1 FROM nor
+SELECT doc_id, page_num, CAST(reading_order AS BIGINT) AS reading_order, element_id, element_type, content, round(x0, 6) AS x0, round(y0, 6) AS y0,
+  round(x1, 6) AS x1, round(y1, 6) AS y1 FROM nor
 """)
 def normalise_document(spark, d):
     found = _normalised(spark, d)[0]
@@ -469,7 +492,8 @@ def normalise_document(spark, d):
 
 @query(f"""
 {WITH}, {converted.NORMALISED}, all_pages AS (SELECT doc_id, unnest(range(1, 21)) AS page_num FROM (SELECT DISTINCT doc_id FROM el) AS ds)
-SELECT doc_id, CAST(page_num AS INT) AS page_num, coalesce(string_agg(element_id, ',' ORDER BY reading_order), '') AS element_ids FROM all_pages LEFT JOIN nor USING (doc_id, page_num) GROUP BY 1, 2
+SELECT doc_id, CAST(page_num AS INT) AS page_num, coalesce(string_agg(element_id, ',' ORDER BY reading_order), '') AS element_ids FROM all_pages LEFT
+  JOIN nor USING (doc_id, page_num) GROUP BY 1, 2
 """)
 def normalise_pages(spark, d):
     return _normalised(spark, d)[1].select("doc_id", "page_num", F.array_join("element_ids", ",").alias("element_ids"))
@@ -477,7 +501,8 @@ def normalise_pages(spark, d):
 
 @query(f"""
 {WITH}, {converted.NORMALISED}, {converted.LINKS}
-SELECT source_id, target_id, relationship_type, weight, {sql.uuid(ids.RELATIONSHIP, "source_id || ':' || target_id || ':' || relationship_type")} AS relationship_id FROM link
+SELECT source_id, target_id, relationship_type, weight,
+  {sql.uuid(ids.RELATIONSHIP, "source_id || ':' || target_id || ':' || relationship_type")} AS relationship_id FROM link
 """)
 def normalise_links(spark, d):
     links = _normalised(spark, d)[2]
@@ -490,8 +515,11 @@ def _describer(uri: str, caption: str) -> tuple[str, list[str]]:
 
 @query(f"""
 {WITH}, {converted.METADATA}
-SELECT CAST(seq AS INT) AS sequence_number, embedding_type, chunk_text, array_to_string(types, '|') AS chunk_types, refs AS element_self_refs, section_path, page_numbers, image_type, image_uri, caption_text, caption_number,
-  CAST(coalesce(token_count, -1) AS INT) AS token_count, {sql.uuid(ids.RETRIEVAL_CHUNK, "'doc:' || doc_id || '|seq:' || lpad(CAST(seq AS VARCHAR), 6, '0') || '|types:' || array_to_string(list_sort(types), ',')")} AS chunk_id FROM meta
+SELECT CAST(seq AS INT) AS sequence_number, embedding_type, chunk_text, array_to_string(types, '|') AS chunk_types, refs AS element_self_refs,
+  section_path, page_numbers, image_type, image_uri, caption_text, caption_number,
+  CAST(coalesce(token_count, -1) AS INT) AS token_count,
+    {sql.uuid(ids.RETRIEVAL_CHUNK, "'doc:' || doc_id || '|seq:' || lpad(CAST(seq AS VARCHAR), 6, '0') || '|types:' || array_to_string(list_sort(types), ',')")} AS chunk_id
+    FROM meta
 """)
 def chunk_metadata(spark, d):
     docs, made = converted.chunked(spark, d)
@@ -514,7 +542,9 @@ g AS (SELECT *, count(*) OVER w AS n, min(page_num) OVER w AS lo FROM r WINDOW w
 @query(f"""
 {WITH}, {_RUNS}
 SELECT element_id, n >= 2 AS is_spanning,
-  CASE WHEN n >= 2 THEN {sql.uuid(ids.SPAN, "doc_id || ':' || section_path || ':' || lo || ':3:' || substr(md5(concat('name|h', v3)), 1, 12)")} END AS span_group_id FROM g
+  CASE
+    WHEN n >= 2 THEN {sql.uuid(ids.SPAN, "doc_id || ':' || section_path || ':' || lo || ':3:' || substr(md5(concat('name|h', v3)), 1, 12)")} END AS span_group_id
+    FROM g
 """)
 def spanning_tables(spark, d):
     headers = F.array(F.lit(" Name "), F.concat(F.lit("H"), (F.col("ordinal") % 2).cast("string")), F.lit(""))
@@ -532,7 +562,8 @@ def header_signature(spark, d):
 WITH p AS (
   SELECT p_partkey, p_partkey % 5 AS form, p_brand AS a, CAST(p_size AS VARCHAR) AS b, CAST(p_partkey AS VARCHAR) AS c, p_partkey % 7 = 0 AS wide,
     CASE WHEN p_partkey % 4 = 0 THEN 'A note' ELSE '' END AS told FROM part),
-q AS (SELECT *, CASE WHEN wide THEN ['Name', 'Size', 'Third'] ELSE ['Name', 'Size'] END AS h, CASE WHEN wide THEN [[a, b, 'y'], ['x', c, 'z']] ELSE [[a, b], ['x', c]] END AS r FROM p)
+q AS (SELECT *, CASE WHEN wide THEN ['Name', 'Size', 'Third'] ELSE ['Name', 'Size'] END AS h, CASE WHEN wide THEN [[a, b, 'y'], ['x', c, 'z']]
+  ELSE [[a, b], ['x', c]] END AS r FROM p)
 SELECT p_partkey, CAST(2 AS INT) AS row_count, CAST(len(h) AS INT) AS col_count,
   CASE WHEN told <> '' THEN told || '. ' ELSE '' END || 'Table with 2 row(s) and ' || len(h) || ' column(s), headers: [' || array_to_string(h, ', ') || ']' AS summary,
   concat_ws(chr(10), '| ' || array_to_string(h, ' | ') || ' |', '| ' || array_to_string(list_transform(h, lambda x: '---'), ' | ') || ' |', array_to_string(list_transform(r, lambda x: '| ' || array_to_string(x, ' | ') || ' |'), chr(10))) AS markdown,
@@ -545,18 +576,28 @@ def table_enrich(spark, d):
     form, wide = F.col("p_partkey") % 5, F.col("p_partkey") % 7 == 0
     a, b, c = F.col("p_brand"), F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
     third = lambda there, x: F.when(wide, F.lit(there)).otherwise(F.lit(x))
-    md = F.concat(F.lit("before\n| Name | Size |"), third(" Third |", ""), F.lit("\n|---|:--|"), third("--|", ""), F.lit("\n|"), a, F.lit("|  "), b, F.lit(" |"), third("y|", ""), F.lit("\n| x | "), c, F.lit(" |"), third(" z |", ""), F.lit("\nafter"))
+    md = F.concat(
+        F.lit("before\n| Name | Size |"), third(" Third |", ""), F.lit("\n|---|:--|"), third("--|", ""), F.lit("\n|"), a, F.lit("|  "), b,
+        F.lit(" |"), third("y|", ""), F.lit("\n| x | "), c, F.lit(" |"), third(" z |", ""), F.lit("\nafter"),
+    )
     html = F.concat(
-        F.lit("<table class='t'><thead><tr><th>Name</th><th>Size</th>"), third("<th>Third</th>", ""), F.lit("</tr></thead><tr><td>"), a, F.lit("</td><td> "), b, F.lit("\n</td>"), third("<td>y</td>", ""),
+        F.lit(
+            "<table class='t'><thead><tr><th>Name</th><th>Size</th>"
+        ), third("<th>Third</th>", ""), F.lit("</tr></thead><tr><td>"), a, F.lit("</td><td> "), b, F.lit("\n</td>"), third("<td>y</td>", ""),
         F.lit("</tr><tr><td><b>x</b></td><td>"), c, F.lit("</td>"), third("<td>z</td>", ""), F.lit("</tr></table>"),
     )
     tab = F.concat(F.lit("Name\tSize"), third("\tThird", ""), F.lit("\n"), a, F.lit("\t"), b, third("\ty", ""), F.lit("\nx\t"), c, third("\tz", ""))
     cells = lambda x, y, z: F.when(wide, F.array(x, y, z)).otherwise(F.array(x, y))
     one = lambda x, y, z: F.to_json(F.map_from_arrays(cells(F.lit("Name"), F.lit("Size"), F.lit("Third")), cells(x, y, z)))
     rows = F.concat(F.lit('{"rows":['), one(a, b, F.lit("y")), F.lit(","), one(F.lit("x"), c, F.lit("z")), F.lit("]}"))
-    columns = F.to_json(F.map_from_arrays(cells(F.lit("Name"), F.lit("Size"), F.lit("Third")), cells(F.array(a, F.lit("x")), F.array(b, c), F.array(F.lit("y"), F.lit("z")))))
+    columns = F.to_json(
+        F.map_from_arrays(cells(F.lit("Name"), F.lit("Size"), F.lit("Third")), cells(F.array(a, F.lit("x")), F.array(b, c), F.array(F.lit("y"), F.lit("z"))))
+    )
     told = F.when(F.col("p_partkey") % 4 == 0, F.lit("A note")).otherwise(F.lit(""))
-    source = p.select("p_partkey", F.when(form == 0, md).alias("markdown"), F.when(form == 1, html).alias("html"), F.when(form == 2, tab).alias("content"), F.when(form == 3, rows).when(form == 4, columns).alias("json_data"), told.alias("summary"))
+    source = p.select(
+        "p_partkey", F.when(form == 0, md).alias("markdown"), F.when(form == 1, html).alias("html"), F.when(form == 2, tab).alias("content"),
+        F.when(form == 3, rows).when(form == 4, columns).alias("json_data"), told.alias("summary"),
+    )
     return tables.enrich(source).select("p_partkey", "row_count", "col_count", "summary", "markdown", "html")
 
 
@@ -565,7 +606,8 @@ _FORMULA = """CASE p_partkey % 6 WHEN 0 THEN concat('$$x_{', p_size, '}$$') WHEN
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_partkey % 6 IN (0, 2, 4, 5) THEN 'display' WHEN p_partkey % 6 = 1 THEN 'inline' WHEN p_size / 50.0 > 0.4 THEN 'display' WHEN p_size / 50.0 < 0.15 THEN 'inline' END AS formula_type FROM part
+SELECT p_partkey, CASE WHEN p_partkey % 6 IN (0, 2, 4, 5) THEN 'display' WHEN p_partkey % 6 = 1 THEN 'inline' WHEN p_size / 50.0 > 0.4 THEN 'display'
+  WHEN p_size / 50.0 < 0.15 THEN 'inline' END AS formula_type FROM part
 """)
 def formula_type(spark, d):
     p = read(spark, d, "part").withColumn("f", F.expr(_FORMULA.replace("\\", "\\\\")))
@@ -583,20 +625,26 @@ def formula_variables(spark, d):
 
 
 @query(f"""
-SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'x_{{' || p_size || '}}' WHEN 1 THEN 'y + ' || p_size WHEN 2 THEN 'z \\begin{{align}}z\\end{{align}}' WHEN 3 THEN 'w' WHEN 4 THEN 'u' || chr(10) || 'v' ELSE CAST(p_size AS VARCHAR) END AS latex,
-  CASE WHEN p_partkey % 6 = 3 THEN CASE WHEN p_size / 50.0 > 0.4 THEN 'display' WHEN p_size / 50.0 < 0.15 THEN 'inline' ELSE 'display' END WHEN p_partkey % 6 = 1 THEN 'inline' ELSE 'display' END AS formula_type,
-  CASE p_partkey % 6 WHEN 0 THEN 'x ' || p_size WHEN 1 THEN 'y + ' || p_size WHEN 2 THEN 'z' WHEN 3 THEN 'w' WHEN 4 THEN 'u v' ELSE CAST(p_size AS VARCHAR) END AS text_approximation,
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'x_{{' || p_size || '}}' WHEN 1 THEN 'y + ' || p_size WHEN 2 THEN 'z \\begin{{align}}z\\end{{align}}'
+  WHEN 3 THEN 'w' WHEN 4 THEN 'u' || chr(10) || 'v' ELSE CAST(p_size AS VARCHAR) END AS latex,
+  CASE WHEN p_partkey % 6 = 3 THEN CASE WHEN p_size / 50.0 > 0.4 THEN 'display' WHEN p_size / 50.0 < 0.15 THEN 'inline' ELSE 'display' END
+    WHEN p_partkey % 6 = 1 THEN 'inline' ELSE 'display' END AS formula_type,
+  CASE p_partkey % 6 WHEN 0 THEN 'x ' || p_size WHEN 1 THEN 'y + ' || p_size WHEN 2 THEN 'z' WHEN 3 THEN 'w' WHEN 4 THEN 'u v'
+    ELSE CAST(p_size AS VARCHAR) END AS text_approximation,
   CASE p_partkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'y' WHEN 2 THEN 'z' WHEN 3 THEN 'w' WHEN 4 THEN 'u,v' ELSE '' END AS variables FROM part
 """)
 def formula_process(spark, d):
-    p = read(spark, d, "part").withColumns({"content": F.expr(_FORMULA.replace("\\", "\\\\")), "latex": F.lit(""), "formula_type": F.lit("display"), "text_approximation": F.lit("")})
+    p = read(spark, d, "part").withColumns(
+        {"content": F.expr(_FORMULA.replace("\\", "\\\\")), "latex": F.lit(""), "formula_type": F.lit("display"), "text_approximation": F.lit("")}
+    )
     found = text.process_formula(p.withColumns({"left": F.lit(0.0), "right": F.col("p_size") / 50.0}))
     return found.select("p_partkey", "latex", "formula_type", "text_approximation", F.array_join("variables", ",").alias("variables"))
 
 
 @query(f"""
 {WITH}, s AS (SELECT *, x1 - x0 AS w, y1 - y0 AS h FROM el WHERE element_type IN ('image', 'chart', 'graph'))
-SELECT element_id, CASE WHEN element_type <> 'image' THEN element_type WHEN m = '1' THEN 'photograph' WHEN m = '2' THEN 'logo' WHEN w / h > 4 OR w / h < 0.25 THEN 'decorative'
+SELECT element_id, CASE WHEN element_type <> 'image' THEN element_type WHEN m = '1' THEN 'photograph' WHEN m = '2' THEN 'logo'
+  WHEN w / h > 4 OR w / h < 0.25 THEN 'decorative'
   WHEN w / h BETWEEN 0.8 AND 1.2 THEN CASE WHEN w * h * 1000000 < 10000 THEN 'logo' ELSE 'illustration' END
   WHEN w * h * 1000000 < 5000 THEN 'logo' WHEN w * h * 1000000 > 500000 THEN 'photograph' ELSE 'unclassified' END AS visual_type FROM s
 """)
@@ -620,19 +668,25 @@ def bbox_valid(spark, d):
 
 #: checks(doc_id, check_name, failures) of items made from the elements.
 _CHECKS = f"""i AS (
-  SELECT doc_id, page_num, ordinal, CASE WHEN ordinal % 50 = 0 THEN 'title' WHEN element_type = 'table' THEN 'table' ELSE 'text' END AS type, {_VALID} AS ok, ordinal % 7 AS item_order,
-    CASE WHEN element_type = 'table' THEN ordinal % 4 END AS nrow, CASE WHEN element_type = 'table' THEN 2 END AS ncol, CASE WHEN ordinal % 2 = 0 THEN 'c' END AS cap FROM el),
+  SELECT doc_id, page_num, ordinal, CASE WHEN ordinal % 50 = 0 THEN 'title' WHEN element_type = 'table' THEN 'table' ELSE 'text' END AS type,
+    {_VALID} AS ok, ordinal % 7 AS item_order,
+    CASE WHEN element_type = 'table' THEN ordinal % 4 END AS nrow, CASE WHEN element_type = 'table' THEN 2 END AS ncol, CASE
+      WHEN ordinal % 2 = 0 THEN 'c' END AS cap FROM el),
 d AS (SELECT doc_id, count(DISTINCT page_num) AS pages, CASE WHEN CAST(doc_id AS INT) % 3 = 0 THEN 19 ELSE 20 END AS page_count FROM el GROUP BY 1),
 o AS (
   SELECT doc_id, count(*) FILTER (WHERE g > 0 OR du > 0) AS f FROM (
-    SELECT doc_id, page_num, max(item_order) - min(item_order) + 1 - count(DISTINCT item_order) AS g, count(*) - count(DISTINCT item_order) AS du FROM i GROUP BY 1, 2) AS q GROUP BY 1),
+    SELECT doc_id, page_num, max(item_order) - min(item_order) + 1 - count(DISTINCT item_order) AS g, count(*) - count(DISTINCT item_order) AS du
+      FROM i GROUP BY 1, 2) AS q GROUP BY 1),
 a AS (
-  SELECT i.doc_id, any_value(d.pages) AS pages, any_value(d.page_count) AS page_count, count(*) FILTER (WHERE NOT ok) AS bad, count(*) AS n, count(*) FILTER (WHERE type = 'title') AS unk,
-    count(*) FILTER (WHERE (nrow IS NOT NULL OR type = 'table') AND (coalesce(nrow, 0) = 0 OR coalesce(ncol, 0) = 0)) AS tab, count(*) FILTER (WHERE type = 'table' AND cap IS NULL) AS bare,
+  SELECT i.doc_id, any_value(d.pages) AS pages, any_value(d.page_count) AS page_count, count(*) FILTER (WHERE NOT ok) AS bad, count(*) AS n,
+    count(*) FILTER (WHERE type = 'title') AS unk,
+    count(*) FILTER (WHERE (nrow IS NOT NULL OR type = 'table') AND (coalesce(nrow, 0) = 0 OR coalesce(ncol, 0) = 0)) AS tab,
+      count(*) FILTER (WHERE type = 'table' AND cap IS NULL) AS bare,
     count(*) FILTER (WHERE page_num < 1 OR page_num > d.page_count) AS outside FROM i JOIN d USING (doc_id) GROUP BY 1),
 checks AS (
   SELECT a.doc_id, unnest([
-    {{'c': 'page_count', 'f': CASE WHEN pages <> page_count THEN 1 ELSE 0 END}}, {{'c': 'not_empty', 'f': 0}}, {{'c': 'all_bboxes_valid', 'f': CASE WHEN bad = n THEN 1 ELSE 0 END}}, {{'c': 'page_number_valid', 'f': outside}},
+    {{'c': 'page_count', 'f': CASE WHEN pages <> page_count THEN 1 ELSE 0 END}}, {{'c': 'not_empty', 'f': 0}},
+      {{'c': 'all_bboxes_valid', 'f': CASE WHEN bad = n THEN 1 ELSE 0 END}}, {{'c': 'page_number_valid', 'f': outside}},
     {{'c': 'item_types', 'f': unk}}, {{'c': 'individual_bboxes', 'f': bad}}, {{'c': 'reading_order', 'f': o.f}}, {{'c': 'tables', 'f': tab}}, {{'c': 'captions', 'f': bare}}]) AS x FROM a JOIN o USING (doc_id))"""
 _CRITICAL = "x.c IN ('page_count', 'not_empty', 'all_bboxes_valid')"
 
@@ -653,7 +707,8 @@ def _checked(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 {WITH}, {_CHECKS}
-SELECT doc_id, count(*) FILTER (WHERE x.f > 0 AND {_CRITICAL}) = 0 AS is_valid, count(*) AS n_checks, count(*) FILTER (WHERE x.f > 0 AND {_CRITICAL}) AS n_errors, count(*) FILTER (WHERE x.f > 0 AND NOT {_CRITICAL}) AS n_warnings
+SELECT doc_id, count(*) FILTER (WHERE x.f > 0 AND {_CRITICAL}) = 0 AS is_valid, count(*) AS n_checks,
+  count(*) FILTER (WHERE x.f > 0 AND {_CRITICAL}) AS n_errors, count(*) FILTER (WHERE x.f > 0 AND NOT {_CRITICAL}) AS n_warnings
 FROM checks GROUP BY 1
 """)
 def validation_report(spark, d):
@@ -666,8 +721,10 @@ def validation_checks(spark, d):
 
 
 @query(f"""
-{WITH}, b AS (SELECT doc_id, page_num, element_id, row_number() OVER (PARTITION BY doc_id ORDER BY page_num, element_id) AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM el WHERE NOT {_VALID})
-SELECT doc_id, max(n) AS failures, string_agg('page ' || page_num || ': ' || element_id, chr(10) ORDER BY k) || CASE WHEN max(n) > 20 THEN chr(10) || '… and ' || (max(n) - 20) || ' more' ELSE '' END AS details
+{WITH},
+  b AS (SELECT doc_id, page_num, element_id, row_number() OVER (PARTITION BY doc_id ORDER BY page_num, element_id) AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM el WHERE NOT {_VALID})
+SELECT doc_id, max(n) AS failures, string_agg('page ' || page_num || ': ' || element_id, chr(10) ORDER BY k) || CASE
+  WHEN max(n) > 20 THEN chr(10) || '… and ' || (max(n) - 20) || ' more' ELSE '' END AS details
 FROM b WHERE k <= 20 GROUP BY 1
 """)
 def validation_details(spark, d):
@@ -684,17 +741,24 @@ def validation_details(spark, d):
 w AS (SELECT doc_id, ord, list_filter(regexp_split_to_array(line, '\\s+'), lambda x: x <> '') AS ws FROM p),
 parts AS (SELECT doc_id, ord, unnest(range(0, len(ws), 300)) AS part, len(ws) AS n FROM w WHERE len(ws) > 0),
 s AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord, part) AS i, least(300, n - part) AS n FROM parts),
-f AS (SELECT doc_id, i, n AS run, 0 AS no, n FROM s WHERE i = 1 UNION ALL SELECT s.doc_id, s.i, CASE WHEN f.run + s.n > 300 THEN s.n ELSE f.run + s.n END, f.no + CASE WHEN f.run + s.n > 300 THEN 1 ELSE 0 END, s.n FROM f JOIN s ON s.doc_id = f.doc_id AND s.i = f.i + 1)
+f AS (SELECT doc_id, i, n AS run, 0 AS no, n FROM s WHERE i = 1 UNION ALL SELECT s.doc_id, s.i, CASE WHEN f.run + s.n > 300 THEN s.n
+  ELSE f.run + s.n END, f.no + CASE WHEN f.run + s.n > 300 THEN 1 ELSE 0 END, s.n FROM f JOIN s ON s.doc_id = f.doc_id AND s.i = f.i + 1)
 SELECT doc_id, CAST(no AS BIGINT) AS chunk_no, CAST(sum(n) AS BIGINT) AS token_count FROM f GROUP BY 1, 2""")
 def chunk_pack(spark, d):
-    p = read(spark, d, "documents").select(F.col("doc_id").alias("document"), F.col("lang").alias("heading"), F.posexplode(F.split("text", "\n", -1)).alias("ord", "text"))
+    p = read(spark, d, "documents").select(
+        F.col("doc_id").alias("document"), F.col("lang").alias("heading"), F.posexplode(F.split("text", "\n", -1)).alias("ord", "text"),
+    )
     return chunks.pack(p).select(F.col("document").alias("doc_id"), "chunk_no", "token_count")
 
 
 def _chunked(spark: SparkSession, d: str) -> DataFrame:
     e = elements(spark, d)
     n = e.where("element_type = 'text_block'").groupBy(F.col("doc_id").alias("document")).agg(F.count("*").alias("n"))
-    v = e.where("element_type IN ('image','chart')").select(F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal", F.when(F.col("ordinal") % 2 == 0, F.array(F.concat(F.lit("file:"), "element_id"))).alias("image_uri"), F.col("content").alias("caption"), F.lit("d").alias("description"))
+    v = e.where("element_type IN ('image','chart')").select(
+        F.col("doc_id").alias("document"), F.col("element_id").alias("self_ref"), "ordinal",
+        F.when(F.col("ordinal") % 2 == 0, F.array(F.concat(F.lit("file:"), "element_id"))).alias("image_uri"), F.col("content").alias("caption"),
+        F.lit("d").alias("description"),
+    )
     return chunks.visual_chunks(v, n)
 
 
@@ -717,7 +781,9 @@ def encode_items(spark, d):
 def attach_embeddings(spark, d):
     e = read(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding", "label")
     c = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
-    return vectors.attach(c, e).join(e.select("chunk_id", "label"), "chunk_id").select("chunk_id", "label", F.round(F.col("embedding")[0].cast("double"), 4).alias("first"))
+    return vectors.attach(c, e).join(e.select("chunk_id", "label"), "chunk_id").select(
+        "chunk_id", "label", F.round(F.col("embedding")[0].cast("double"), 4).alias("first"),
+    )
 
 
 # --- documents ---------------------------------------------------------------
@@ -731,18 +797,25 @@ def doc_ingest_hash(spark, d):
 
 @query("SELECT sha256(text) AS file_hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
 def doc_dedup_exact(spark, d):
-    return read(spark, d, "documents").groupBy(F.sha2(F.encode("text", "UTF-8"), 256).alias("file_hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    return read(spark, d, "documents").groupBy(F.sha2(F.encode("text", "UTF-8"), 256).alias("file_hash")).agg(
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
+    )
 
 
 @query("SELECT concat(conv_id, ':', turn) AS source_id, concat(conv_id, ':', nxt) AS target_id FROM (SELECT *, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations) AS c WHERE nxt IS NOT NULL")
 def conversation_turn_edges(spark, d):
-    c = read(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), F.lit(1).alias("page_num"), F.col("turn").alias("reading_order"), F.lit(0.0).alias("top"), F.lit(0.0).alias("left"), F.concat_ws(":", "conv_id", "turn").alias("element_id"))
+    c = read(spark, d, "conversations").select(
+        F.col("conv_id").cast("string").alias("doc_id"), F.lit(1).alias("page_num"), F.col("turn").alias("reading_order"), F.lit(0.0).alias("top"),
+        F.lit(0.0).alias("left"), F.concat_ws(":", "conv_id", "turn").alias("element_id"),
+    )
     return graph.sequential(c).where("relationship_type = 'precedes'").select("source_id", "target_id")
 
 
 @query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def events_tumbling(spark, d):
-    return incremental.tumbling(read(spark, d, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"))
+    return incremental.tumbling(read(spark, d, "events")).select(
+        F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"),
+    )
 
 
 @query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
@@ -757,10 +830,15 @@ def events_sessions(spark, d):
 @query("""SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2""")
 def pricing_summary(spark, d):
     li = read(spark, d, "lineitem").where("l_shipdate <= TIMESTAMP_NTZ '1998-09-02 00:00:00'")
-    return li.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+    return li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
+        F.count("*").alias("n"),
+    )
 
 
 @query("""SELECT r_name, n_name, round(sum(o_totalprice), 2) AS total, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 def orders_rollup(spark, d):
-    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(read(spark, d, "nation"), F.expr("c_nationkey = n_nationkey")).join(read(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
+    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(
+        read(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"),
+    ).join(read(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
     return o.rollup("r_name", "n_name").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("orders"))

@@ -16,7 +16,8 @@ def near(limit: float, where: str = "true", kinds_a: str = "true", kinds_b: str
     return f"""(SELECT a, b, dist FROM (
         SELECT a, b, sqrt(pow((a.x0 + a.x1) / 2 - (b.x0 + b.x1) / 2, 2) + pow((a.y0 + a.y1) / 2 - (b.y0 + b.y1) / 2, 2)) AS dist
         FROM (SELECT el AS a, doc_id, page_num, {x} AS cx, {y} AS cy FROM el WHERE {kinds_a}) AS p
-        JOIN (SELECT el AS b, doc_id, page_num, {x} + dx AS cx, {y} + dy AS cy FROM el, (VALUES (-1), (0), (1)) AS i(dx), (VALUES (-1), (0), (1)) AS j(dy) WHERE {kinds_b}) AS q
+       
+          JOIN (SELECT el AS b, doc_id, page_num, {x} + dx AS cx, {y} + dy AS cy FROM el, (VALUES (-1), (0), (1)) AS i(dx), (VALUES (-1), (0), (1)) AS j(dy) WHERE {kinds_b}) AS q
         USING (doc_id, page_num, cx, cy)) AS pairs
       WHERE dist <= {limit} AND {where})"""
 
@@ -88,7 +89,9 @@ LABELS = f"""lab AS (
   SELECT DISTINCT doc_id, t, label FROM (
     SELECT doc_id, element_id AS t, unnest({element_labels('content')}) AS label FROM el WHERE element_type IN {VISUAL}
     UNION ALL SELECT doc_id, element_id, CASE WHEN element_type = 'formula' THEN 'equation' WHEN element_type = 'table' THEN 'table' ELSE 'figure' END || ':' || n
-    FROM (SELECT *, coalesce({', '.join(f"nullif(regexp_extract(content, '{p}', 1), '')" for p in REFERRING.values())}) AS n FROM el WHERE element_type IN {VISUAL}) AS own WHERE n IS NOT NULL) AS found),
+   
+      FROM (SELECT *, coalesce({', '.join(f"nullif(regexp_extract(content, '{p}', 1), '')" for p in REFERRING.values())}) AS n FROM el WHERE element_type IN {VISUAL}) AS own
+      WHERE n IS NOT NULL) AS found),
 src AS (SELECT doc_id, element_id AS s, unnest({element_labels('content')}) AS label FROM el WHERE element_type IN ('text_block', 'list_block', 'caption'))"""
 
 
@@ -115,7 +118,8 @@ NUMBERED = f"""num AS (
     lower(rtrim(lower(t), '.:;!? ')) IN ({', '.join(repr(k) for k in SECTION_KEYWORDS)}) AS keyword,
     (t = '' OR regexp_matches(t, '^[0-9]+(\\s*[-–]\\s*[0-9]+)?$') OR regexp_matches(lower(t), '^page\\s+[0-9]')) AS page_number, t AS stripped
   FROM (
-    SELECT *, CASE WHEN lower(w) = 'section' THEN regexp_extract(rest, '^[0-9]+(\\.[0-9]+)*') ELSE '' END AS sec, CASE WHEN lower(w) = 'chapter' THEN regexp_extract(rest, '^[0-9]+') ELSE '' END AS cha,
+    SELECT *, CASE WHEN lower(w) = 'section' THEN regexp_extract(rest, '^[0-9]+(\\.[0-9]+)*') ELSE '' END AS sec, CASE
+      WHEN lower(w) = 'chapter' THEN regexp_extract(rest, '^[0-9]+') ELSE '' END AS cha,
       CASE WHEN lower(w) = 'appendix' THEN regexp_extract(rest, '^(\\pL)([^\\pL\\pN]|$)', 1) ELSE '' END AS app, regexp_extract(w, '^([0-9]+(\\.[0-9]+)*)\\.?$', 1) AS lev
     FROM (SELECT *, regexp_extract(t, '^\\S+') AS w, {strip("regexp_replace(t, '^\\S+', '')")} AS rest FROM (SELECT *, {strip("coalesce(content, '')")} AS t FROM el) AS a) AS b) AS c)"""
 
@@ -127,7 +131,8 @@ SECTIONS = NUMBERED + """, heads AS (
   FROM num WHERE element_type = 'section_header' OR element_type = 'text_block' AND NOT page_number AND (level IS NOT NULL OR keyword)),
 tree AS (SELECT h.*, (SELECT max(p.ord) FROM heads p WHERE p.doc_id = h.doc_id AND p.ord < h.ord AND p.level < h.level) AS parent FROM heads h),
 fold AS (
-  SELECT doc_id, CAST(-1 AS BIGINT) AS ord, CAST([] AS VARCHAR[]) AS paths, CAST([] AS STRUCT(a VARCHAR, n BIGINT)[]) AS taken, CAST(NULL AS VARCHAR) AS path FROM (SELECT DISTINCT doc_id FROM heads) AS d
+  SELECT doc_id, CAST(-1 AS BIGINT) AS ord, CAST([] AS VARCHAR[]) AS paths, CAST([] AS STRUCT(a VARCHAR, n BIGINT)[]) AS taken,
+    CAST(NULL AS VARCHAR) AS path FROM (SELECT DISTINCT doc_id FROM heads) AS d
   UNION ALL
   SELECT doc_id, ord, list_append(paths, path), CASE WHEN above <> '' OR number IS NULL THEN list_append(taken, {'a': above, 'n': n}) ELSE taken END, path
   FROM (

@@ -15,7 +15,10 @@ def session(app: str = "foliate", master: str | None = None, **conf: str) -> Spa
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    base = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    base = {
+        "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
     return b.config(map=base | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
 
 

@@ -93,6 +93,8 @@ def flatten(pages: DataFrame, containers: tuple[str, ...] = ("items", "texts", "
     """One row per item of pages(doc_id, page_num, container arrays), with the container and ordinal that it came from."""
     out = None
     for rank, c in enumerate(x for x in containers if x in pages.columns):
-        one = pages.select("doc_id", "page_num", F.lit(rank).alias("container"), F.posexplode(c).alias("pos", "item")).select("doc_id", "page_num", "container", "pos", "item.*")
+        one = pages.select(
+            "doc_id", "page_num", F.lit(rank).alias("container"), F.posexplode(c).alias("pos", "item"),
+        ).select("doc_id", "page_num", "container", "pos", "item.*")
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out

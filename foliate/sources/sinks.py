@@ -14,7 +14,9 @@ def manifests(events: DataFrame) -> DataFrame:
 
 def extraction_state(documents: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(to do, skipped): documents whose raw outputs exist already are skipped."""
-    return documents.join(done.select("doc_id"), "doc_id", "left_anti"), documents.join(done.select("doc_id"), "doc_id", "left_semi").withColumn("extraction_status", F.lit("skipped"))
+    return documents.join(
+        done.select("doc_id"), "doc_id", "left_anti",
+    ), documents.join(done.select("doc_id"), "doc_id", "left_semi").withColumn("extraction_status", F.lit("skipped"))
 
 
 def write_chunks(chunks: DataFrame, path: str, by: str = "document") -> None:

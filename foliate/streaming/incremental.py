@@ -33,7 +33,9 @@ def tumbling(events: DataFrame, size: str = "1 day", delay: str | None = None) -
     """start, event_type, n, total: counts and sums of events(ts, event_type, value) in windows; with delay, of a stream."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
     timed = timed.withWatermark("ts", delay) if delay else timed
-    return timed.groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    return timed.groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(
+        F.col("window.start").alias("start"), "event_type", "n", "total",
+    )
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
