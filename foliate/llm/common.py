@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -47,9 +48,39 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for a table of this run; cleanup() deletes it, at the latest when the driver's interpreter ends."""
+    sc = spark.sparkContext
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not hasattr(sc, "_foliate_paths"):
+        sc._foliate_paths = []
+        atexit.register(lambda: cleanup(spark) if sc._jsc is not None else None)
+    sc._foliate_paths.append(path)
+    return path
+
+
+def cleanup(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables that this run has written to the shared folder (those after the first `since`), but those to keep.
+
+    Results that are still to be computed from them fail afterwards.
+    """
+    sc = spark.sparkContext
+    paths = getattr(sc, "_foliate_paths", [])
+    for path in paths[since:]:
+        if path not in keep:
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    sc._foliate_paths = paths[:since] + [p for p in paths[since:] if p in keep]
+
+
+def written(spark: SparkSession) -> int:
+    """How many tables of this run there are in the shared folder."""
+    return len(getattr(spark.sparkContext, "_foliate_paths", []))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """As materialise(), as a compressed Parquet table in the shared folder: for large tables."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -249,7 +280,10 @@ def hot_keys(sample: DataFrame, key: list[str]) -> DataFrame | None:
     return hot if hot.limit(1).count() else None
 
 
-def grouped(rows: DataFrame, key: list[str], hot: DataFrame | None, store: bool = True, inner: list[str] | None = None, inside: dict[str, Column] | None = None, **aggregates: Column) -> DataFrame:
+def grouped(
+    rows: DataFrame, key: list[str], hot: DataFrame | None, store: bool = True, inner: list[str] | None = None,
+    inside: dict[str, Column] | None = None, **aggregates: Column,
+) -> DataFrame:
     """rows with aggregates of the group of its key, and with those of `inside` over its key and inner, from a single exchange of the rows.
 
     Most groups are a row or two, which nothing before the exchange would make less. Rows of hot keys are dealt to SALTS tasks each;

@@ -14,7 +14,6 @@ texts. An empty table gives an empty file. Columns besides doc_id and text are i
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -132,7 +131,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens
 
         def flush() -> pa.RecordBatch:
             blob = write_shard(held, np.array(counts, np.int64), np.frombuffer(b"".join(ids), np.uint32), before)
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()), "n_tokens": pa.array([size], pa.int64()), "payload": pa.array([blob], pa.binary())})
+            return pa.RecordBatch.from_pydict(
+                {"part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()), "n_tokens": pa.array([size], pa.int64()), "payload": pa.array([blob], pa.binary())}
+            )
 
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -214,7 +215,7 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame
 def digests(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """Write the file, read it back and return doc_id, start, n_tokens, ids_crc32 of each document."""
     spark = docs.sparkSession
-    path = path or f"{common.shared_dir(spark).rstrip('/')}/direct-codes-{uuid.uuid4().hex}"
+    path = path or common.new_path(spark, "direct-codes")
     write(docs, path, tokenizer)
     return read(spark, path, lambda d, start, ids: (d, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

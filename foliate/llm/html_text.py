@@ -46,9 +46,15 @@ _CONTAINERS = {"html", "body", "div", "article", "section", "main", "td", "cente
 #: Tags that are judged by their links, and containers with them.
 _BOXES = _CONTAINERS | {"ul", "ol", "dl", "header"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_BLOCKS = _BOXES | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "figure", "figcaption", "address", "hr", "br", "summary", "option", "legend", "hgroup", "footer", "nav", "aside", "form", "menu"}
+_BLOCKS = _BOXES | {
+    "p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "figure",
+    "figcaption", "address", "hr", "br", "summary", "option", "legend", "hgroup", "footer", "nav", "aside", "form", "menu",
+}
 #: A start tag that closes an open one of the same group.
-_CLOSES = {t: {"p"} for t in ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "section", "article", "form", "hr", "figure")} | {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
+_CLOSES = {t: {"p"} for t in ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "section", "article", "form", "hr", "figure")} | {
+    "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
+    "th": {"td", "th", "p"}, "option": {"option"},
+}
 #: Tags that the end of another kind of tag doesn't close.
 _FENCE = {"html", "body", "div", "article", "section", "main", "table", "ul", "ol", "dl", "form", "nav", "aside", "header", "footer", "blockquote"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form"}

@@ -110,7 +110,10 @@ def _variants(near_words: int):
         n = words.counts[which] - (at >= 0)
         r = pa.array(row[which])
         spelled = pa.array([b" ".join(x.split()).decode() for x in lines] + [None] * len(p), pa.string())
-        yield {"doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "at": at, "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48)))), "words": spelled}
+        yield {
+            "doc_id": batch.column(0).take(r), "rid": batch.column(1).take(r), "line": number[which], "at": at,
+            "key": common.signed(common.mix(keys ^ (n.astype(np.uint64) << np.uint64(48)))), "words": spelled,
+        }
 
     return run
 
@@ -175,7 +178,10 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
 def edits(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left, of each document."""
     out = _edited(docs.select("doc_id", "text"), min_words, near_words)
-    return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(F.col("__n")).alias("n_lines"), F.col("__gone").alias("n_removed"), "text")
+    return out.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("text").isNull(), 0).otherwise(F.col("__n")).alias("n_lines"),
+        F.col("__gone").alias("n_removed"), "text",
+    )
 
 
 def _edited(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
@@ -187,7 +193,10 @@ def _edited(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     lines = F.split("text", "\n", -1)
     # what stands between neighbouring lines that go
     ends = F.concat("__out", F.array(F.col("__n")))
-    parts = F.transform(ends, lambda end, i: F.slice("__lines", F.when(i == 0, 1).otherwise(F.get("__out", i - 1) + 2), end - F.when(i == 0, 0).otherwise(F.get("__out", i - 1) + 1)))
+    parts = F.transform(
+        ends, lambda end,
+        i: F.slice("__lines", F.when(i == 0, 1).otherwise(F.get("__out", i - 1) + 2), end - F.when(i == 0, 0).otherwise(F.get("__out", i - 1) + 1)),
+    )
     cut = cut.select("__row.*", "__out").withColumn("__lines", lines).withColumn("__n", F.size("__lines"))
     cut = cut.withColumns({"text": F.array_join(F.flatten(parts), "\n"), "__gone": F.size("__out")}).select(*docs.columns, "__n", "__gone")
     return cut.unionByName(whole.select("__row.*").withColumns({"__n": F.size(lines), "__gone": F.lit(0)}))

@@ -144,7 +144,10 @@ def _rest(open_: DataFrame, docs: DataFrame, n: int, share: int) -> DataFrame:
     def run(batch: pa.RecordBatch):
         keys, counts = shingles(common.texts(batch.column(2)))
         at = pa.array(np.repeat(np.arange(len(counts)), counts))
-        yield {"doc_id": batch.column(0).take(at), "component": batch.column(1).take(at), "rid": batch.column(3).take(at), "n": np.repeat(counts, counts), "shingle": common.signed(keys)}
+        yield {
+            "doc_id": batch.column(0).take(at), "component": batch.column(1).take(at), "rid": batch.column(3).take(at),
+            "n": np.repeat(counts, counts), "shingle": common.signed(keys),
+        }
 
     def sets(of: DataFrame) -> DataFrame:
         """The shingles of each version of the documents, once."""
@@ -180,7 +183,9 @@ def groups(docs: DataFrame, share: int = SHARE) -> DataFrame:
     named = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("doc_id"))
     signed = common.grouped(signatures(docs), same, hot, rep=F.min(named))
     # the first document of equal sets stands for them
-    signed = common.materialise(signed.select(*common.KEY, "n_shingles", named.isNotNull().alias("has"), "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")))
+    signed = common.materialise(
+        signed.select(*common.KEY, "n_shingles", named.isNotNull().alias("has"), "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"))
+    )
     slots = signed.select(*common.KEY, F.explode("bands").alias("key"))
     hot = common.hot_keys(common.sampled(slots, n), ["key"])
     met = common.grouped(slots, ["key"], hot, store=False, hub=F.min("doc_id"), last=F.max("doc_id"))
@@ -190,7 +195,9 @@ def groups(docs: DataFrame, share: int = SHARE) -> DataFrame:
     labels = common.materialise(components(links))
     for k in range(1, HUBS):
         now = _apart(members, labels, hot, hub=F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(k))))
-        pairs = now.where("doc_id <> hub.doc_id AND component <> hub.component").select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b")).distinct()
+        pairs = now.where("doc_id <> hub.doc_id AND component <> hub.component").select(
+            F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b"),
+        ).distinct()
         links = links.unionByName(_confirm(common.materialise(pairs), docs, share))
         labels = common.materialise(components(links))
     open_ = common.materialise(_apart(members, labels, hot).select(F.col("doc_id").alias("rep"), "component").distinct())

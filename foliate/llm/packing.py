@@ -4,7 +4,7 @@ A document's ids are cut into full pieces of the sequence length and one remaind
 fixed length histogram (exact up to 64 tokens, then 32 per octave, so a class is at most 1/32 wider than its members). A
 linear program over patterns (how many pieces of each class share a sequence) minimises the number of sequences; its columns
 come from a knapsack dynamic program that prices patterns by the dual values. Pattern counts are rounded down, what is left is
-packed greedily, and the pieces, ranked within their class, are dealt to the pattern slots.
+packed greedily, and the pieces, ranked within their class (longest first, then by doc_id, start and checksum), are dealt to the pattern slots.
 
 The plan depends on the histogram alone: its size, and the driver's work, are bounded by the number of classes whatever the
 number of documents. Pieces never leave the executors.

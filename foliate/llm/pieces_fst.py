@@ -501,7 +501,10 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             rows.append((len(ids), int(((ids >= low) & (ids <= high)).sum()), zlib.crc32(data), own.decode(ids.tolist()) == t))
         yield {"doc_id": batch.column(0)} | dict(zip(("n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"), map(list, zip(*rows, strict=True)), strict=True))
 
-    return common.arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean")
+    return common.arrow_map(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
+        "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean",
+    )
 
 
 def op5_pieces_fst(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliate.llm import direct_codes, html_text, language, line_dedup, near_dedup, ogg, packing, pieces_fst, repeats, rules
+from foliate.llm import direct_codes, html_text, language, line_dedup, near_dedup, ogg, oracles, packing, pieces_fst, repeats, rules
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -17,4 +17,4 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)

@@ -171,7 +171,10 @@ def _extend(window: int):
         w1, w2 = a.of(at, at + window), b.of(at, at + window)
         kept = _once(doc, w1, w2)
         row = pa.array(doc[kept])
-        yield {"doc_id": batch.column(0).take(row), "rid": batch.column(3).take(row), "at": at[kept] - words.starts[doc[kept]], "w1": common.signed(w1[kept]), "w2": common.signed(w2[kept])}
+        yield {
+            "doc_id": batch.column(0).take(row), "rid": batch.column(3).take(row), "at": at[kept] - words.starts[doc[kept]],
+            "w1": common.signed(w1[kept]), "w2": common.signed(w2[kept]),
+        }
 
     return run
 
@@ -271,7 +274,10 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     signed, starts = removals(docs, window)
     cut = common.arrow_map(_where(docs, starts).select("text", "starts", "doc_id"), _cut(window, ["doc_id"]), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     rest = signed.join(starts.select(*KEY), KEY, "left_anti")
-    whole = rest.select("doc_id", "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.lit(0)).alias("n_removed"), F.when(F.col("copy"), F.lit(digest(b""))).otherwise(F.col("sha256")).alias("kept_sha256"))
+    whole = rest.select(
+        "doc_id", "n_words", F.when(F.col("copy"), F.col("n_words")).otherwise(F.lit(0)).alias("n_removed"),
+        F.when(F.col("copy"), F.lit(digest(b""))).otherwise(F.col("sha256")).alias("kept_sha256"),
+    )
     return cut.unionByName(whole)
 
 

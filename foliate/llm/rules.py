@@ -43,7 +43,10 @@ POLICIES: dict[str, tuple[str, ...]] = {
 }
 CURRENT = "v2"
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alpha_words", "n_letters", "n_upper", "n_shouts", "n_ellipsis_lines", "n_bullet_lines")
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alpha_words", "n_letters", "n_upper", "n_shouts",
+    "n_ellipsis_lines", "n_bullet_lines",
+)
 _SPACES = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -172,8 +175,9 @@ def sole_rule(policy: str = CURRENT) -> Column:
 
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger is stored, then the current policy and its ablations are read from it: with sole_rule, the rule that alone rejects a
-    document, and how many documents it rejects alone (sole_rule_docs) or at all (rule_docs)."""
+    document, and how many documents it rejects alone (sole_rule_docs) or at all (rule_docs); 0 without such a rule."""
     ledger = common.stored(measure(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     effect = ablations(ledger).select(F.col("rule").alias("sole_rule"), F.col("failed_alone").alias("sole_rule_docs"), F.col("failed").alias("rule_docs"))
     judged = apply(ledger).withColumn("sole_rule", sole_rule()).join(F.broadcast(effect), "sole_rule", "left")  # a row per rule
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "sole_rule", "sole_rule_docs", "rule_docs")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("sole_rule_docs", "rule_docs")]
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "sole_rule", *counts)

@@ -58,3 +58,19 @@ def test_empty_and_odd_tables(spark, tmp_path):
         documents(spark, rows).write.parquet(str(tmp_path / str(k) / "documents.parquet"))
         got = corpus_pipeline.run(spark, str(tmp_path / str(k))).collect()
         assert sorted(str(r["doc_id"]) for r in got) == ([] if k < 2 else ["1", "None"])
+
+
+def test_run_leaves_only_what_its_result_reads(spark, tmp_path):
+    import os
+
+    from foliate.llm import common
+
+    rng = random.Random(1)
+    documents(spark, [(i, prose(rng, 30, 10**6)) for i in range(6)]).write.parquet(str(tmp_path / "documents.parquet"))
+    before = common.written(spark)
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    paths = spark.sparkContext._foliate_paths[before:]
+    assert sum("/pipeline-" in p for p in paths) == 1 and all(os.path.isdir(p.removeprefix("file://")) for p in paths)
+    assert got.count() == 6
+    common.cleanup(spark, since=before)
+    assert common.written(spark) == before and not any(os.path.isdir(p.removeprefix("file://")) for p in paths)

@@ -59,7 +59,7 @@ def test_rules_query_reads_its_ablations_from_the_ledger(spark, tmp_path):
     for r in got:
         b = r["fail_bits"] & rules.mask(rules.CURRENT)
         want = next((name for name in rules.POLICIES[rules.CURRENT] if b == rules.BIT[name]), None)
-        assert r["sole_rule"] == want and r["sole_rule_docs"] == (sum(x == b for x in bits) if want else None) and r["rule_docs"] == (sum(x & b > 0 for x in bits) if want else None)
+        assert r["sole_rule"] == want and r["sole_rule_docs"] == (sum(x == b for x in bits) if want else 0) and r["rule_docs"] == (sum(x & b > 0 for x in bits) if want else 0)
 
 
 def test_ablations(spark):
@@ -304,3 +304,29 @@ def test_language_odd_rows(spark):
 
     assert {r["lang_pred"] for r in language.identify(documents(spark, rows).withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language.identify(documents(spark, [])).count() == 0
+
+
+def test_texts_longer_than_a_step(spark):
+    """One text of more than CHUNK_BYTES beside short ones, through every operator on texts."""
+    from foliate.llm import common, line_dedup, near_dedup, pieces_fst, repeats
+
+    rng = random.Random(12)
+    line = lambda: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(900)}" for _ in range(12))
+    shared = "\n".join(line() for _ in range(8))
+    long = "\n".join([*(line() for _ in range(90_000)), shared])
+    assert len(long) > common.CHUNK_BYTES
+    docs = documents(spark, [(1, shared), (2, long), (3, "the thing and the other"), (4, long + " end")]).repartition(1)
+    n = len(words(long))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in repeats.repeats(docs).collect()}[4] == (n + 1, n)
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.edits(docs).collect()} == {1: 0, 2: 8, 3: 0, 4: 90_008}
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.groups(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 2}
+    assert {r["doc_id"]: r["n_words"] for r in rules.measure(docs).collect()} == {1: 96, 2: n, 3: 5, 4: n + 1}
+    assert {r["doc_id"]: r["round_trip"] for r in pieces_fst.digests(docs.where("doc_id < 4")).collect()} == {1: True, 2: True, 3: True}
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()} == {i: "en" for i in range(1, 5)}
+    assert {r["doc_id"]: r["n_bytes"] for r in ogg.digests(ogg.store(docs)).collect()}[2] == len(long)
+
+
+def test_language_ties_go_to_the_first_by_name(spark):
+    same = language.fit({"y": {"▁abc": 3}, "x": {"▁abc": 3}})
+    got = language.predict(documents(spark, [(1, "abc"), (2, "zzz")]), same, "doc_id").collect()
+    assert {r["lang_pred"] for r in got} == {"x"} and all(abs(r["score"] - 0.5) < 1e-9 for r in got)
