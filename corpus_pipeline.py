@@ -10,8 +10,6 @@ rows, and so does one without any labelled row, as no language can be learnt.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,12 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for sf_dir's documents."""
+    """The last stage's rows for sf_dir's documents. What a stage stored on its way goes when its output is written, an output when the next one is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = common.written(spark)
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            path = common.new_path(spark, "pipeline")
+            out.write.parquet(path)
+            common.cleanup(spark, since=known, keep=(path,))
+            out = spark.read.parquet(path)
+        docs = out
     return docs
