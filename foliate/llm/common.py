@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from foliate.session import ship
 
 #: Bytes of text that one step of a Python worker holds at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Rows that Spark sends to a worker at once: whole texts, so that a batch of them fits beside the executor's heap.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 #: Rows up to which a table of ids may be broadcast (8 bytes each, so 4 MB); larger tables are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -174,12 +174,22 @@ class Words:
         self.hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-@lru_cache(3)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Powers that a worker remembers; those for longer sequences are made each time.
+KEPT_POWERS = 1 << 20
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(base, -1, 1 << 64)
-    ups, downs = np.full(n + 1, base, np.uint64), np.full(n + 1, inverse, np.uint64)
-    ups[0] = downs[0] = 1
-    return np.cumprod(ups, dtype=np.uint64), np.cumprod(downs, dtype=np.uint64)
+    """The powers of a base from 0 to n, and those of its inverse."""
+    found = _POWERS.get(base)
+    if found is None or len(found[0]) <= n:
+        size = 1 << max(18, int(n).bit_length())
+        ups, downs = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+        ups[0] = downs[0] = 1
+        found = np.cumprod(ups, dtype=np.uint64), np.cumprod(downs, dtype=np.uint64)
+        if size <= KEPT_POWERS:
+            _POWERS[base] = found
+    return found
 
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -190,8 +200,7 @@ class Ranges:
 
     def __init__(self, hashes: np.ndarray, base: int = BASES[0]):
         n = len(hashes)
-        size = 1 << max(20, int(n).bit_length())
-        self.ups, self.downs = _powers(base, size)
+        self.ups, self.downs = _powers(base, n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * self.ups[:n], out=self.sums[1:], dtype=np.uint64)
 
