@@ -14,6 +14,8 @@ RELATIONSHIP = "58ec3632-99bb-58c9-bfeb-c8c22d9d87e9"
 SECTION = "ec99e70b-7e56-5054-bda5-bd1cc95d2a78"
 SPAN = "80aa771e-24a4-5001-850e-79ab9a3d900f"
 RETRIEVAL_CHUNK = "d7e8f9a0-1234-5678-9abc-def012345678"
+# Fixed value: what stands before a section's path in the name of its group.
+SAME_SECTION = "docling-project-samesection:"
 
 
 def uuid5(namespace: str, name: Column) -> Column:
@@ -56,7 +58,7 @@ def span_group_id(doc: Column, path: Column, first_page: Column, columns: Column
 
 def section_group_id(path: Column) -> Column:
     """The id of a section's group of elements; it doesn't depend on the document."""
-    return uuid5(DNS, F.concat(F.lit("docling-project-samesection:"), path))
+    return uuid5(DNS, F.concat(F.lit(SAME_SECTION), path))
 
 
 def retrieval_chunk_id(doc_hash: Column, sequence: Column, types: Column) -> Column:

@@ -296,7 +296,7 @@ UNION ALL SELECT b, a, 'describes' FROM q WHERE kind IN {TEXT} AND dist <= 0.2 A
 UNION ALL SELECT a, b, 'refers_to' FROM q WHERE kind = 'footnote' AND dist <= 0.15
 """)
 def table_edges(spark, d):
-    return graph.table_edges(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+    return graph.table_edges(materialised(elements(spark, d))).select("source_id", "target_id", "relationship_type")
 
 
 @query(f"""
@@ -309,7 +309,7 @@ UNION ALL SELECT b, a, 'has_formula' FROM q WHERE kind = 'caption' AND dist IS N
 UNION ALL SELECT a, b, 'refers_to' FROM q WHERE kind = 'footnote' AND dist <= 0.15
 """)
 def formula_edges(spark, d):
-    return graph.formula_edges(elements(spark, d)).select("source_id", "target_id", "relationship_type")
+    return graph.formula_edges(materialised(elements(spark, d))).select("source_id", "target_id", "relationship_type")
 
 
 @query(f"""
@@ -325,7 +325,7 @@ UNION ALL SELECT a, b, 'nearby' FROM q WHERE kind NOT IN ('caption', 'text_block
 def visual_edges(spark, d):
     """Some visuals carry the text of a caption."""
     e = elements(spark, d).withColumn("caption", F.when(F.col("ordinal") % 7 == 0, F.lit(" Notes on the page")))
-    return graph.visual_edges(e).select("source_id", "target_id", "relationship_type")
+    return graph.visual_edges(materialised(e)).select("source_id", "target_id", "relationship_type")
 
 
 # --- graph -------------------------------------------------------------------
@@ -395,7 +395,7 @@ FROM {sql.near(0.15, "a.element_id <> b.element_id", "element_type IN ('image',
 """)
 def rel_undirected(spark, d):
     """Neighbours of visual elements, each pair once, and how often it was found."""
-    found = graph.visual_edges(elements(spark, d)).where("relationship_type = 'nearby'")
+    found = graph.visual_edges(materialised(elements(spark, d))).where("relationship_type = 'nearby'")
     often = found.groupBy(F.least("source_id", "target_id").alias("a"), F.greatest("source_id", "target_id").alias("b")).agg(F.count("*").alias("told"))
     once = graph.undirected(found).select(F.least("source_id", "target_id").alias("a"), F.greatest("source_id", "target_id").alias("b"))
     return once.join(often, ["a", "b"])
@@ -407,7 +407,7 @@ _ALL = f"""{_NEXT}, {sql.LABELS}, {_DESCRIBES}, e AS (
   UNION ALL SELECT t, s, 'follows', 1.0 FROM n WHERE t IS NOT NULL
   UNION ALL SELECT a.element_id, b.element_id, 'nearby', round(1 - dist, 6) FROM {sql.near(0.08, 'a.element_id < b.element_id')} AS p
   UNION ALL SELECT id, id, 'same_section_as', 1.0 FROM (
-    SELECT doc_id, {sql.uuid(ids.DNS, "'docling-project-samesection:' || section_path")} AS id FROM el WHERE section_path <> '' GROUP BY doc_id,
+    SELECT doc_id, {sql.uuid(ids.DNS, f"'{ids.SAME_SECTION}' || section_path")} AS id FROM el WHERE section_path <> '' GROUP BY doc_id,
       section_path HAVING count(*) >= 2) AS g
   UNION ALL SELECT DISTINCT s, t, 'refers_to', 1.0 FROM src JOIN lab USING (doc_id, label) WHERE s <> t
   UNION ALL SELECT s, t, 'describes', 1.0 FROM d)"""
