@@ -11,7 +11,10 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from foliate.session import session
 
-    s = session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.autoBroadcastJoinThreshold": "1m"})
+    s = session(
+        "tests", "local[4]",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.autoBroadcastJoinThreshold": "1m"},
+    )
     s.sparkContext.setLogLevel("ERROR")
     return s
 

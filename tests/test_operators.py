@@ -28,7 +28,13 @@ def test_reading_order_puts_own_orders_first(spark):
 
 
 def test_boxes_and_types(spark):
-    items = spark.createDataFrame([("d", 1, 0, None, "Paragraph", "x", 10.0, 20.0, 30.0, 40.0), ("d", 2, 1, None, "odd", "y", 0.1, 0.1, 0.2, 0.2), ("d", 2, 2, None, "table", "z", 5.0, 5.0, 6.0, 6.0), ("d", 0, 3, None, "table", "off", 0.1, 0.1, 0.2, 0.2)], "doc_id string, page_num int, ordinal int, item_order int, label string, content string, left double, top double, right double, bottom double")
+    items = spark.createDataFrame(
+        [
+            ("d", 1, 0, None, "Paragraph", "x", 10.0, 20.0, 30.0, 40.0), ("d", 2, 1, None, "odd", "y", 0.1, 0.1, 0.2, 0.2),
+            ("d", 2, 2, None, "table", "z", 5.0, 5.0, 6.0, 6.0), ("d", 0, 3, None, "table", "off", 0.1, 0.1, 0.2, 0.2),
+        ],
+        "doc_id string, page_num int, ordinal int, item_order int, label string, content string, left double, top double, right double, bottom double",
+    )
     pages = spark.createDataFrame([("d", 1, 100.0, 200.0)], "doc_id string, page_num int, width double, height double")
     got = {r["content"]: (r["element_type"], r["left"], r["bottom"]) for r in elements.elements(items, pages).collect()}
     assert got == {"x": ("text_block", 0.1, 0.2), "y": ("text_block", 0.1, 0.2), "z": ("table", 0.0, 0.0)}
@@ -51,14 +57,23 @@ def test_near_pairs_equal_brute_force(spark):
 
 
 def test_references_and_describes(spark):
-    e = make(spark, [{"text": "See Table 1.", "path": "s"}, {"type": "table", "text": "Table 1: x", "path": "s"}, {"type": "image", "text": "Fig. 2a", "path": "t"}, {"type": "caption", "text": "Figure 2A and Table 1"}])
+    e = make(
+        spark,
+        [
+            {"text": "See Table 1.", "path": "s"}, {"type": "table", "text": "Table 1: x", "path": "s"},
+            {"type": "image", "text": "Fig. 2a", "path": "t"}, {"type": "caption", "text": "Figure 2A and Table 1"},
+        ],
+    )
     assert pairs(graph.references(e)) == [("e0", "e1", "refers_to"), ("e3", "e1", "refers_to"), ("e3", "e2", "refers_to")]
     assert pairs(graph.describes(e)) == [("e0", "e1", "describes")]
     assert [tuple(r) for r in graph.summary(graph.all_edges(e)).collect()][0][1] >= 3
 
 
 def test_hierarchy(spark):
-    e = make(spark, [{"text": "Abstract"}, {"text": "words"}, {"text": "1. Introduction"}, {"text": "words"}, {"type": "caption", "text": "x"}, {"text": "Conclusion"}, {"text": "1.1 Back"}]).withColumns({"level": F.lit(None).cast("int"), "section_number": F.lit(None).cast("string")})
+    e = make(
+        spark,
+        [{"text": "Abstract"}, {"text": "words"}, {"text": "1. Introduction"}, {"text": "words"}, {"type": "caption", "text": "x"}, {"text": "Conclusion"}, {"text": "1.1 Back"}],
+    ).withColumns({"level": F.lit(None).cast("int"), "section_number": F.lit(None).cast("string")})
     got = {r["element_id"]: r["section_path"] for r in hierarchy.assign_paths(e).collect()}
     assert [got[f"e{i}"] for i in range(7)] == ["0.1", "0.1", "1", "1", "", "0.2", "1.1"]
     edges = hierarchy.contains(e).collect()
@@ -70,7 +85,14 @@ def test_hierarchy_paths_number_after_what_came_before():
     assert found["path"].tolist() == ["1", "1.1", "1.4", "1.5", "0.1"] and found["parent"].tolist() == [-1, 0, 0, 0, -1]
 
 
-@pytest.mark.parametrize(("kind", "source"), [("markdown", "| H1 | H2 |\n|--|--|\n| A | B |\n| C | D |"), ("content", "H1\tH2\nA\tB\nC\tD"), ("content", "H1  H2\nA  B\nC  D"), ("html", "<table><tr><th>H1</th><th>H2</th></tr><tr><td>A</td><td>B</td></tr><tr><td>C<td>D</td></tr></table>"), ("json_data", '{"rows": [{"H1": "A", "H2": "B"}, {"H1": "C", "H2": "D"}]}')])
+@pytest.mark.parametrize(
+    ("kind", "source"),
+    [
+        ("markdown", "| H1 | H2 |\n|--|--|\n| A | B |\n| C | D |"), ("content", "H1\tH2\nA\tB\nC\tD"), ("content", "H1  H2\nA  B\nC  D"),
+        ("html", "<table><tr><th>H1</th><th>H2</th></tr><tr><td>A</td><td>B</td></tr><tr><td>C<td>D</td></tr></table>"),
+        ("json_data", '{"rows": [{"H1": "A", "H2": "B"}, {"H1": "C", "H2": "D"}]}'),
+    ],
+)
 def test_tables(spark, kind, source):
     if kind == "html":
         source = source.replace("C<td>", "C</td><td>")
@@ -86,7 +108,9 @@ def test_tables_without_source_and_numeric_rows(spark):
 
 
 def test_spanning(spark):
-    t = make(spark, [{"type": "table", "page": p, "path": "3.1"} for p in (1, 2, 4, 8)]).withColumns({"col_count": F.lit(3), "headers": F.array(F.lit("A"), F.lit("B"), F.lit("C"))})
+    t = make(
+        spark, [{"type": "table", "page": p, "path": "3.1"} for p in (1, 2, 4, 8)]
+    ).withColumns({"col_count": F.lit(3), "headers": F.array(F.lit("A"), F.lit("B"), F.lit("C"))})
     got = {r["element_id"]: (r["is_spanning"], r["span_group_id"]) for r in tables.spanning(t).collect()}
     assert got["e0"] == got["e1"] == got["e2"] and got["e0"][0] and got["e3"] == (False, None)
 
@@ -94,7 +118,10 @@ def test_spanning(spark):
 def test_validation(spark):
     documents = spark.createDataFrame([("a", 2, ""), ("b", 3, "")], "doc_id string, page_count int, markdown string")
     pages = spark.createDataFrame([("a", 1, 10.0, 10.0), ("a", 2, 10.0, 10.0)], "doc_id string, page_num int, width double, height double")
-    items = spark.createDataFrame([("a", 1, "table", 1.0, 1.0, 2.0, 2.0, 0, 3, 4, "c"), ("a", 2, "text", 0.0, 0.0, 11.0, 1.0, 0, None, None, None)], "doc_id string, page_num int, type string, left double, top double, right double, bottom double, item_order int, row_count int, col_count int, caption string")
+    items = spark.createDataFrame(
+        [("a", 1, "table", 1.0, 1.0, 2.0, 2.0, 0, 3, 4, "c"), ("a", 2, "text", 0.0, 0.0, 11.0, 1.0, 0, None, None, None)],
+        "doc_id string, page_num int, type string, left double, top double, right double, bottom double, item_order int, row_count int, col_count int, caption string",
+    )
     found = validation.checks(documents, items, pages)
     assert found.count() == 18
     got = {r["doc_id"]: (r["is_valid"], r["n_errors"], r["n_warnings"]) for r in validation.report(found).collect()}
@@ -102,7 +129,10 @@ def test_validation(spark):
 
 
 def test_vectors(spark):
-    v = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [0.7, 0.3], 2), (2, [0.9, 0.1], 3), (3, [0.5, 0.5], 4), (4, [0.0, 0.0], 5), (5, None, 6)], "id long, embedding array<double>, g int")
+    v = spark.createDataFrame(
+        [(0, [1.0, 0.0], 1), (1, [0.7, 0.3], 2), (2, [0.9, 0.1], 3), (3, [0.5, 0.5], 4), (4, [0.0, 0.0], 5), (5, None, 6)],
+        "id long, embedding array<double>, g int",
+    )
     got = {r["id"]: r["relates_to"] for r in vectors.relates_to(v, 3, 0.4).collect()}
     assert got[0] == [2, 1, 3] and got[4] == [] and got[5] == []
     assert vectors.top_k(v, 3, 0.4, blocks=3).count() == vectors.top_k(v, 3, 0.4).count()
@@ -114,7 +144,10 @@ def test_vectors(spark):
 
 
 def test_encoding(spark):
-    items = spark.createDataFrame([("1", "text", "a b", [""], 0), ("2", "image", "c", ["u"], 1), ("3", "image", "c", [""], 2), ("4", "odd", "x", None, 3), ("5", "text", None, None, 4)], "chunk_id string, embedding_type string, chunk_text string, image_uri array<string>, sequence_number int")
+    items = spark.createDataFrame(
+        [("1", "text", "a b", [""], 0), ("2", "image", "c", ["u"], 1), ("3", "image", "c", [""], 2), ("4", "odd", "x", None, 3), ("5", "text", None, None, 4)],
+        "chunk_id string, embedding_type string, chunk_text string, image_uri array<string>, sequence_number int",
+    )
     found = vectors.encode_items(items)
     assert {r["chunk_id"]: r["content"] for r in found.collect()} == {"1": "a b", "2": "u"}
     encoded = vectors.encode_batch(found, vectors.hashing_encoder(8), 8)
@@ -132,13 +165,19 @@ def test_siblings(spark):
 
 
 def test_chunks(spark):
-    p = spark.createDataFrame([("d", "h", 0, "a b c"), ("d", "h", 1, "d e"), ("d", "h", 2, "f g h i j k l"), ("d", "h", 3, " ")], "document string, heading string, ord int, text string")
+    p = spark.createDataFrame(
+        [("d", "h", 0, "a b c"), ("d", "h", 1, "d e"), ("d", "h", 2, "f g h i j k l"), ("d", "h", 3, " ")],
+        "document string, heading string, ord int, text string",
+    )
     got = sorted((r["chunk_no"], r["chunk_text"], r["token_count"]) for r in chunks.pack(p, 5).collect())
     assert got == [(0, "a b c\nd e", 5), (1, "f g h i j", 5), (2, "k l", 2)]
 
 
 def test_cross_references(spark):
-    c = spark.createDataFrame([("d", "A", "As Figure 1 shows, and Fig. 1"), ("d", "B", "Figure 1 itself"), ("d", "C", "Table IV is absent")], "document string, chunk_id string, chunk_text string")
+    c = spark.createDataFrame(
+        [("d", "A", "As Figure 1 shows, and Fig. 1"), ("d", "B", "Figure 1 itself"), ("d", "C", "Table IV is absent")],
+        "document string, chunk_id string, chunk_text string",
+    )
     index = spark.createDataFrame([("d", "figure 1", "B")], "document string, label string, chunk_id string")
     assert {r["chunk_id"]: r["refers_to"] for r in chunks.cross_references(c, index).collect()} == {"A": ["B"], "B": [], "C": []}
 
@@ -170,13 +209,18 @@ def test_stream(spark, data, tmp_path):
 
 
 def test_boxes_that_lack_a_side_are_zero(spark):
-    items = spark.createDataFrame([("d", 1, None, 1.0, 2.0, 3.0), ("d", 1, None, None, None, None), ("d", 2, None, 0.1, 0.2, 0.3)], "doc_id string, page_num int, left double, top double, right double, bottom double")
+    items = spark.createDataFrame(
+        [("d", 1, None, 1.0, 2.0, 3.0), ("d", 1, None, None, None, None), ("d", 2, None, 0.1, 0.2, 0.3)],
+        "doc_id string, page_num int, left double, top double, right double, bottom double",
+    )
     pages = spark.createDataFrame([("d", 1, 10.0, 10.0)], "doc_id string, page_num int, width double, height double")
     assert {tuple(r)[2:] for r in elements.normalise_boxes(items, pages).collect()} == {(0.0, 0.0, 0.0, 0.0)}
 
 
 def test_visual_chunks_of_documents_without_text(spark):
-    v = spark.createDataFrame([("a", "p", 0, "c"), ("b", "q", 0, None)], "document string, self_ref string, ordinal int, caption string").withColumns({"image_uri": F.lit(None).cast("array<string>"), "description": F.lit("d")})
+    v = spark.createDataFrame(
+        [("a", "p", 0, "c"), ("b", "q", 0, None)], "document string, self_ref string, ordinal int, caption string",
+    ).withColumns({"image_uri": F.lit(None).cast("array<string>"), "description": F.lit("d")})
     n = spark.createDataFrame([("a", 5)], "document string, n int")
     assert sorted((r["document"], r["sequence_number"]) for r in chunks.visual_chunks(v, n).collect()) == [("a", 6), ("a", 7), ("b", 1), ("b", 2)]
 
@@ -197,8 +241,12 @@ def test_normalise_reads_pages_in_both_forms_and_every_container(spark):
         ("d0", 3, 0): ("text_block", "moved"), ("d1", 2, 0): ("text_block", "x"),
     }
     table, title = rows["d0", 1, 4], rows["d0", 1, 3]
-    assert (table["row_count"], table["col_count"], table["headers"], table["summary"], table["json_data"]) == (3, 2, ["x", "1"], "C", '{"rows":[[1]]}') and (table["left"], table["bottom"]) == (0.5, 0.4)
-    assert (title["left"], title["bottom"], title["level"]) == (0.1, 0.2, 1) and rows["d0", 1, 1]["items"] == ["p", "q"] and rows["d0", 1, 1]["ordered"] and (rows["d0", 1, 2]["left"], rows["d0", 1, 2]["bottom"]) == (0.01, 0.02)
+    assert (
+        table["row_count"], table["col_count"], table["headers"], table["summary"], table["json_data"],
+    ) == (3, 2, ["x", "1"], "C", '{"rows":[[1]]}') and (table["left"], table["bottom"]) == (0.5, 0.4)
+    assert (title["left"], title["bottom"], title["level"]) == (0.1, 0.2, 1) and rows["d0", 1, 1]["items"] == ["p", "q"] and rows["d0", 1, 1]["ordered"] and (
+        rows["d0", 1, 2]["left"], rows["d0", 1, 2]["bottom"],
+    ) == (0.01, 0.02)
     assert sorted((r["doc_id"], r["page_num"], len(r["element_ids"])) for r in pages.collect()) == [("d0", 1, 5), ("d0", 2, 0), ("d0", 3, 1), ("d1", 0, 0), ("d1", 2, 1)]
 
 
@@ -216,7 +264,11 @@ def test_normalise_links_captions(spark):
 
 
 def test_tables_of_lists_and_columns(spark):
-    cases = {'[["a", "b"], ["1", null]]': ([], [["a", "b"], ["1", ""]]), '{"data": [{"k": 1, "l": null}, {"l": 2}]}': (["k", "l"], [["1", ""], ["", "2"]]), '{"c": [1, 2], "d": ["x"], "e": "no"}': (["c", "d", "e"], [["1", "x", ""], ["2", "", ""]]), '{"c": []}': None, "{}": None, "x": None, None: None}
+    cases = {
+        '[["a", "b"], ["1", null]]': ([], [["a", "b"], ["1", ""]]), '{"data": [{"k": 1, "l": null}, {"l": 2}]}': (["k", "l"], [["1", ""], ["", "2"]]),
+        '{"c": [1, 2], "d": ["x"], "e": "no"}': (["c", "d", "e"], [["1", "x", ""], ["2", "", ""]]), '{"c": []}': None, "{}": None, "x": None,
+        None: None,
+    }
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", tables.from_json(F.col("c")).alias("t"))
     assert [(r["t"]["headers"], r["t"]["rows"]) if r["t"] else None for r in df.orderBy("i").collect()] == list(cases.values())
 
@@ -230,7 +282,10 @@ def test_chunk_metadata(spark):
     def chunker(json_text):
         item = lambda ref, label, pages: {"self_ref": ref, "label": label, "pages": pages}
         return [
-            {"sequence_number": 0, "chunk_text": "one two", "section_headings": ["H", "S"], "doc_items": [item("#/t/1", "text", [2, 1]), item("#/p/0", "picture", [2]), item("#/p/9", "picture", [])]},
+            {
+                "sequence_number": 0, "chunk_text": "one two", "section_headings": ["H", "S"],
+                "doc_items": [item("#/t/1", "text", [2, 1]), item("#/p/0", "picture", [2]), item("#/p/9", "picture", [])],
+            },
             {"sequence_number": 1, "chunk_text": "three", "section_headings": None, "doc_items": [item("#/b/0", "table", None), item("#/p/0", "picture", [3])]},
         ]
 
@@ -245,8 +300,12 @@ def test_chunk_metadata(spark):
     assert sorted(rows) == [0, 1, 3, 4, 5, 6, 7, 8]
     a, b, p, told = rows[0], rows[1], rows[3], rows[4]
     assert (a["chunk_types"], a["page_numbers"], a["section_path"], a["token_count"]) == (["text", "picture", "picture"], [1, 2], "H > S", 2)
-    assert (a["image_type"], a["image_uri"], a["caption_text"], a["caption_number"]) == (["picture"], ["u"], ["Figure 2: sea"], ["figure 2"]) and (b["image_type"], b["caption_text"]) == (["table", "picture"], ["plain", "Figure 2: sea"])
-    assert (p["embedding_type"], p["chunk_text"], p["section_headings"], p["page_numbers"]) == ("image", "Figure 2: sea", ["H", "S"], [2, 3]) and told["chunk_text"] == "Image Caption: Figure 2: sea\nImage Description: told\nKeywords: ['k']"
+    assert (
+        a["image_type"], a["image_uri"], a["caption_text"], a["caption_number"],
+    ) == (["picture"], ["u"], ["Figure 2: sea"], ["figure 2"]) and (b["image_type"], b["caption_text"]) == (["table", "picture"], ["plain", "Figure 2: sea"])
+    assert (
+        p["embedding_type"], p["chunk_text"], p["section_headings"], p["page_numbers"],
+    ) == ("image", "Figure 2: sea", ["H", "S"], [2, 3]) and told["chunk_text"] == "Image Caption: Figure 2: sea\nImage Description: told\nKeywords: ['k']"
     assert rows[6]["chunk_text"] == "" and rows[5]["caption_text"] == ["plain"] and rows[7]["caption_text"] == [""] and rows[7]["image_uri"] == ["None"]
     counts = projection.populated(found, "image_uri", "section_headings").first()
     assert (counts["image_uri_filled"], counts["section_headings_filled"], counts["image_uri_longest"]) == (8, 3, 2)
@@ -277,7 +336,10 @@ def test_similar_pairs_and_queries_equal_brute_force(spark):
         got = [(r["a"], r["b"]) for r in vectors.similar_pairs(v, 0.6, "g", blocks).collect()]
         assert set(got) == want and len(got) == len(want)
         top = {(r["a"], r["rank"]): r["b"] for r in vectors.top_k(v, 3, 0.2, blocks=blocks).collect()}
-        best = {(ids[i], k + 1): ids[j] for i in range(150) for k, j in enumerate(sorted((j for j in range(150) if j != i and score[i, j] >= 0.2), key=lambda j: (-score[i, j], ids[j]))[:3])}
+        best = {
+            (ids[i], k + 1): ids[j] for i in range(150) for k,
+            j in enumerate(sorted((j for j in range(150) if j != i and score[i, j] >= 0.2), key=lambda j: (-score[i, j], ids[j]))[:3])
+        }
         assert top == best
     asked = v.where("id % 50 = 0")
     exact = {(r["a"], r["b"]) for r in vectors.top_k(v, 5, -1.0, queries=asked).collect()}
@@ -298,7 +360,10 @@ def test_small_parts(spark, tmp_path):
     e = make(spark, [{"type": "caption", "text": "c"}, {"type": "table", "text": "t"}]).withColumn("parent_element_id", F.when(F.col("element_type") == "caption", F.lit("e1")))
     assert pairs(graph.captions(e)) == [("e1", "e0", "has_caption")]
     assert pairs(graph.caption_links(e)) == [("e0", "e1", "describes"), ("e1", "e0", "has_caption")]
-    both = spark.createDataFrame([("d", 1, "b", "a", "nearby", 1.0, None), ("d", 1, "a", "b", "nearby", 1.0, None)], "doc_id string, page_num int, source_id string, target_id string, relationship_type string, weight double, detail string")
+    both = spark.createDataFrame(
+        [("d", 1, "b", "a", "nearby", 1.0, None), ("d", 1, "a", "b", "nearby", 1.0, None)],
+        "doc_id string, page_num int, source_id string, target_id string, relationship_type string, weight double, detail string",
+    )
     assert pairs(graph.undirected(both)) == [("a", "b", "nearby")]
     twice = make(spark, [{"text": "old"}, {"text": "new"}]).withColumn("element_id", F.lit("e"))
     assert elements.latest(twice).first()["content"] == "new"
@@ -317,7 +382,9 @@ def test_sources_and_sinks(spark, tmp_path):
     edges = spark.createDataFrame([("a", "b", "nearby")], "source_id string, target_id string, relationship_type string")
     sinks.write_graph(docs, edges, str(tmp_path / "g"))
     assert spark.read.parquet(str(tmp_path / "g/edges")).first()["relationship_type"] == "nearby"
-    (tmp_path / "raw.json").write_text('[{"text": "t", "meta": {"headings": ["h"], "doc_items": [{"self_ref": "#/0", "prov": [{"page_no": 2, "bbox": {"l": 1}}]}], "origin": {"binary_hash": 12345678901234567890}}}]')
+    (tmp_path / "raw.json").write_text(
+        '[{"text": "t", "meta": {"headings": ["h"], "doc_items": [{"self_ref": "#/0", "prov": [{"page_no": 2, "bbox": {"l": 1}}]}], "origin": {"binary_hash": 12345678901234567890}}}]'
+    )
     r = readers.raw_chunks(spark, str(tmp_path / "raw.json")).first()
     assert r["meta"]["doc_items"][0]["prov"][0]["page_no"] == 2 and int(r["meta"]["origin"]["binary_hash"]) == 12345678901234567890
     pages = spark.createDataFrame([("d", 1, [("x",)], [("y",)])], "doc_id string, page_num int, texts array<struct<text: string>>, tables array<struct<text: string>>")
@@ -330,7 +397,9 @@ def test_visual_metadata_and_assets(spark):
     png = bytes.fromhex("89504e470d0a1a0a0000000d49484452") + (300).to_bytes(4, "big") + (200).to_bytes(4, "big") + bytes([8, 6, 0, 0, 0])
     gif = b"GIF89a" + (10).to_bytes(2, "little") + (20).to_bytes(2, "little")
     files = spark.createDataFrame([("p", png), ("g", gif), ("t", b"text")], "path string, content binary")
-    e = make(spark, [{"type": "image", "text": "a chart"}, {"type": "image"}, {"type": "chart"}, {"type": "image"}]).withColumns({"asset_path": F.element_at(F.array(*map(F.lit, "pgtn")), F.col("ordinal") + 1), "caption": F.lit(None).cast("string"), "visual_type": F.element_at(F.array(*map(F.lit, ("", "logo", "unclassified", ""))), F.col("ordinal") + 1)})
+    e = make(
+        spark, [{"type": "image", "text": "a chart"}, {"type": "image"}, {"type": "chart"}, {"type": "image"}],
+    ).withColumns({"asset_path": F.element_at(F.array(*map(F.lit, "pgtn")), F.col("ordinal") + 1), "caption": F.lit(None).cast("string"), "visual_type": F.element_at(F.array(*map(F.lit, ("", "logo", "unclassified", ""))), F.col("ordinal") + 1)})
     got = {r["element_id"]: (r["visual_type"], r["image_properties"] and tuple(r["image_properties"])) for r in visuals.metadata(e, files).collect()}
     assert got == {"e0": ("chart", (300, 200, 1.5, "RGBA", 29)), "e1": ("logo", (10, 20, 0.5, "P", 10)), "e2": ("chart", (None, None, None, None, 4)), "e3": ("unclassified", None)}
 
@@ -340,7 +409,9 @@ def test_visual_metadata_and_assets(spark):
         return content[:side][:3]
 
     images = spark.createDataFrame([("d", "a", png), ("d", "b", gif), ("d", "c", None)], "doc_id string, element_id string, content binary")
-    assert sorted((r["element_id"], r["kind"], bytes(r["content"])) for r in visuals.assets(images, small).collect()) == [("a", "image", png), ("a", "thumbnail", png[:3]), ("b", "image", gif)]
+    assert sorted((r["element_id"], r["kind"], bytes(r["content"])) for r in visuals.assets(images, small).collect()) == [
+        ("a", "image", png), ("a", "thumbnail", png[:3]), ("b", "image", gif),
+    ]
     assert visuals.assets(images).count() == 2
 
 
@@ -362,7 +433,10 @@ def test_lookup_files_and_raw_outputs(spark, tmp_path):
 def test_global_order_and_nth_item(spark):
     got = {r["element_id"]: r["position"] for r in elements.global_order(make(spark, [{"page": 2, "order": 0}, {"page": 1, "order": 1}, {"page": 1, "order": 0}])).collect()}
     assert got == {"e2": 0, "e1": 1, "e0": 2}
-    c = spark.createDataFrame([("d", 0, [("a", "text"), ("b", "table")]), ("d", 1, [("c", "Table")])], "document string, sequence_number int, doc_items array<struct<self_ref: string, label: string>>")
+    c = spark.createDataFrame(
+        [("d", 0, [("a", "text"), ("b", "table")]), ("d", 1, [("c", "Table")])],
+        "document string, sequence_number int, doc_items array<struct<self_ref: string, label: string>>",
+    )
     assert [r["sequence_number"] for r in projection.nth_with_label(c, "table", 1).collect()] == [1] and projection.nth_with_label(c, "table", 2).count() == 0
 
 
