@@ -81,7 +81,9 @@ def test_html_pages():
     nav = "<nav><ul><li><a href='/a'>Menu</a></li></ul></nav>"
     cases = {
         page(nav + f"<div class='ad'>Buy</div><article><h1>T &amp; x</h1><p><b>One<br><p>{LONG}</article><footer>f</footer>"): f"T & x\nOne\n{LONG.strip()}",
-        page(f"<div id='cookie-notice'>We use</div><div class='post-17'><p>{LONG}</p><ul><li>a<li>b\n  c</ul><form>f</form><div class='comments'><p>nice</p></div></div><div class='sidebar'>s</div>"): f"{LONG.strip()}\na\nb c",
+        page(
+            f"<div id='cookie-notice'>We use</div><div class='post-17'><p>{LONG}</p><ul><li>a<li>b\n  c</ul><form>f</form><div class='comments'><p>nice</p></div></div><div class='sidebar'>s</div>"
+        ): f"{LONG.strip()}\na\nb c",
         page(f"<script>var t='<p>x</p>'</script><main><p>a<b>b</b> c&nbsp;d&#33;</p><style>p{{}}</style><p>{LONG}<!-- <p>no</p> --></main>"): f"ab c d!\n{LONG.strip()}",
         "": "", "<<<>": "<<<>", "plain": "plain", "<p title=\"x>abc</p><p>d": "abc\nd", "<script>never closed": "", "a<b>c</b></div>d&lt;": "ac\nd<",
     }
@@ -91,7 +93,10 @@ def test_html_pages():
 
 def test_html_consensus(spark):
     shape = lambda text: page(f"<div class='wrap'><div class='body-1'><p>{text}</p></div></div><div class='teaser'><p>{LONG * 2 if text == 'short' else 'x'}</p></div>")
-    rows = [(i, f"https://u@h.example:80/{i}", shape(LONG)) for i in range(6)] + [(6, "http://H.example/x", shape("short")), (7, None, shape("short")), (8, "odd", page(f"<article>{LONG}</article>")), (9, "http://h.example/e", None), (9, "http://h.example/e", None), (None, "http://h.example/n", page("<p>other</p>"))]
+    rows = [(i, f"https://u@h.example:80/{i}", shape(LONG)) for i in range(6)] + [
+        (6, "http://H.example/x", shape("short")), (7, None, shape("short")), (8, "odd", page(f"<article>{LONG}</article>")),
+        (9, "http://h.example/e", None), (9, "http://h.example/e", None), (None, "http://h.example/n", page("<p>other</p>")),
+    ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'a' AS host", "'b' AS path", "'c' AS text")
     got = html_text.extract(df).collect()
     by = {r["page_id"]: r["text"] for r in got}
@@ -138,7 +143,10 @@ def test_html_hostile_pages_take_linear_time():
     import time
 
     n = 100_000
-    for source in ("<div>" * n + "x", "<div class='a'>" * n, "<a href=\"x>" * n, "</div>" * n, "<p></b>" * n, "<b>" * n + "</p>" * n, "<p><i>" * n + "</p>" * n, "<!--" * n, "<" * n, "<a b='" * n, "<script>" * n, "<p " * n, "<a" * n, "&" * n, "<ul><li><a href=x>y" * n):
+    for source in (
+        "<div>" * n + "x", "<div class='a'>" * n, "<a href=\"x>" * n, "</div>" * n, "<p></b>" * n, "<b>" * n + "</p>" * n, "<p><i>" * n + "</p>" * n,
+        "<!--" * n, "<" * n, "<a b='" * n, "<script>" * n, "<p " * n, "<a" * n, "&" * n, "<ul><li><a href=x>y" * n,
+    ):
         began = time.process_time()
         html_text.Page(source).text(None)
         assert time.process_time() - began < 6, source[:20]
@@ -152,7 +160,10 @@ def test_html_votes_against_brute_force(spark):
         kind = rng.randrange(3)
         text = " ".join(rng.choice(["aa", "bb", "cc."]) for _ in range(rng.randrange(3, 60)))
         side = " ".join(rng.choice(["dd", "ee"]) for _ in range(rng.randrange(1, 60)))
-        body = [f"<div class='story-{i}'><p>{text}</p></div><div class='box'><p>{side}</p></div>", f"<article><p>{text}</p></article><section><p>{side}</p></section>", f"<p>{text}</p>"][kind]
+        body = [
+            f"<div class='story-{i}'><p>{text}</p></div><div class='box'><p>{side}</p></div>",
+            f"<article><p>{text}</p></article><section><p>{side}</p></section>", f"<p>{text}</p>",
+        ][kind]
         rows.append((i, f"http://h{rng.randrange(5)}.example/{i}", page(body)))
     votes = {}
     for _, url, source in rows:
@@ -167,7 +178,10 @@ def test_html_votes_against_brute_force(spark):
     got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()}
     assert got == want
     # where two paths have as many votes the one with more text wins
-    rows = [(0, "http://t.example/0", page(f"<div class='a'><p>{'x' * 30}</p></div><div class='b'><p>{'y' * 10}</p></div>")), (1, "http://t.example/1", page(f"<div class='a'><p>{'x' * 10}</p></div><div class='b'><p>{'y' * 40}</p></div>"))]
+    rows = [
+        (0, "http://t.example/0", page(f"<div class='a'><p>{'x' * 30}</p></div><div class='b'><p>{'y' * 10}</p></div>")),
+        (1, "http://t.example/1", page(f"<div class='a'><p>{'x' * 10}</p></div><div class='b'><p>{'y' * 40}</p></div>")),
+    ]
     got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {0: "y" * 10, 1: "y" * 40}
 
@@ -190,7 +204,9 @@ def test_ogg_checksum_and_faults():
     s = ogg.demux(data)[9]
     assert s.packets == [p for p, _ in packets] and s.seconds(1) == 9.0
     pages_ = list(ogg.pages(packets, 9))
-    bad = [bytes([*data[:i], data[i] ^ 1, *data[i + 1 :]]) for i in (0, 5, 23, 40, len(data) // 2, len(data) - 1)] + [data[:-1], b"".join(pages_[:-1]), b"".join(pages_[1:]), b"".join([pages_[0], *pages_[2:]])]
+    bad = [bytes([*data[:i], data[i] ^ 1, *data[i + 1 :]]) for i in (0, 5, 23, 40, len(data) // 2, len(data) - 1)] + [
+        data[:-1], b"".join(pages_[:-1]), b"".join(pages_[1:]), b"".join([pages_[0], *pages_[2:]]),
+    ]
     for b in bad:
         with pytest.raises(ogg.BadOgg):
             ogg.demux(b)
@@ -229,9 +245,14 @@ def test_ogg_query(spark):
     assert all(len(v) == 1 for v in same.values())
     assert ogg.digests(ogg.store(documents(spark, []))).count() == 0
     good = ogg.mux(b"x" * ogg.UNIT * 130)
-    broken = spark.createDataFrame([(1, 5, bytearray(good)), (2, 5, bytearray(good[:-1] + b"?")), (3, 5, bytearray(b"OggS")), (4, 5, None)], "doc_id long, n_bytes long, media binary")
+    broken = spark.createDataFrame(
+        [(1, 5, bytearray(good)), (2, 5, bytearray(good[:-1] + b"?")), (3, 5, bytearray(b"OggS")), (4, 5, None)],
+        "doc_id long, n_bytes long, media binary",
+    )
     got = {r["doc_id"]: r for r in ogg.digests(broken).collect()}
-    assert [got[i]["error"] for i in (1, 2, 3, 4)] == [None, "checksum", "cut page header", "no payload"] and got[2]["payload_sha256"] is None and got[2]["media_bytes"] == len(good)
+    assert [got[i]["error"] for i in (1, 2, 3, 4)] == [
+        None, "checksum", "cut page header", "no payload",
+    ] and got[2]["payload_sha256"] is None and got[2]["media_bytes"] == len(good)
     assert got[1]["page_seconds"] == [60 * ogg.UNIT / ogg.RATE, 120 * ogg.UNIT / ogg.RATE, 130 * ogg.UNIT / ogg.RATE]
 
 
