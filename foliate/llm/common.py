@@ -40,12 +40,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._foliate_dir
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Run df once and cut its lineage with a reliable checkpoint, so that a lost executor costs no recomputation."""
+#: Rows of a small table that one file takes, at least.
+FILE_ROWS = 20_000
+
+
+def materialise(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Run df once and cut its lineage with a reliable checkpoint, so that a lost executor costs no recomputation.
+
+    rows: about how many small rows there are at most; they go to one file for each FILE_ROWS of them and not to one for each task.
+    """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(max(1, rows // FILE_ROWS))).checkpoint()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -259,12 +266,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     Shuffled tables carry rid, so it costs nothing where ids are unique, as they should be.
     """
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    again = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     n = again.limit(BROADCAST_ROWS + 1).count()
     if not n:
         return docs.withColumn("rid", F.lit(0).cast("long"))
     if n > BROADCAST_ROWS:
         return docs.withColumn("rid", F.xxhash64("text"))
+    again = materialise(again, n)
     marked = docs.join(F.broadcast(again.withColumn("__again", F.lit(True))), "doc_id", "left")
     return marked.withColumn("rid", F.when(F.col("__again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long")).drop("__again")
 
@@ -310,7 +318,7 @@ def grouped(
         for by, wanted in levels:
             # all rows of other keys make one group, which has no key and meets nothing
             mine = [F.when(F.col("__hot"), F.col(c)).alias(c) for c in by]
-            whole = materialise(marked.groupBy(*mine).agg(*[a.alias(f"__{c}") for c, a in wanted.items()]))
+            whole = materialise(marked.groupBy(*mine).agg(*[a.alias(f"__{c}") for c, a in wanted.items()]), HOT_KEYS)
             few = whole.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
             out = out.join(F.broadcast(whole) if few else whole, by, "left")
         salt = ["__salt"]

@@ -35,5 +35,5 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        now = common.materialise(_small_star(_large_star(now)))
+        now = common.materialise(_small_star(_large_star(now)), state[0])
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -139,7 +139,7 @@ def _near(firsts: DataFrame, docs: DataFrame, n: int, near_words: int) -> DataFr
     halves = firsts.where(F.size("halves") > 0).select(*LINE, F.explode("halves").alias("half"))
     hot = common.hot_keys(common.sampled(halves, n), ["half"])
     shared = common.grouped(halves, ["half"], hot, store=False, k=F.count("*")).where("k > 1")
-    open_ = common.materialise(shared.groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")))
+    open_ = common.materialise(shared.groupBy(*KEY).agg(F.array_sort(F.collect_set("line")).alias("wanted")), n)
     texts = common.only(docs, open_.select(*KEY), KEY).join(open_, KEY).select(*KEY, "text", "wanted")
     variants = common.stored(common.arrow_map(texts, _variants(near_words), "doc_id long, rid long, line int, at int, key long, words string"))
     me = F.struct(*_ORDER)

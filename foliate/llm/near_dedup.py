@@ -192,19 +192,19 @@ def groups(docs: DataFrame, share: int = SHARE) -> DataFrame:
     members = common.materialise(met.where("hub <> last").select("key", *common.KEY, "hub"))
     pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = _confirm(common.materialise(pairs), docs, share)
-    labels = common.materialise(components(links))
+    labels = common.materialise(components(links), n)
     for k in range(1, HUBS):
         now = _apart(members, labels, hot, hub=F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(k))))
         pairs = now.where("doc_id <> hub.doc_id AND component <> hub.component").select(
             F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b"),
         ).distinct()
         links = links.unionByName(_confirm(common.materialise(pairs), docs, share))
-        labels = common.materialise(components(links))
-    open_ = common.materialise(_apart(members, labels, hot).select(F.col("doc_id").alias("rep"), "component").distinct())
+        labels = common.materialise(components(links), n)
+    open_ = common.materialise(_apart(members, labels, hot).select(F.col("doc_id").alias("rep"), "component").distinct(), n)
     found = _confirm(common.materialise(_rest(open_, docs, n, share)), docs, share)
     # Equal sets, and rows that share a doc_id, which are versions of one document.
     own = signed.where("has AND doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = common.materialise(components(links.unionByName(found).unionByName(own)))
+    labels = common.materialise(components(links.unionByName(found).unionByName(own)), n)
     out = signed.join(labels, signed["doc_id"] == labels["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -247,25 +247,25 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     hot = common.hot_keys(slots(common.sampled(classes, n)), ["hash"])
     shared = common.grouped(slots(classes), ["hash"], hot, store=False, lo=least, hi=most).where("lo <> hi")
     probing = F.collect_list(F.when(F.col("lo") < F.col("doc_id"), F.col("hash"))).alias("probing")
-    wanted = common.materialise(shared.groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing))
+    wanted = common.materialise(shared.groupBy(*KEY).agg(F.collect_list("hash").alias("wanted"), probing), n)
 
     def probes(df: DataFrame) -> DataFrame:
         return common.arrow_map(_where(df, wanted).select("doc_id", "text", "wanted", "rid", "probing"), _probe(window), "doc_id long, rid long, at int, block boolean, hash long")
 
     hot = common.hot_keys(probes(common.sampled(docs, n)), ["hash"])
     anchors = common.grouped(probes(docs), ["hash"], hot, lo=least, hi=most, indexed=F.max("block")).where("indexed AND lo <> hi")
-    hits = common.materialise(anchors.groupBy(*KEY).agg(F.collect_list("at").alias("hits")))
+    hits = common.materialise(anchors.groupBy(*KEY).agg(F.collect_list("at").alias("hits")), n)
 
     def windows(df: DataFrame) -> DataFrame:
         return common.arrow_map(_where(df, hits).select("doc_id", "text", "hits", "rid"), _extend(window), "doc_id long, rid long, at int, w1 long, w2 long")
 
     hot = common.hot_keys(windows(common.sampled(docs, n)), ["w1", "w2"])
     later = common.grouped(windows(docs), ["w1", "w2"], hot, lo=least).where("lo < doc_id")
-    later = common.materialise(later.groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts")))
+    later = later.groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("starts"))
     # Rows of one doc_id may differ in white space alone: windows are known by the first of equal words.
     later = later.select(F.col("doc_id").alias("first_id"), F.col("rid").alias("first_rid"), "starts")
     starts = signed.where("NOT copy").select(*KEY, "first_id", "first_rid").distinct().join(later, ["first_id", "first_rid"]).select(*KEY, "starts")
-    return signed.select(*KEY, "n_words", "sha256", "copy"), common.materialise(starts)
+    return signed.select(*KEY, "n_words", "sha256", "copy"), common.materialise(starts, n)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
