@@ -28,29 +28,35 @@ def element_type(label: Column) -> Column:
     return F.coalesce(F.try_element_at(names, F.lower(label)), F.lit("text_block"))
 
 
-def normalise_boxes(items: DataFrame, pages: DataFrame) -> DataFrame:
-    """Boxes (left, top, right, bottom) as page fractions: divided by the page's width and height where these are known and
+def scaled_boxes(items: DataFrame, width: str, height: str) -> DataFrame:
+    """Boxes (left, top, right, bottom) as page fractions: divided by the page's width and height (columns, dropped) where these are known and
     positive, kept where they lie in [0, 1], else all zero; a box that lacks a side is all zero."""
     box = ("left", "top", "right", "bottom")
-    joined = items.join(pages.select("doc_id", "page_num", F.col("width").alias("__w"), F.col("height").alias("__h")), ["doc_id", "page_num"], "left")
-    sized, inside, whole = (F.col("__w") > 0) & (F.col("__h") > 0), F.lit(True), F.lit(True)
+    sized, inside, whole = (F.col(width) > 0) & (F.col(height) > 0), F.lit(True), F.lit(True)
     for b in box:
         inside, whole = inside & F.col(b).between(0, 1), whole & F.col(b).isNotNull()
-    scale = {"left": "__w", "right": "__w", "top": "__h", "bottom": "__h"}
-    out = joined.withColumns({b: F.when(~whole, F.lit(0.0)).when(sized, F.col(b) / F.col(scale[b])).when(inside, F.col(b)).otherwise(F.lit(0.0)) for b in box})
-    return out.drop("__w", "__h")
+    scale = {"left": width, "right": width, "top": height, "bottom": height}
+    out = items.withColumns({b: F.when(~whole, F.lit(0.0)).when(sized, F.col(b) / F.col(scale[b])).when(inside, F.col(b)).otherwise(F.lit(0.0)) for b in box})
+    return out.drop(width, height)
+
+
+def normalise_boxes(items: DataFrame, pages: DataFrame) -> DataFrame:
+    """scaled_boxes() by the sizes of pages(doc_id, page_num, width, height)."""
+    joined = items.join(pages.select("doc_id", "page_num", F.col("width").alias("__w"), F.col("height").alias("__h")), ["doc_id", "page_num"], "left")
+    return scaled_boxes(joined, "__w", "__h")
 
 
-def reading_order(items: DataFrame, order: str = "item_order", ordinal: str = "ordinal") -> DataFrame:
+def reading_order(items: DataFrame, order: str = "item_order", ordinal: str = "ordinal", after: Column | None = None) -> DataFrame:
     """reading_order from 0 on each page: items with an order of their own first, then by column, top and centre; ordinal
-    breaks ties. The column is the centre divided by 0.3 (boxes in fractions) or 200 (others); an item without a whole box stands in the first one, at the top."""
+    breaks ties. The column is the centre divided by 0.3 (boxes in fractions) or 200 (others); an item without a whole box stands in the first one, at the top.
+    Rows for which after holds come after all others."""
     centre, whole = (F.col("left") + F.col("right")) / 2, F.lit(True)
     for b in ("left", "top", "right", "bottom"):
         whole = whole & F.col(b).isNotNull()
     width = F.when(F.greatest("left", "top", "right", "bottom") <= 1, F.lit(0.3)).otherwise(F.lit(200.0))
     keys = [F.when(whole, k).otherwise(F.lit(0)) for k in ((centre / width).cast("int"), F.col("top"), centre)]
     own = F.col(order).isNull()
-    by = [own.cast("int"), F.col(order).asc_nulls_last(), *[F.when(own, k) for k in keys], F.col(ordinal)]
+    by = [*([after] if after is not None else []), own.cast("int"), F.col(order).asc_nulls_last(), *[F.when(own, k) for k in keys], F.col(ordinal)]
     return items.withColumn("reading_order", F.row_number().over(Window.partitionBy("doc_id", "page_num").orderBy(*by)) - 1)
 
 

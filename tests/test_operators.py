@@ -250,6 +250,15 @@ def test_normalise_reads_pages_in_both_forms_and_every_container(spark):
     assert sorted((r["doc_id"], r["page_num"], len(r["element_ids"])) for r in pages.collect()) == [("d0", 1, 5), ("d0", 2, 0), ("d0", 3, 1), ("d1", 0, 0), ("d1", 2, 1)]
 
 
+def test_normalise_keeps_documents_where_they_are(spark):
+    twice = """{"pages": {"1": {"size": {"width": 10, "height": 10}, "texts": [{"label": "caption", "text": "a", "bbox": [0, 5, 1, 5]}, {"label": "table", "bbox": [0, 4, 1, 4]}]}, "01": {"items": [null]}}}"""
+    docs = spark.createDataFrame([("d", twice), ("e", twice)], "doc_id string, document string")
+    for made, n in zip(normalise.normalise(docs.repartition(3, "doc_id")), (4, 2, 4), strict=True):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan and "ExistingRDD" in plan
+        assert made.count() == n
+
+
 def test_normalise_links_captions(spark):
     parent = "0123456789ABCDEF0123456789abcdef"
     source = f"""{{"pages": [{{"texts": [{{"label": "caption", "text": " A cap", "bbox": [0, 0.5, 0.2, 0.5], "order": 1}}, {{"label": "caption", "text": "B cap", "bbox": [0, 0.6, 0.2, 0.6], "order": 2}},
