@@ -54,9 +54,10 @@ def reading_order(items: DataFrame, order: str = "item_order", ordinal: str = "o
     for b in ("left", "top", "right", "bottom"):
         whole = whole & F.col(b).isNotNull()
     width = F.when(F.greatest("left", "top", "right", "bottom") <= 1, F.lit(0.3)).otherwise(F.lit(200.0))
-    keys = [F.when(whole, k).otherwise(F.lit(0)) for k in ((centre / width).cast("int"), F.col("top"), centre)]
+    zero = F.struct(F.lit(0).alias("column"), F.lit(0.0).alias("top"), F.lit(0.0).alias("centre"))
+    key = F.when(whole, F.struct((centre / width).cast("int").alias("column"), F.col("top").cast("double").alias("top"), centre.cast("double").alias("centre"))).otherwise(zero)
     own = F.col(order).isNull()
-    by = [*([after] if after is not None else []), own.cast("int"), F.col(order).asc_nulls_last(), *[F.when(own, k) for k in keys], F.col(ordinal)]
+    by = [*([after] if after is not None else []), own.cast("int"), F.col(order).asc_nulls_last(), F.when(own, key), F.col(ordinal)]
     return items.withColumn("reading_order", F.row_number().over(Window.partitionBy("doc_id", "page_num").orderBy(*by)) - 1)
 
 

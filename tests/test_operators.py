@@ -286,6 +286,22 @@ def test_normalise_keeps_documents_where_they_are(spark):
         assert made.count() == n
 
 
+def test_normalise_links_sorts_no_edges(spark):
+    docs = spark.createDataFrame([("d", '{"pages": [{"texts": [{"text": "a"}, {"text": "b"}]}]}')], "doc_id string, document string")
+    links = normalise.normalise(docs)[2]
+    # sorted are items by order, caption text, height and band, but not the edges, which are many more
+    assert links._jdf.queryExecution().executedPlan().toString().count("Sort [") == 4 and links.count() == 1
+
+
+def test_normalise_reads_fields_of_any_type(spark):
+    source = """{"pages": [{"size": {"width": 10, "height": 10}, "items": [7, "word", null, [], {"text": {"a": 1}, "page_no": "x", "bbox": "none", "rect": [[1, 2, 3, 4]], "prov": 5},
+      {"text": ["p", 1, null], "label": 3, "bounds": {"left": 1, "t": 2, "r": 3, "b": 4}, "prov": [{"bbox": {"l": "1", "t": 2.5, "r": 3, "b": "four"}, "bbox_normalized": [0, 1, 2, 3]}]}]}]}"""
+    found, pages, _ = normalised(spark, source)
+    got = sorted((r["content"], *(round(r[b], 3) for b in normalise.BOX)) for r in found.collect())
+    assert got == [("", 0.0, 0.0, 0.0, 0.0)] * 3 + [("p 1", 0.0, 0.1, 0.2, 0.3), ('{"a":1}', 0.1, 0.2, 0.3, 0.4)]
+    assert [len(r["element_ids"]) for r in pages.collect()] == [5]
+
+
 def test_normalise_links_captions(spark):
     parent = "0123456789ABCDEF0123456789abcdef"
     source = f"""{{"pages": [{{"texts": [{{"label": "caption", "text": " A cap", "bbox": [0, 0.5, 0.2, 0.5], "order": 1}}, {{"label": "caption", "text": "B cap", "bbox": [0, 0.6, 0.2, 0.6], "order": 2}},
