@@ -1,10 +1,12 @@
 import random
+import re
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from foliate.operators import chunks, elements, graph, hierarchy, normalise, projection, tables, validation, vectors
+from foliate.plans import converted
 from foliate.sources import readers, sinks
 from foliate.streaming import incremental
 
@@ -293,6 +295,15 @@ def test_normalise_links_sorts_no_edges(spark):
     assert links._jdf.queryExecution().executedPlan().toString().count("Sort [") == 4 and links.count() == 1
 
 
+def test_documents_are_dealt_to_tasks_of_bounded_rows(spark, data, monkeypatch):
+    usual = converted.documents(spark, data)
+    monkeypatch.setattr(converted, "ROWS", 600)
+    many = converted.documents(spark, data)
+    parts = lambda df: [int(n) for n in re.findall(r"Exchange hashpartitioning\(doc_id\S*, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
+    assert parts(usual) == [4] and parts(many) == [spark.read.parquet(f"{data}/lineitem.parquet").count() // 600 + 1]
+    assert sorted(many.collect()) == sorted(usual.collect())
+
+
 def test_normalise_reads_fields_of_any_type(spark):
     source = """{"pages": [{"size": {"width": 10, "height": 10}, "items": [7, "word", null, [], {"text": {"a": 1}, "page_no": "x", "bbox": "none", "rect": [[1, 2, 3, 4]], "prov": 5},
       {"text": ["p", 1, null], "label": 3, "bounds": {"left": 1, "t": 2, "r": 3, "b": 4}, "prov": [{"bbox": {"l": "1", "t": 2.5, "r": 3, "b": "four"}, "bbox_normalized": [0, 1, 2, 3]}]}]}]}"""
