@@ -26,6 +26,8 @@ from foliate.llm import common, tokens
 
 BLOCK = 512
 SHARD_TOKENS = 1 << 20
+#: Bytes of text that one file of the table takes, at least, and what a row counts besides its text.
+FILE_BYTES, ROW_BYTES = 4 << 20, 16
 _HEAD = struct.Struct("<4sQQQI")  # magic, tokens, documents, tokens of the partition before, levels
 _LEVEL = struct.Struct("<Q")
 
@@ -113,20 +115,28 @@ class Shard:
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(doc_id, start in the partition, ids) of each document."""
-        at = 0
-        for d, n in zip(self.docs, self.counts, strict=True):
-            yield d, self.before + at, self.slice(at, at + int(n))
-            at += int(n)
+        at, ids = 0, self.slice(0, self.tokens)
+        for d, n in zip(self.docs, self.counts.tolist(), strict=True):
+            yield d, self.before + at, ids[at : at + n]
+            at += n
+
+
+def files(docs: DataFrame) -> int:
+    """The number of files, at most, for docs(text): one for each FILE_BYTES, but two tasks a core, so that no core waits."""
+    size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES).cast("long")).alias("n")).first()["n"] or 0
+    return max(2 * docs.sparkSession.sparkContext.defaultParallelism, size // FILE_BYTES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> None:
-    """Encode docs(doc_id, text) and write the file at path, in ascending doc_id order."""
+    """Encode docs(doc_id, text) and write the file at path, in ascending doc_id order.
+
+    A task takes several range partitions where these are small, so that the table has few files however many partitions there are.
+    They may come in any order: part is the partition's number, and no shard holds rows of two.
+    """
     common.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, shard, before = TaskContext.get().partitionId(), 0, 0
+        part, shard, before = -1, 0, 0
         ids, held, counts, size = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -136,7 +146,12 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens
             )
 
         for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for p, d, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    if held:
+                        yield flush()
+                    part, shard, before, size = p, 0, 0, 0
+                    ids, held, counts = [], [], []
                 one = tokens.with_end(t, tokenizer)
                 ids.append(one)
                 held.append(d)
@@ -149,8 +164,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens
         if held:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, "part int, shard int, n_tokens long, payload binary").write.parquet(path)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    ordered.coalesce(files(docs)).mapInArrow(run, "part int, shard int, n_tokens long, payload binary").write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, fn=None, schema: str = "doc_id long, start long, n_tokens long, ids array<long>") -> DataFrame:

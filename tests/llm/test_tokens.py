@@ -69,6 +69,35 @@ def test_direct_codes_tokens_of_many_shards(spark, tmp_path, library):
     assert direct_codes.tokens_at(spark, str(tmp_path / "none"), spark.createDataFrame([(0,)], "position int")).count() == 0
 
 
+def test_direct_codes_of_many_small_partitions_are_few_files(spark, tmp_path, library):
+    rows = [(i % 150, f"text {i} " + "word " * (i % 7)) for i in range(300)] + [(None, None)]
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = direct_codes.digests(documents(spark, rows).repartition(5), str(tmp_path / "p")).collect()
+        parts = spark.read.parquet(str(tmp_path / "p")).select("part").distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    n = len(list((tmp_path / "p").glob("part-*.parquet")))
+    assert n <= 2 * spark.sparkContext.defaultParallelism < parts
+    want, at = [], 0
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+
+
+def test_direct_codes_files_follow_the_size(spark, monkeypatch):
+    monkeypatch.setattr(direct_codes, "FILE_BYTES", 10)
+    docs = documents(spark, ["x" * 1000, None, "é"])
+    assert direct_codes.files(docs) == (1002 + 3 * direct_codes.ROW_BYTES) // 10
+    assert direct_codes.files(docs.limit(0)) == 2 * spark.sparkContext.defaultParallelism
+
+
 def test_direct_codes_empty(spark, tmp_path):
     assert direct_codes.digests(documents(spark, []), str(tmp_path / "e")).count() == 0
 
